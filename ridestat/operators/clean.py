@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.datetimes import duration_minutes, is_weekend, parse_trip_datetime, weekday
+from ..functions.datetimes import datetime_text, duration_minutes, is_weekend, weekday, with_parsed_datetime
 from ..functions.fixed import TRIPS_CLEAN_COLUMNS
 from ..functions.rules import age, gender, station_key
 from ..functions.text import py_strip
@@ -48,6 +48,8 @@ def clean_trips(raw: DataFrame, dim: StationDim) -> DataFrame:
     first = []
     if has_index:
         first.append(trip_id("source_file", "row_index").alias("trip_id"))
+    # The joined datetime text is its own column: the parse reads it several times, and the
+    # optimizer keeps a non-trivial column that is read more than once in its own projection.
     t = raw.select(
         *first,
         F.col("source_file"),
@@ -56,9 +58,11 @@ def clean_trips(raw: DataFrame, dim: StationDim) -> DataFrame:
         py_strip("Bici").alias("bike_id"),
         station_key("Ciclo_Estacion_Retiro").alias("start_station_number"),
         station_key("Ciclo_EstacionArribo").alias("end_station_number"),
-        parse_trip_datetime("Fecha_Retiro", "Hora_Retiro").alias("start_datetime"),
-        parse_trip_datetime("Fecha_Arribo", "Hora_Arribo").alias("end_datetime"),
+        datetime_text("Fecha_Retiro", "Hora_Retiro").alias("__start_text"),
+        datetime_text("Fecha_Arribo", "Hora_Arribo").alias("__end_text"),
     )
+    t = with_parsed_datetime(t, "__start_text", "start_datetime")
+    t = with_parsed_datetime(t, "__end_text", "end_datetime").drop("__start_text", "__end_text")
     s = F.col("start_datetime")
     t = t.withColumns(
         {

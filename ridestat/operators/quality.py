@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.datetimes import avg_minutes
 from ..functions.fixed import LONG_TRIP_MINUTES, TOP_INVALID_FILES, VERY_LONG_TRIP_MINUTES
 
 def _s():
@@ -85,5 +86,5 @@ def clean_summary(analysis: DataFrame) -> DataFrame:
         _missing("end").alias("clean_missing_end_station"),
         F.min(_s()).alias("min_start_datetime"),
         F.max(_s()).alias("max_start_datetime"),
-        F.avg(_d()).alias("avg_duration_minutes"),
+        avg_minutes().alias("avg_duration_minutes"),
     )

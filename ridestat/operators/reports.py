@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.datetimes import weekday_name
+from ..functions.datetimes import avg_minutes, median_minutes, weekday_name
 from ..functions.fixed import TOP_ROUTES
 from ..functions.rules import age_group
 from ..plans.views import trips_with_station_info
@@ -24,14 +24,14 @@ def _n():
 
 
 def _avg():
-    return F.avg("duration_minutes").alias("avg_duration_minutes")
+    return avg_minutes().alias("avg_duration_minutes")
 
 
 def monthly_trips(analysis: DataFrame) -> DataFrame:
     """Per (year, month): trips, mean and exact median duration."""
     return (
         analysis.groupBy("year", "month")
-        .agg(_n().alias("total_trips"), _avg(), F.median("duration_minutes").alias("median_duration_minutes"))
+        .agg(_n().alias("total_trips"), _avg(), median_minutes().alias("median_duration_minutes"))
         .orderBy(F.col("year").asc_nulls_last(), F.col("month").asc_nulls_last())
     )
 

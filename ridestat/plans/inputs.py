@@ -1,39 +1,10 @@
-"""Inputs of the registered queries: trips and stations built from the driver's tables."""
+"""Output shaping shared by the registered queries."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from ..operators.clean import clean_trips
-from ..operators.row_index import index_by_key
-from ..operators.stations import StationDim, as_stations_table, clean_station_information
-from ..sources import proxy
-from .views import trips_analysis
-
-
-@dataclass
-class TripInputs:
-    raw: DataFrame  # source_file, row_key, [row_index], nine canonical text columns
-    catalog: DataFrame  # cleaned GBFS catalog (station_number as published)
-    dim: StationDim  # the stations table (normalised keys) + measured facts
-    trips: DataFrame  # trips_clean
-
-    @property
-    def analysis(self) -> DataFrame:
-        return trips_analysis(self.trips)
-
-
-def trip_inputs(spark: SparkSession, sf_dir: str, with_trip_id: bool = False) -> TripInputs:
-    raw = proxy.raw_trips(spark, sf_dir)
-    if with_trip_id:
-        raw = index_by_key(raw, "source_file", "row_key")
-    catalog = clean_station_information(proxy.raw_station_records(spark, sf_dir))
-    dim = StationDim.of(as_stations_table(catalog))
-    return TripInputs(raw, catalog, dim, clean_trips(raw, dim))
+from pyspark.sql import types as T
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -1,4 +1,8 @@
-"""Registered queries: name -> (spark, sf_dir) -> DataFrame, over the driver's tables."""
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame, over the driver's tables.
+
+Each query opens the :class:`~ridestat.plans.store.TripStore` for the folder (built from the
+folder's tables on first use) and runs one report over the stored tables.
+"""
 
 from __future__ import annotations
 
@@ -7,24 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import quality, reports
-from .inputs import round_doubles, trip_inputs
+from .store import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _analysis_report(fn) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return round_doubles(fn(trip_inputs(spark, sf_dir).analysis))
-
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
-
-
-def _station_report(fn) -> Query:
+def _on_store(fn: Callable[[TripStore], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        inp = trip_inputs(spark, sf_dir)
-        return round_doubles(fn(inp.analysis, inp.dim))
+        return fn(TripStore(spark, sf_dir))
 
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -33,15 +27,15 @@ def _station_report(fn) -> Query:
 
 QUERIES: dict[str, Query] = {
     # dashboard exports
-    "monthly_trips": _analysis_report(reports.monthly_trips),
-    "weekday_trips": _analysis_report(reports.weekday_trips),
-    "hourly_trips": _analysis_report(reports.hourly_trips),
-    "hourly_weekday_trips": _analysis_report(reports.hourly_weekday_trips),
-    "top_start_stations": _station_report(reports.top_start_stations),
-    "top_end_stations": _station_report(reports.top_end_stations),
-    "station_flow_balance": _station_report(reports.station_flow_balance),
-    "top_routes": _station_report(reports.top_routes),
-    "user_profile_summary": _analysis_report(reports.user_profile_summary),
+    "monthly_trips": _on_store(lambda s: reports.monthly_trips(s.analysis())),
+    "weekday_trips": _on_store(lambda s: reports.weekday_trips(s.analysis())),
+    "hourly_trips": _on_store(lambda s: reports.hourly_trips(s.analysis())),
+    "hourly_weekday_trips": _on_store(lambda s: reports.hourly_weekday_trips(s.analysis())),
+    "top_start_stations": _on_store(lambda s: reports.top_start_stations(s.analysis(), s.dim())),
+    "top_end_stations": _on_store(lambda s: reports.top_end_stations(s.analysis(), s.dim())),
+    "station_flow_balance": _on_store(lambda s: reports.station_flow_balance(s.analysis(), s.dim())),
+    "top_routes": _on_store(lambda s: reports.top_routes(s.analysis(), s.dim())),
+    "user_profile_summary": _on_store(lambda s: reports.user_profile_summary(s.analysis())),
 }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 # they only make plans faster and output easier to compare.
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.adaptive.enabled": "true",
@@ -19,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
