@@ -1,7 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame, over the driver's tables.
 
 Each query opens the :class:`~ridestat.plans.store.TripStore` for the folder (built from the
-folder's tables on first use) and runs one report over the stored tables.
+folder's tables on first use) and runs one operator over the stored tables.
 """
 
 from __future__ import annotations
@@ -9,24 +9,78 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import quality, reports
+from ..functions.fixed import CANONICAL_COLUMNS
+from ..functions.rules import age, gender, station_key
+from ..operators import quality, reports, stations, triage, validation
+from ..plans.views import trips_with_station_info
 from .store import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_store(fn: Callable[[TripStore], DataFrame]) -> Query:
+def _on_store(fn: Callable[[TripStore], DataFrame], doc: str = "") -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(TripStore(spark, sf_dir))
 
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
+    run.__doc__ = doc
     return run
 
 
+def _raw(s: TripStore) -> DataFrame:
+    return s.raw().select("source_file", "row_index", *CANONICAL_COLUMNS)
+
+
+def _station_key_map(s: TripStore) -> DataFrame:
+    """Raw station text -> normalised key and catalog match, with trip counts (both roles)."""
+    raw = s.raw()
+    pairs = F.array(
+        F.struct(F.lit("start").alias("role"), F.col("Ciclo_Estacion_Retiro").alias("raw_value")),
+        F.struct(F.lit("end").alias("role"), F.col("Ciclo_EstacionArribo").alias("raw_value")),
+    )
+    keyed = raw.select(F.inline(pairs)).withColumn("station_key", station_key("raw_value"))
+    counts = keyed.groupBy("role", "raw_value", "station_key").agg(F.count(F.lit(1)).alias("trips"))
+    keys = s.dim().keys().select(F.col("station_key").alias("__k"), F.lit(True).alias("__hit"))
+    return (
+        counts.join(keys, F.col("station_key") == F.col("__k"), "left")
+        .select("role", "raw_value", "station_key", F.coalesce("__hit", F.lit(False)).alias("found"), "trips")
+        .orderBy("role", "raw_value")
+    )
+
+
+def _value_map(raw_col: str, out_col: str, rule) -> Callable[[TripStore], DataFrame]:
+    def fn(s: TripStore) -> DataFrame:
+        return (
+            s.raw()
+            .groupBy(F.col(raw_col).alias("raw_value"))
+            .agg(F.count(F.lit(1)).alias("trips"))
+            .select("raw_value", rule("raw_value").alias(out_col), "trips")
+            .orderBy(F.col("raw_value").asc_nulls_first())
+        )
+
+    return fn
+
+
 QUERIES: dict[str, Query] = {
-    # dashboard exports
+    # ---- load: trips_clean and the station tables ----------------------------------------
+    "trips_clean": _on_store(lambda s: s.trips(), "20-column fact table built from raw trips"),
+    "station_catalog": _on_store(lambda s: s.catalog(), "cleaned GBFS station catalog"),
+    "stations_table": _on_store(lambda s: s.stations(), "stations table (normalised keys)"),
+    "station_catalog_summary": _on_store(lambda s: stations.station_catalog_summary(s.catalog())),
+    "station_key_map": _on_store(_station_key_map),
+    "gender_map": _on_store(_value_map("Genero_Usuario", "gender", gender)),
+    "age_map": _on_store(_value_map("Edad_Usuario", "age", age)),
+    # ---- quality -------------------------------------------------------------------------
+    "load_validation": _on_store(lambda s: quality.load_validation(s.trips())),
+    "quality_summary": _on_store(lambda s: quality.quality_summary(s.trips())),
+    "quality_by_file": _on_store(lambda s: quality.quality_by_file(s.trips())),
+    "top_invalid_start_files": _on_store(lambda s: quality.top_invalid_start_files(quality.quality_by_file(s.trips()))),
+    "clean_summary": _on_store(lambda s: quality.clean_summary(s.analysis())),
+    # ---- views ---------------------------------------------------------------------------
+    "trips_analysis": _on_store(lambda s: s.analysis()),
+    "trips_with_station_info": _on_store(lambda s: trips_with_station_info(s.analysis(), s.dim())),
+    # ---- dashboard exports ---------------------------------------------------------------
     "monthly_trips": _on_store(lambda s: reports.monthly_trips(s.analysis())),
     "weekday_trips": _on_store(lambda s: reports.weekday_trips(s.analysis())),
     "hourly_trips": _on_store(lambda s: reports.hourly_trips(s.analysis())),
@@ -36,6 +90,35 @@ QUERIES: dict[str, Query] = {
     "station_flow_balance": _on_store(lambda s: reports.station_flow_balance(s.analysis(), s.dim())),
     "top_routes": _on_store(lambda s: reports.top_routes(s.analysis(), s.dim())),
     "user_profile_summary": _on_store(lambda s: reports.user_profile_summary(s.analysis())),
+    # ---- dashboard figures ---------------------------------------------------------------
+    "headline": _on_store(lambda s: reports.headline(s.analysis())),
+    "weekday_weekend": _on_store(lambda s: reports.weekday_weekend(s.analysis())),
+    "station_capacity_demand": _on_store(lambda s: reports.station_capacity_demand(s.analysis(), s.dim())),
+    "trips_by_gender": _on_store(lambda s: reports.trips_by_gender(s.analysis())),
+    "trips_by_age_group": _on_store(lambda s: reports.trips_by_age_group(s.analysis())),
+    "net_flow_summary": _on_store(
+        lambda s: reports.net_flow_summary(reports.station_flow_balance(s.analysis(), s.dim()))
+    ),
+    # ---- validation of raw files ---------------------------------------------------------
+    "historical_files_summary": _on_store(lambda s: validation.historical_files_summary(_raw(s), s.dim())),
+    "validation_totals": _on_store(
+        lambda s: validation.validation_totals(validation.historical_files_summary(_raw(s), s.dim()))
+    ),
+    "missing_stations_summary": _on_store(lambda s: validation.missing_stations_summary(_raw(s), s.dim())),
+    "missing_station_usage": _on_store(lambda s: validation.missing_station_usage(_raw(s), s.dim())),
+    "top_missing_stations": _on_store(
+        lambda s: validation.top_missing_stations(validation.missing_station_usage(_raw(s), s.dim()))
+    ),
+    "missing_station_usage_by_file": _on_store(
+        lambda s: validation.missing_station_usage_by_file(_raw(s), s.dim())
+    ),
+    "missing_station_totals": _on_store(lambda s: validation.missing_station_totals(_raw(s), s.dim())),
+    # ---- datetime triage -----------------------------------------------------------------
+    "datetime_triage_summary": _on_store(lambda s: triage.datetime_triage_summary(_raw(s))),
+    "invalid_datetime_sample": _on_store(lambda s: triage.invalid_datetime_sample(_raw(s))),
+    "invalid_start_value_counts": _on_store(lambda s: triage.invalid_start_value_counts(_raw(s))),
+    "duration_describe": _on_store(lambda s: triage.duration_describe(_raw(s))),
+    "longest_trips": _on_store(lambda s: triage.longest_trips(_raw(s))),
 }
 
 
