@@ -40,20 +40,27 @@ def datetime_triage_summary(raw: DataFrame) -> DataFrame:
     )
 
 
+# None of these filters rows on a parsed datetime *before* an aggregate or top-k: a filter is
+# pushed below the projections that compute its columns and would inline the whole parse into
+# the scan's filter. Validity is folded into aggregates (count_if / null-skipping) or applied
+# after the limit instead.
+
+
+def _valid() -> F.Column:
+    return F.col("start_datetime").isNotNull() & F.col("end_datetime").isNotNull()
+
+
 def invalid_datetime_sample(raw: DataFrame, n: int = TRIAGE_SAMPLE_ROWS) -> DataFrame:
     """First ``n`` rows (file order) whose start or end does not parse, with the joined texts."""
-    t = strict_datetimes(raw)
-    bad = t.where(F.col("start_datetime").isNull() | F.col("end_datetime").isNull())
+    t = strict_datetimes(raw).withColumn("__ok", _valid())
+    cols = ["source_file", "row_index", *CANONICAL_COLUMNS, "raw_start_datetime_text", "raw_end_datetime_text"]
+    # invalid rows sort first, so the first n of this order hold the first n invalid rows
     return (
-        bad.select(
-            "source_file",
-            "row_index",
-            *CANONICAL_COLUMNS,
-            "raw_start_datetime_text",
-            "raw_end_datetime_text",
-        )
-        .orderBy(F.col("source_file").asc_nulls_last(), "row_index")
+        t.select(*cols, "__ok")
+        .orderBy("__ok", F.col("source_file").asc_nulls_last(), "row_index")
         .limit(n)
+        .where(~F.col("__ok"))
+        .drop("__ok")
     )
 
 
@@ -62,26 +69,32 @@ def invalid_start_value_counts(raw: DataFrame, n: int = TRIAGE_VALUE_COUNTS) ->
 
     ``n`` per field, most frequent first, ties by value (missing first).
     """
-    bad = strict_datetimes(raw).where(F.col("start_datetime").isNull())
+    t = strict_datetimes(raw).withColumn("__bad", F.col("start_datetime").isNull())
     fields = F.array(
         F.struct(F.lit("Fecha_Retiro").alias("field"), F.col("Fecha_Retiro").alias("value")),
         F.struct(F.lit("Hora_Retiro").alias("field"), F.col("Hora_Retiro").alias("value")),
     )
-    counts = bad.select(F.inline(fields)).groupBy("field", "value").agg(F.count(F.lit(1)).alias("trips"))
+    counts = (
+        t.select("__bad", F.inline(fields))
+        .groupBy("field", "value")
+        .agg(F.count_if("__bad").alias("trips"))
+        .where(F.col("trips") > 0)
+    )
     order = [F.col("trips").desc(), F.col("value").asc_nulls_first()]
     # a distributed top-k per field (partial top-k in every task), not one sorted group
     tops = [counts.where(F.col("field") == f).orderBy(*order).limit(n) for f in ("Fecha_Retiro", "Hora_Retiro")]
     return tops[0].unionByName(tops[1])
 
 
-def valid_durations(raw: DataFrame) -> DataFrame:
-    t = strict_datetimes(raw).where(F.col("start_datetime").isNotNull() & F.col("end_datetime").isNotNull())
-    return t.withColumn("duration_minutes", duration_minutes("start_datetime", "end_datetime"))
+def with_valid_duration(raw: DataFrame) -> DataFrame:
+    """Strict datetimes plus ``duration_minutes`` (null unless both ends parse)."""
+    t = strict_datetimes(raw)
+    return t.withColumn("duration_minutes", F.when(_valid(), duration_minutes("start_datetime", "end_datetime")))
 
 
 def duration_describe(raw: DataFrame) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (interpolated, exact), max of valid durations."""
-    d = valid_durations(raw)
+    d = with_valid_duration(raw)
     m = F.col("duration_minutes")
     return d.agg(
         F.count(m).alias("count"),
@@ -97,9 +110,10 @@ def duration_describe(raw: DataFrame) -> DataFrame:
 
 def longest_trips(raw: DataFrame, n: int = TRIAGE_SAMPLE_ROWS) -> DataFrame:
     """The ``n`` longest valid trips (ties in file order)."""
-    d = valid_durations(raw)
+    d = with_valid_duration(raw)
     return (
         d.select("source_file", "row_index", *CANONICAL_COLUMNS, "start_datetime", "end_datetime", "duration_minutes")
-        .orderBy(F.col("duration_minutes").desc(), F.col("source_file").asc_nulls_last(), "row_index")
+        .orderBy(F.col("duration_minutes").desc_nulls_last(), F.col("source_file").asc_nulls_last(), "row_index")
         .limit(n)
+        .where(F.col("duration_minutes").isNotNull())
     )

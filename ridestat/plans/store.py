@@ -32,6 +32,7 @@ from ..sources import proxy
 from .views import trips_analysis
 
 _LOCK = threading.Lock()
+_DIMS: dict[str, tuple[int, bool]] = {}  # store folder -> measured (rows, unique) of its stations
 PROXY_INPUTS = ("events", "nation")
 
 
@@ -68,14 +69,14 @@ class TripStore:
         spark, sf = self.spark, self.sf_dir
         if not table_exists(spark, self.path("raw_trips")):
             raw = index_by_key(proxy.raw_trips(spark, sf), "source_file", "row_key")
-            write_table(raw, self.path("raw_trips"), partition_by=["source_file"])
+            write_table(raw, self.path("raw_trips"), partition_by=["source_file"], cluster_by=["row_index"])
         if not table_exists(spark, self.path("catalog")):
             write_table(clean_station_information(proxy.raw_station_records(spark, sf)), self.path("catalog"))
         if not table_exists(spark, self.path("stations")):
             write_table(as_stations_table(read_table(spark, self.path("catalog"))), self.path("stations"))
         if not table_exists(spark, self.path("trips_clean")):
             trips = clean_trips(self.raw(), self.dim())
-            write_table(trips, self.path("trips_clean"), partition_by=["year", "month"])
+            write_table(trips, self.path("trips_clean"), partition_by=["year", "month"], cluster_by=["trip_id"])
 
     # ---- readers -------------------------------------------------------------------------
     def raw(self) -> DataFrame:
@@ -89,7 +90,13 @@ class TripStore:
 
     def dim(self) -> StationDim:
         if self._dim is None:
-            self._dim = StationDim.of(self.stations())
+            key = self.path("stations")
+            if key in _DIMS:
+                rows, unique = _DIMS[key]
+                self._dim = StationDim(self.stations(), rows, unique)
+            else:
+                self._dim = StationDim.of(self.stations())
+                _DIMS[key] = (self._dim.rows, self._dim.unique)
         return self._dim
 
     def trips(self) -> DataFrame:

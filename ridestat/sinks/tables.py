@@ -29,12 +29,20 @@ def write_table(
     partition_by: list[str] | None = None,
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
+    cluster_by: list[str] | None = None,
 ) -> None:
     """Write Parquet (optionally partitioned), then record the schema next to it.
 
-    No shuffle is added: each task writes its rows into the partition folders it holds.
+    With ``partition_by`` the rows are first range-partitioned on the partition columns plus
+    ``cluster_by`` (a row-order key). Every task then writes one or two partition folders
+    instead of all of them (no tasks x partitions small-file explosion), files come out
+    sorted, and a partition that holds a third of the table (a hot month, the null-date
+    partition) is split across tasks by the trailing key. The partition count is left to
+    ``spark.sql.shuffle.partitions`` and AQE's coalescing.
     """
     spark = df.sparkSession
+    if partition_by:
+        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
     # static overwrite: the whole table folder is replaced and committed with a _SUCCESS marker
     w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if max_records_per_file:
