@@ -94,8 +94,12 @@ def with_valid_duration(raw: DataFrame) -> DataFrame:
 
 def duration_describe(raw: DataFrame) -> DataFrame:
     """count, mean, sample std, min, 25/50/75 % (interpolated, exact), max of valid durations."""
-    d = with_valid_duration(raw)
-    m = F.col("duration_minutes")
+    return describe_durations(with_valid_duration(raw))
+
+
+def describe_durations(d: DataFrame, column: str = "duration_minutes") -> DataFrame:
+    """Describe a minutes column (nulls skipped); percentiles exact, std rounded to 6 places."""
+    m = F.col(column)
     return d.agg(
         F.count(m).alias("count"),
         avg_minutes(m).alias("mean"),
