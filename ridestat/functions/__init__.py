@@ -1,0 +1 @@
+"""ridestat.functions."""

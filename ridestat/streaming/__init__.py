@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The trip pipeline is batch-only: monthly files are loaded by hand and real-time availability
+is out of scope for the system this package reproduces. New months are handled by re-running
+the batch load (``plans.pipeline.build_database``) over the landed files; no watermark,
+window or stateful operator has anything to compute here.
+"""
