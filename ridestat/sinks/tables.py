@@ -33,16 +33,20 @@ def write_table(
 ) -> None:
     """Write Parquet (optionally partitioned), then record the schema next to it.
 
-    With ``partition_by`` the rows are first range-partitioned on the partition columns plus
-    ``cluster_by`` (a row-order key). Every task then writes one or two partition folders
-    instead of all of them (no tasks x partitions small-file explosion), files come out
-    sorted, and a partition that holds a third of the table (a hot month, the null-date
-    partition) is split across tasks by the trailing key. The partition count is left to
-    ``spark.sql.shuffle.partitions`` and AQE's coalescing.
+    Without ``cluster_by`` no shuffle is added: each task writes the partition folders its
+    rows fall into (Spark sorts locally by the partition columns). That is the right plan when
+    the input is already clustered by the partition columns -- monthly trip files read split
+    by split produce one or two start months per task.
+
+    With ``cluster_by`` (for inputs that are not clustered) the rows are first
+    range-partitioned on the partition columns plus that row key: every task then writes one
+    or two folders instead of all of them (no tasks x partitions small files), and a partition
+    holding a third of the table (a hot month, the null-date partition) is split across tasks
+    by the trailing key. The partition count is left to AQE's coalescing.
     """
     spark = df.sparkSession
-    if partition_by:
-        df = df.repartitionByRange(*partition_by, *(cluster_by or []))
+    if partition_by and cluster_by:
+        df = df.repartitionByRange(*partition_by, *cluster_by)
     # static overwrite: the whole table folder is replaced and committed with a _SUCCESS marker
     w = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if max_records_per_file:

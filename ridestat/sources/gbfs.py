@@ -70,7 +70,10 @@ def feed_last_updated(spark: SparkSession, station_information_path: str) -> Dat
     """``last_updated`` epoch seconds as a UTC timestamp (one row per landed document)."""
     return _read(spark, station_information_path, STATION_INFORMATION_SCHEMA).select(
         F.col("last_updated"),
-        F.timestamp_seconds("last_updated").cast("timestamp_ntz").alias("last_updated_utc"),
+        # epoch seconds added to the zone-less epoch: UTC wall time whatever the session zone is
+        F.timestamp_add("SECOND", F.col("last_updated"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")).alias(
+            "last_updated_utc"
+        ),
     )
 
 
