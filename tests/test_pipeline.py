@@ -113,3 +113,21 @@ def test_load_quality_validation_exports(spark, landed):
     assert sum(int(r["total_trips"]) for r in monthly) == pipeline.Database(spark, db_root).analysis().count()
     with open(glob.glob(os.path.join(out, "quality_by_file", "*.csv"))[0], "rb") as f:
         assert f.read(3) == b"\xef\xbb\xbf"  # BOM header
+
+
+def test_sql_views(spark, landed):
+    root, sj, _, _ = landed
+    cat = os.path.join(root, "catalog")
+    pipeline.build_station_catalog(spark, sj, cat)
+    db_root = os.path.join(root, "db")
+    pipeline.build_database(spark, os.path.join(root, "trips"), cat, db_root)
+    pipeline.Database(spark, db_root).register()
+    n_clean = spark.sql("SELECT count(*) FROM trips_analysis").first()[0]
+    assert n_clean == pipeline.Database(spark, db_root).analysis().count() > 0
+    # the joined view keeps every clean trip and names known start stations
+    r = spark.sql(
+        "SELECT count(*) AS n, count(start_station_name) AS named FROM trips_with_station_info"
+    ).first()
+    assert r.n == n_clean and 0 < r.named < r.n
+    # the table keeps every catalog row (the missing short_name becomes a blank key, never joined)
+    assert spark.sql("SELECT count(*) FROM stations WHERE station_number = ''").first()[0] == 1
