@@ -46,18 +46,16 @@ def index_by_key(
     )
 
 
-def tag_split_position(df: DataFrame, file_col: str = "source_file") -> DataFrame:
-    """Attach split identity and scan position; call directly on a file scan."""
-    return df.withColumns(
-        {
-            "__block": F.col("_metadata.file_block_start"),
-            "__pos": F.monotonically_increasing_id(),
-        }
-    )
+def split_position_columns() -> dict[str, F.Column]:
+    """Columns :func:`index_by_split` needs; select them directly on a file scan."""
+    return {
+        "__block": F.col("_metadata.file_block_start"),
+        "__pos": F.monotonically_increasing_id(),
+    }
 
 
 def index_by_split(df: DataFrame, file_col: str = "source_file", out_col: str = "row_index") -> DataFrame:
-    """Row index from :func:`tag_split_position` columns (``__block``, ``__pos``).
+    """Row index from :func:`split_position_columns` (``__block``, ``__pos``).
 
     Both sides of the join re-read the same files with the same split packing, so
     ``__pos`` is identical in both; after the join no position column is kept.

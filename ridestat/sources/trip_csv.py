@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..functions.fixed import CANONICAL_COLUMNS, COLUMN_ALIASES, DEFAULT_DELIMITER, DELIMITER_CANDIDATES
 from ..functions.text import na_to_null, normalize_header_py, py_strip
-from ..operators.row_index import index_by_split
+from ..operators.row_index import index_by_split, split_position_columns
 
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
@@ -232,8 +232,7 @@ def read_raw_trips(
                 cols.append(F.lit(None).cast("string").alias(c))
         for c in CANONICAL_COLUMNS:
             cols.append(F.lit(c in by_canonical).alias(f"__has_{c}"))
-        part = df.select(*cols, F.col("_metadata.file_block_start").alias("__block"),
-                         F.monotonically_increasing_id().alias("__pos"))
+        part = df.select(*cols, *[c.alias(n) for n, c in split_position_columns().items()])
         parts.append(part)
     raw = parts[0]
     for p in parts[1:]:
