@@ -103,16 +103,36 @@ def top_end_stations(analysis: DataFrame, dim: StationDim) -> DataFrame:
 def station_flow_balance(analysis: DataFrame, dim: StationDim) -> DataFrame:
     """Departures - arrivals per station that has departures; largest imbalance first.
 
-    Stations with arrivals but no departures are not listed (left join from departures).
+    Stations with arrivals but no departures are not listed (as a left join from departures).
+    With a unique catalog both counts come from one scan: every trip yields a departure row
+    for its start and an arrival row for its end, aggregated map-side per station.
     """
     if dim.unique:
-        dep = (
-            analysis.where("start_station_found")
-            .groupBy(F.col("start_station_number").alias("station_number"))
-            .agg(_n().alias("total_departures"))
+        roles = analysis.select(
+            F.inline(
+                F.array(
+                    F.struct(
+                        F.col("start_station_number").alias("station_number"),
+                        F.col("start_station_found").alias("found"),
+                        F.lit(1).alias("dep"),
+                        F.lit(0).alias("arr"),
+                    ),
+                    F.struct(
+                        F.col("end_station_number").alias("station_number"),
+                        F.col("end_station_found").alias("found"),
+                        F.lit(0).alias("dep"),
+                        F.lit(1).alias("arr"),
+                    ),
+                )
+            )
         )
-        dep = _attach(dep, dim, "station_number", "", with_capacity=False)
-        src = analysis
+        counts = (
+            roles.where("found")
+            .groupBy("station_number")
+            .agg(F.sum("dep").cast("bigint").alias("total_departures"), F.sum("arr").cast("bigint").alias("__arrivals"))
+            .where(F.col("total_departures") > 0)
+        )
+        out = _attach(counts, dim, "station_number", "", with_capacity=False)
     else:
         src = trips_with_station_info(analysis, dim)
         dep = (
@@ -125,13 +145,13 @@ def station_flow_balance(analysis: DataFrame, dim: StationDim) -> DataFrame:
             )
             .agg(_n().alias("total_departures"))
         )
-    arr = (
-        src.where("end_station_found")
-        .groupBy(F.col("end_station_number").alias("__arr_key"))
-        .agg(_n().alias("__arrivals"))
-    )
-    out = dep.join(arr, F.col("station_number") == F.col("__arr_key"), "left")
-    arrivals = F.coalesce(F.col("__arrivals"), F.lit(0))
+        arr = (
+            src.where("end_station_found")
+            .groupBy(F.col("end_station_number").alias("__arr_key"))
+            .agg(_n().alias("__arrivals"))
+        )
+        out = dep.join(arr, F.col("station_number") == F.col("__arr_key"), "left")
+    arrivals = F.coalesce(F.col("__arrivals"), F.lit(0)).cast("bigint")
     net = F.col("total_departures") - arrivals
     return out.select(
         "station_number",

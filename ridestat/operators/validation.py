@@ -4,14 +4,12 @@ Input: ``source_file`` + the nine canonical text columns, optionally with ``__ha
 flags (the CSV reader adds them; a column a file does not have is null there and is skipped
 by every check, as if absent).
 
-Two aggregations touch the raw rows, both with map-side partial aggregation, so a file that
-holds a third of all rows costs no more than any other:
-
-* per file: rows, invalid dates / times, gender counts
-* per (file, role, station key): trips
-
-Everything else (distinct station counts, missing-station lists, usage, totals) is computed
-from the second, small aggregate after one broadcast existence mark against the catalog keys.
+One scan and one map-side-combined aggregate over the raw rows serve every report
+(:func:`file_and_station_counts`): per file (rows, invalid dates / times, gender counts) and
+per (file, role, station key) trips. A file holding a third of all rows costs no more than
+any other. Everything else (distinct station counts, missing-station lists, usage, totals) is
+computed from that small aggregate after one broadcast existence mark against the catalog
+keys.
 """
 
 from __future__ import annotations
@@ -22,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.datetimes import valid_date_only, valid_time_only
 from ..functions.fixed import TOP_MISSING_STATIONS
 from ..functions.rules import percentage, raw_gender, station_key
+from ..session import ensure_checkpoint_dir
 from .stations import StationDim
 
 ROLE_COLUMNS = {"start": "Ciclo_Estacion_Retiro", "end": "Ciclo_EstacionArribo"}
@@ -71,9 +70,76 @@ def station_role_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     )
 
 
+def file_and_station_counts(raw: DataFrame, dim: StationDim) -> tuple[DataFrame, DataFrame]:
+    """Per-file stats and per-(file, role, key) counts from ONE scan of the raw rows.
+
+    Every raw row yields a stats row (role null) carrying its flags plus one row per station
+    role; a single map-side-combined aggregate on (file, role, key) produces both results.
+    The aggregate (files x distinct keys rows) is checkpointed into the cluster's checkpoint
+    folder (an eager job): both outputs read it, so the raw files are parsed once -- without
+    it the optimizer pushes each output's role filter below the aggregate and scans twice.
+    Returns (file stats as :func:`file_row_stats`, role counts as :func:`station_role_counts`).
+    """
+    ensure_checkpoint_dir(raw.sparkSession)
+    g = raw_gender("Genero_Usuario")
+    has_g = present(raw, "Genero_Usuario")
+    as_int = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
+    null_s = F.lit(None).cast("string")
+    stats = F.struct(
+        null_s.alias("role"),
+        null_s.alias("station_key"),
+        F.lit(True).alias("ok"),
+        as_int(present(raw, "Fecha_Retiro") & ~valid_date_only("Fecha_Retiro")).alias("inv_date"),
+        as_int(present(raw, "Hora_Retiro") & ~valid_time_only("Hora_Retiro")).alias("inv_time"),
+        as_int(has_g & (g == "M")).alias("g_m"),
+        as_int(has_g & (g == "F")).alias("g_f"),
+        as_int(has_g & (g == "O")).alias("g_o"),
+        as_int(has_g & (g == "?")).alias("g_u"),
+    )
+    zero = F.lit(0)
+    roles = [
+        F.struct(
+            F.lit(role).alias("role"),
+            station_key(col).alias("station_key"),
+            present(raw, col).alias("ok"),
+            zero.alias("inv_date"), zero.alias("inv_time"),
+            zero.alias("g_m"), zero.alias("g_f"), zero.alias("g_o"), zero.alias("g_u"),
+        )
+        for role, col in ROLE_COLUMNS.items()
+    ]
+    agg = (
+        raw.select("source_file", F.inline(F.array(stats, *roles)))
+        .where(F.col("role").isNull() | (F.col("ok") & (F.col("station_key") != "")))
+        .groupBy("source_file", "role", "station_key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.sum(c).cast("bigint").alias(c) for c in ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")],
+        )
+        .checkpoint()
+    )
+    file_stats = agg.where(F.col("role").isNull()).select(
+        "source_file",
+        F.col("n").alias("rows"),
+        F.col("inv_date").alias("invalid_fecha_retiro"),
+        F.col("inv_time").alias("invalid_hora_retiro"),
+        F.col("g_m").alias("gender_M"),
+        F.col("g_f").alias("gender_F"),
+        F.col("g_o").alias("gender_O"),
+        F.col("g_u").alias("gender_unknown"),
+    )
+    counts = agg.where(F.col("role").isNotNull()).select("source_file", "role", "station_key", F.col("n").alias("trips"))
+    keys = dim.keys().select(F.col("station_key").alias("__k"), F.lit(True).alias("__hit"))
+    role_counts = (
+        counts.join(keys, F.col("station_key") == F.col("__k"), "left")
+        .withColumn("found", F.coalesce(F.col("__hit"), F.lit(False)))
+        .drop("__k", "__hit")
+    )
+    return file_stats, role_counts
+
+
 def historical_files_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
     """One row per file: rows, distinct / missing station counts, invalid date/time, genders."""
-    roles = station_role_counts(raw, dim)
+    stats, roles = file_and_station_counts(raw, dim)
     start, end = F.col("role") == "start", F.col("role") == "end"
     missing = ~F.col("found")
     key_stats = roles.groupBy("source_file").agg(
@@ -82,7 +148,6 @@ def historical_files_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
         F.count_if(start & missing).alias("missing_start_stations"),
         F.count_if(end & missing).alias("missing_end_stations"),
     )
-    stats = file_row_stats(raw)
     out = stats.join(key_stats, "source_file", "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
     return out.select(
@@ -135,9 +200,10 @@ def top_missing_stations(usage: DataFrame, n: int = TOP_MISSING_STATIONS) -> Dat
 
 def missing_station_usage_by_file(raw: DataFrame, dim: StationDim) -> DataFrame:
     """Per file: rows, trips with an unknown start / end station, and their percentages."""
-    rows = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    stats, roles = file_and_station_counts(raw, dim)
+    rows = stats.select("source_file", "rows")
     miss = (
-        station_role_counts(raw, dim)
+        roles
         .where(~F.col("found"))
         .groupBy("source_file")
         .agg(
@@ -165,11 +231,12 @@ def missing_station_totals(raw: DataFrame, dim: StationDim) -> DataFrame:
     One aggregate over the union of per-file row counts and unknown-key counts (no join).
     """
     null_key = F.lit(None).cast("string")
-    rows = raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("n").alias("rows"), F.lit(0).cast("bigint").alias("ms"), F.lit(0).cast("bigint").alias("me"),
+    stats, roles = file_and_station_counts(raw, dim)
+    rows = stats.select(
+        F.col("rows"), F.lit(0).cast("bigint").alias("ms"), F.lit(0).cast("bigint").alias("me"),
         null_key.alias("station_key"),
     )
-    miss = station_role_counts(raw, dim).where(~F.col("found")).select(
+    miss = roles.where(~F.col("found")).select(
         F.lit(0).cast("bigint").alias("rows"),
         F.when(F.col("role") == "start", F.col("trips")).otherwise(F.lit(0)).cast("bigint").alias("ms"),
         F.when(F.col("role") == "end", F.col("trips")).otherwise(F.lit(0)).cast("bigint").alias("me"),
