@@ -17,6 +17,7 @@ from ..functions.datetimes import (
     with_parsed_datetime,
 )
 from ..functions.fixed import CANONICAL_COLUMNS, TRIAGE_SAMPLE_ROWS, TRIAGE_VALUE_COUNTS
+from ..session import ensure_checkpoint_dir
 
 
 def strict_datetimes(raw: DataFrame) -> DataFrame:
@@ -74,11 +75,14 @@ def invalid_start_value_counts(raw: DataFrame, n: int = TRIAGE_VALUE_COUNTS) ->
         F.struct(F.lit("Fecha_Retiro").alias("field"), F.col("Fecha_Retiro").alias("value")),
         F.struct(F.lit("Hora_Retiro").alias("field"), F.col("Hora_Retiro").alias("value")),
     )
+    # counts per distinct (field, value), checkpointed so both top-k's read it (one raw scan)
+    ensure_checkpoint_dir(raw.sparkSession)
     counts = (
         t.select("__bad", F.inline(fields))
         .groupBy("field", "value")
         .agg(F.count_if("__bad").alias("trips"))
         .where(F.col("trips") > 0)
+        .checkpoint()
     )
     order = [F.col("trips").desc(), F.col("value").asc_nulls_first()]
     # a distributed top-k per field (partial top-k in every task), not one sorted group
