@@ -6,7 +6,7 @@ filter them to the files of interest before calling (the source system triaged o
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.datetimes import (
@@ -17,7 +17,6 @@ from ..functions.datetimes import (
     with_parsed_datetime,
 )
 from ..functions.fixed import CANONICAL_COLUMNS, TRIAGE_SAMPLE_ROWS, TRIAGE_VALUE_COUNTS
-from ..session import ensure_checkpoint_dir
 
 
 def strict_datetimes(raw: DataFrame) -> DataFrame:
@@ -75,19 +74,21 @@ def invalid_start_value_counts(raw: DataFrame, n: int = TRIAGE_VALUE_COUNTS) ->
         F.struct(F.lit("Fecha_Retiro").alias("field"), F.col("Fecha_Retiro").alias("value")),
         F.struct(F.lit("Hora_Retiro").alias("field"), F.col("Hora_Retiro").alias("value")),
     )
-    # counts per distinct (field, value), checkpointed so both top-k's read it (one raw scan)
-    ensure_checkpoint_dir(raw.sparkSession)
     counts = (
         t.select("__bad", F.inline(fields))
         .groupBy("field", "value")
         .agg(F.count_if("__bad").alias("trips"))
         .where(F.col("trips") > 0)
-        .checkpoint()
     )
-    order = [F.col("trips").desc(), F.col("value").asc_nulls_first()]
-    # a distributed top-k per field (partial top-k in every task), not one sorted group
-    tops = [counts.where(F.col("field") == f).orderBy(*order).limit(n) for f in ("Fecha_Retiro", "Hora_Retiro")]
-    return tops[0].unionByName(tops[1])
+    # top n per field: Spark plans a per-task group limit before the window's shuffle, so
+    # only n rows per field and task move (a distributed top-k, one scan of the raw rows)
+    w = Window.partitionBy("field").orderBy(F.col("trips").desc(), F.col("value").asc_nulls_first())
+    return (
+        counts.withColumn("__rank", F.row_number().over(w))
+        .where(F.col("__rank") <= n)
+        .orderBy("field", "__rank")
+        .drop("__rank")
+    )
 
 
 def with_valid_duration(raw: DataFrame) -> DataFrame:

@@ -4,12 +4,12 @@ Input: ``source_file`` + the nine canonical text columns, optionally with ``__ha
 flags (the CSV reader adds them; a column a file does not have is null there and is skipped
 by every check, as if absent).
 
-One scan and one map-side-combined aggregate over the raw rows serve every report
-(:func:`file_and_station_counts`): per file (rows, invalid dates / times, gender counts) and
-per (file, role, station key) trips. A file holding a third of all rows costs no more than
-any other. Everything else (distinct station counts, missing-station lists, usage, totals) is
-computed from that small aggregate after one broadcast existence mark against the catalog
-keys.
+Each report scans the raw rows once. :func:`file_and_station_counts` holds per-file stats
+(rows, invalid dates / times, gender counts) and per (file, role, station key) trips in one
+map-side-combined aggregate, so a file holding a third of all rows costs no more than any
+other; distinct station counts, missing-station lists, usage and totals are computed from that
+small aggregate (after one broadcast existence mark against the catalog keys) with a second
+aggregate -- never by splitting it into filtered branches, which would re-scan the raw rows.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from ..functions.datetimes import valid_date_only, valid_time_only
 from ..functions.fixed import TOP_MISSING_STATIONS
 from ..functions.rules import percentage, raw_gender, station_key
-from ..session import ensure_checkpoint_dir
 from .stations import StationDim
 
 ROLE_COLUMNS = {"start": "Ciclo_Estacion_Retiro", "end": "Ciclo_EstacionArribo"}
@@ -70,17 +69,19 @@ def station_role_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     )
 
 
-def file_and_station_counts(raw: DataFrame, dim: StationDim) -> tuple[DataFrame, DataFrame]:
-    """Per-file stats and per-(file, role, key) counts from ONE scan of the raw rows.
+def file_and_station_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
+    """Per-file stats and per-(file, role, key) counts in ONE aggregate over the raw rows.
 
     Every raw row yields a stats row (role null) carrying its flags plus one row per station
-    role; a single map-side-combined aggregate on (file, role, key) produces both results.
-    The aggregate (files x distinct keys rows) is checkpointed into the cluster's checkpoint
-    folder (an eager job): both outputs read it, so the raw files are parsed once -- without
-    it the optimizer pushes each output's role filter below the aggregate and scans twice.
-    Returns (file stats as :func:`file_row_stats`, role counts as :func:`station_role_counts`).
+    role; one map-side-combined aggregate on (file, role, key) holds both kinds of result,
+    then station keys are marked against the catalog (broadcast). Reports consume it with a
+    further aggregate (conditional sums / counts), never by filtering it into two branches:
+    a filter on a grouping column would be pushed below the aggregate and make each branch
+    scan and parse the raw files again.
+
+    Columns: source_file, role (null for the stats row), station_key, n, inv_date, inv_time,
+    g_m, g_f, g_o, g_u, found.
     """
-    ensure_checkpoint_dir(raw.sparkSession)
     g = raw_gender("Genero_Usuario")
     has_g = present(raw, "Genero_Usuario")
     as_int = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
@@ -115,55 +116,41 @@ def file_and_station_counts(raw: DataFrame, dim: StationDim) -> tuple[DataFrame,
             F.count(F.lit(1)).alias("n"),
             *[F.sum(c).cast("bigint").alias(c) for c in ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")],
         )
-        .checkpoint()
     )
-    file_stats = agg.where(F.col("role").isNull()).select(
-        "source_file",
-        F.col("n").alias("rows"),
-        F.col("inv_date").alias("invalid_fecha_retiro"),
-        F.col("inv_time").alias("invalid_hora_retiro"),
-        F.col("g_m").alias("gender_M"),
-        F.col("g_f").alias("gender_F"),
-        F.col("g_o").alias("gender_O"),
-        F.col("g_u").alias("gender_unknown"),
-    )
-    counts = agg.where(F.col("role").isNotNull()).select("source_file", "role", "station_key", F.col("n").alias("trips"))
     keys = dim.keys().select(F.col("station_key").alias("__k"), F.lit(True).alias("__hit"))
-    role_counts = (
-        counts.join(keys, F.col("station_key") == F.col("__k"), "left")
+    return (
+        agg.join(keys, F.col("station_key") == F.col("__k"), "left")
         .withColumn("found", F.coalesce(F.col("__hit"), F.lit(False)))
         .drop("__k", "__hit")
     )
-    return file_stats, role_counts
+
+
+def _is(role: str | None) -> F.Column:
+    return F.col("role").isNull() if role is None else (F.col("role") == role)
+
+
+def _missing(role: str) -> F.Column:
+    return _is(role) & ~F.col("found")
 
 
 def historical_files_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
     """One row per file: rows, distinct / missing station counts, invalid date/time, genders."""
-    stats, roles = file_and_station_counts(raw, dim)
-    start, end = F.col("role") == "start", F.col("role") == "end"
-    missing = ~F.col("found")
-    key_stats = roles.groupBy("source_file").agg(
-        F.count_if(start).alias("unique_start_stations"),
-        F.count_if(end).alias("unique_end_stations"),
-        F.count_if(start & missing).alias("missing_start_stations"),
-        F.count_if(end & missing).alias("missing_end_stations"),
-    )
-    out = stats.join(key_stats, "source_file", "left")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
-    return out.select(
-        F.col("source_file").alias("file"),
-        "rows",
-        z("unique_start_stations"),
-        z("unique_end_stations"),
-        z("missing_start_stations"),
-        z("missing_end_stations"),
-        "invalid_fecha_retiro",
-        "invalid_hora_retiro",
-        "gender_M",
-        "gender_F",
-        "gender_O",
-        "gender_unknown",
-    ).orderBy(F.col("file").asc_nulls_last())
+    c = file_and_station_counts(raw, dim)
+    stat = lambda col: F.sum(F.when(_is(None), F.col(col))).cast("bigint")
+    out = c.groupBy(F.col("source_file").alias("file")).agg(
+        stat("n").alias("rows"),
+        F.count_if(_is("start")).alias("unique_start_stations"),
+        F.count_if(_is("end")).alias("unique_end_stations"),
+        F.count_if(_missing("start")).alias("missing_start_stations"),
+        F.count_if(_missing("end")).alias("missing_end_stations"),
+        stat("inv_date").alias("invalid_fecha_retiro"),
+        stat("inv_time").alias("invalid_hora_retiro"),
+        stat("g_m").alias("gender_M"),
+        stat("g_f").alias("gender_F"),
+        stat("g_o").alias("gender_O"),
+        stat("g_u").alias("gender_unknown"),
+    )
+    return out.orderBy(F.col("file").asc_nulls_last())
 
 
 def missing_stations_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
@@ -200,22 +187,12 @@ def top_missing_stations(usage: DataFrame, n: int = TOP_MISSING_STATIONS) -> Dat
 
 def missing_station_usage_by_file(raw: DataFrame, dim: StationDim) -> DataFrame:
     """Per file: rows, trips with an unknown start / end station, and their percentages."""
-    stats, roles = file_and_station_counts(raw, dim)
-    rows = stats.select("source_file", "rows")
-    miss = (
-        roles
-        .where(~F.col("found"))
-        .groupBy("source_file")
-        .agg(
-            F.sum(F.when(F.col("role") == "start", F.col("trips"))).alias("missing_start_rows"),
-            F.sum(F.when(F.col("role") == "end", F.col("trips"))).alias("missing_end_rows"),
-        )
-    )
-    out = rows.join(miss, "source_file", "left").select(
-        F.col("source_file").alias("file"),
-        "rows",
-        F.coalesce("missing_start_rows", F.lit(0)).cast("bigint").alias("missing_start_rows"),
-        F.coalesce("missing_end_rows", F.lit(0)).cast("bigint").alias("missing_end_rows"),
+    c = file_and_station_counts(raw, dim)
+    trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+    out = c.groupBy(F.col("source_file").alias("file")).agg(
+        trips_if(_is(None)).alias("rows"),
+        trips_if(_missing("start")).alias("missing_start_rows"),
+        trips_if(_missing("end")).alias("missing_end_rows"),
     )
     return out.withColumns(
         {
@@ -226,27 +203,16 @@ def missing_station_usage_by_file(raw: DataFrame, dim: StationDim) -> DataFrame:
 
 
 def missing_station_totals(raw: DataFrame, dim: StationDim) -> DataFrame:
-    """All files together: rows, unknown-station trips, percentages, distinct unknown keys.
-
-    One aggregate over the union of per-file row counts and unknown-key counts (no join).
-    """
-    null_key = F.lit(None).cast("string")
-    stats, roles = file_and_station_counts(raw, dim)
-    rows = stats.select(
-        F.col("rows"), F.lit(0).cast("bigint").alias("ms"), F.lit(0).cast("bigint").alias("me"),
-        null_key.alias("station_key"),
-    )
-    miss = roles.where(~F.col("found")).select(
-        F.lit(0).cast("bigint").alias("rows"),
-        F.when(F.col("role") == "start", F.col("trips")).otherwise(F.lit(0)).cast("bigint").alias("ms"),
-        F.when(F.col("role") == "end", F.col("trips")).otherwise(F.lit(0)).cast("bigint").alias("me"),
-        "station_key",
-    )
-    sums = rows.unionByName(miss).agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("ms"), F.lit(0)).alias("missing_start_rows"),
-        F.coalesce(F.sum("me"), F.lit(0)).alias("missing_end_rows"),
-        F.count_distinct("station_key").alias("unique_missing_stations"),
+    """All files together: rows, unknown-station trips, percentages, distinct unknown keys."""
+    c = file_and_station_counts(raw, dim)
+    trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
+    sums = c.agg(
+        trips_if(_is(None)).alias("rows"),
+        trips_if(_missing("start")).alias("missing_start_rows"),
+        trips_if(_missing("end")).alias("missing_end_rows"),
+        F.count_distinct(F.when(F.col("role").isNotNull() & ~F.col("found"), F.col("station_key"))).alias(
+            "unique_missing_stations"
+        ),
     )
     return sums.select(
         "rows",
