@@ -51,12 +51,17 @@ def station_role_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     Keys are aggregated before the catalog mark, so the mark sees one row per distinct key
     per file and role.
     """
+    row = raw.select(
+        "source_file",
+        *[station_key(col).alias(f"{role}_key") for role, col in ROLE_COLUMNS.items()],
+        *[present(raw, col).alias(f"{role}_ok") for role, col in ROLE_COLUMNS.items()],
+    )
     pairs = [
-        F.struct(F.lit(role).alias("role"), station_key(col).alias("station_key"), present(raw, col).alias("ok"))
-        for role, col in ROLE_COLUMNS.items()
+        F.struct(F.lit(role).alias("role"), F.col(f"{role}_key").alias("station_key"), F.col(f"{role}_ok").alias("ok"))
+        for role in ROLE_COLUMNS
     ]
     counts = (
-        raw.select("source_file", F.inline(F.array(*pairs)))
+        row.select("source_file", F.inline(F.array(*pairs)))
         .where(F.col("ok") & (F.col("station_key") != ""))
         .groupBy("source_file", "role", "station_key")
         .agg(F.count(F.lit(1)).alias("trips"))
@@ -82,39 +87,44 @@ def file_and_station_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     Columns: source_file, role (null for the stats row), station_key, n, inv_date, inv_time,
     g_m, g_f, g_o, g_u, found.
     """
+    # per-row values in a projection first (common subexpressions are evaluated once there);
+    # the generator below only rearranges columns
     g = raw_gender("Genero_Usuario")
     has_g = present(raw, "Genero_Usuario")
     as_int = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
-    null_s = F.lit(None).cast("string")
-    stats = F.struct(
-        null_s.alias("role"),
-        null_s.alias("station_key"),
-        F.lit(True).alias("ok"),
+    row = raw.select(
+        "source_file",
         as_int(present(raw, "Fecha_Retiro") & ~valid_date_only("Fecha_Retiro")).alias("inv_date"),
         as_int(present(raw, "Hora_Retiro") & ~valid_time_only("Hora_Retiro")).alias("inv_time"),
         as_int(has_g & (g == "M")).alias("g_m"),
         as_int(has_g & (g == "F")).alias("g_f"),
         as_int(has_g & (g == "O")).alias("g_o"),
         as_int(has_g & (g == "?")).alias("g_u"),
+        *[station_key(col).alias(f"{role}_key") for role, col in ROLE_COLUMNS.items()],
+        *[present(raw, col).alias(f"{role}_ok") for role, col in ROLE_COLUMNS.items()],
     )
+    flags = ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")
+    null_s = F.lit(None).cast("string")
     zero = F.lit(0)
+    stats = F.struct(
+        null_s.alias("role"), null_s.alias("station_key"), F.lit(True).alias("ok"), *[F.col(c) for c in flags]
+    )
     roles = [
         F.struct(
             F.lit(role).alias("role"),
-            station_key(col).alias("station_key"),
-            present(raw, col).alias("ok"),
-            zero.alias("inv_date"), zero.alias("inv_time"),
-            zero.alias("g_m"), zero.alias("g_f"), zero.alias("g_o"), zero.alias("g_u"),
+            F.col(f"{role}_key").alias("station_key"),
+            F.col(f"{role}_ok").alias("ok"),
+            *[zero.alias(c) for c in flags],
         )
-        for role, col in ROLE_COLUMNS.items()
+        for role in ROLE_COLUMNS
     ]
     agg = (
-        raw.select("source_file", F.inline(F.array(stats, *roles)))
+        row.select("source_file", F.inline(F.array(stats, *roles)))
         .where(F.col("role").isNull() | (F.col("ok") & (F.col("station_key") != "")))
         .groupBy("source_file", "role", "station_key")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.sum(c).cast("bigint").alias(c) for c in ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")],
+            *[F.sum(c).cast("bigint").alias(c) for c in flags],
         )
     )
     keys = dim.keys().select(F.col("station_key").alias("__k"), F.lit(True).alias("__hit"))
