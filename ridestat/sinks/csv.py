@@ -23,6 +23,7 @@ def write_csv(df: DataFrame, path: str, bom: bool = False, single_file: bool = T
     (
         out.write.mode(mode)
         .option("header", True)
+        .option("escape", '"')  # RFC 4180: quotes inside quoted fields are doubled
         .option("timestampFormat", TIMESTAMP_FORMAT)
         .option("timestampNTZFormat", TIMESTAMP_FORMAT)
         .csv(path)
@@ -32,5 +33,5 @@ def write_csv(df: DataFrame, path: str, bom: bool = False, single_file: bool = T
 
 def read_report_csv(spark, path: str) -> DataFrame:
     """Read a report written by :func:`write_csv` back (all text; BOM removed from the header)."""
-    df = spark.read.option("header", True).csv(path)
+    df = spark.read.option("header", True).option("escape", '"').csv(path)
     return df.select(*[F.col(f"`{c}`").alias(c.lstrip(BOM)) for c in df.columns])

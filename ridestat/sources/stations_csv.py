@@ -28,6 +28,7 @@ def read_station_catalog(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(CATALOG_SCHEMA)
         .option("header", True)
         .option("multiLine", True)
+        .option("escape", '"')  # RFC 4180 doubled quotes, as the sink writes them
         .option("encoding", "UTF-8")
         .option("mode", "PERMISSIVE")
         .csv(path)

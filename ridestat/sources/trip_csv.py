@@ -192,6 +192,8 @@ def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, dict[st
         .option("header", True)
         .option("sep", g.separator)
         .option("encoding", g.encoding)
+        .option("quote", '"')
+        .option("escape", '"')  # RFC 4180: a quote inside a quoted field is doubled
         .option("enforceSchema", not unique)
         .option("mode", "PERMISSIVE")
         .csv(g.paths)

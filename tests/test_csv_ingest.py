@@ -29,7 +29,7 @@ def _row(i):
 def _write(path, header, rows, sep, encoding, bom=False):
     with open(path, "w", encoding=encoding, newline="") as f:
         if bom:
-            f.write("﻿")
+            f.write("\ufeff")
         f.write(sep.join(header) + "\n")
         for r in rows:
             f.write(sep.join(r) + "\n")
@@ -125,3 +125,12 @@ def test_csv_to_trips_clean(spark, trip_files):
     assert r["duration_minutes"] == 29.5 and r["year"] == 2022 and r["weekday"] == 5 and r["is_weekend"]
     r = rows["2022-03_3"]
     assert r["start_station_number"] == "" and not r["start_station_found"] and r["gender"] == "?"
+
+
+def test_quoted_fields(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "q")
+    os.makedirs(d)
+    row = dict(_row(0), Bici='"12, ""A"""')
+    _write(os.path.join(d, "2022-06.csv"), CANON, [[row[c] for c in CANON]], ",", "utf-8")
+    r = trip_csv.read_raw_trips(spark, d).first()
+    assert r["Bici"] == '12, "A"' and r["Hora_Arribo"] == row["Hora_Arribo"]

@@ -54,3 +54,12 @@ def test_csv_sink_bom_and_timestamps(spark, tmp_dir):
     assert b"2022-01-01 00:00:01" in head and b"T00:" not in head
     back = read_report_csv(spark, path)
     assert back.columns[0] == "trip_id" and back.count() == 5
+
+
+def test_csv_quotes_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([("Estación \"Reforma\", norte", 1)], "station_name string, n int")
+    path = write_csv(df, os.path.join(tmp_dir, "q"))
+    (part,) = glob.glob(os.path.join(path, "*.csv"))
+    with open(part, encoding="utf-8") as f:
+        assert '"Estación ""Reforma"", norte"' in f.read()
+    assert read_report_csv(spark, path).first()["station_name"] == 'Estación "Reforma", norte'
