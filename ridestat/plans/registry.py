@@ -113,6 +113,12 @@ QUERIES: dict[str, Query] = {
         lambda s: validation.missing_station_usage_by_file(_raw(s), s.dim())
     ),
     "missing_station_totals": _on_store(lambda s: validation.missing_station_totals(_raw(s), s.dim())),
+    # ---- the same trips loaded through the CSV front door (header groups, encodings) ------
+    "csv_quality_summary": _on_store(lambda s: quality.quality_summary(s.csv_database().trips())),
+    "csv_monthly_trips": _on_store(lambda s: reports.monthly_trips(s.csv_database().analysis())),
+    "csv_top_start_stations": _on_store(
+        lambda s: reports.top_start_stations(s.csv_database().analysis(), s.csv_database().dim())
+    ),
     # ---- datetime triage -----------------------------------------------------------------
     "datetime_triage_summary": _on_store(lambda s: triage.datetime_triage_summary(_raw(s))),
     "invalid_datetime_sample": _on_store(lambda s: triage.invalid_datetime_sample(_raw(s))),

@@ -9,6 +9,8 @@ same happens with inputs derived from its tables:
 * ``catalog``     cleaned GBFS station catalog (as published)
 * ``stations``    the stations table (normalised keys)
 * ``trips_clean`` 20 columns, partitioned by year / month
+* ``csv/``        (on demand) the raw rows landed as CSV files in two header groups and the
+                  catalog as CSV, loaded again through the CSV front door (``csv/db``)
 
 Everything is written under ``<spark checkpoint dir>/ridestat-store/<input fingerprint>``, i.e.
 the shared folder the cluster names, and rebuilt whenever the inputs change.
@@ -21,14 +23,16 @@ import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..functions.fixed import TRIPS_CLEAN_COLUMNS
+from ..functions.fixed import CANONICAL_COLUMNS, TRIPS_CLEAN_COLUMNS
 from ..operators.clean import clean_trips
 from ..operators.row_index import index_by_key
 from ..operators.stations import StationDim, as_stations_table, clean_station_information
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import read_table, table_exists, write_table
 from ..sources import proxy
+from ..sources.stations_csv import write_station_catalog
 from .views import trips_analysis
 
 _LOCK = threading.Lock()
@@ -107,6 +111,62 @@ class TripStore:
     def analysis(self) -> DataFrame:
         return trips_analysis(self.trips())
 
+    # ---- the same trips through the CSV front door -----------------------------------------
+    def csv_database(self):
+        """The raw rows landed as monthly-style CSV files and loaded by the real CSV pipeline.
+
+        Odd months: canonical headers, ``,``, UTF-8. Even months: alias / accented / padded
+        headers in another order plus an extra column, ``;``, Latin-1. The catalog goes
+        through its CSV sink (with BOM) and source. The load is :func:`pipeline.build_database`.
+        """
+        from .pipeline import Database, build_database  # local: pipeline is a heavier module
+
+        root = self.path("csv")
+        db = Database(self.spark, f"{root}/db")
+        with _LOCK:
+            if not table_exists(self.spark, db.path("trips_clean")):
+                land_trip_csvs(self.raw(), f"{root}/trips")
+                write_station_catalog(self.catalog(), f"{root}/station_catalog")
+                build_database(
+                    self.spark,
+                    [f"{root}/trips/canonical/*.csv", f"{root}/trips/variant/*.csv"],
+                    f"{root}/station_catalog",
+                    db.root,
+                )
+        return db
+
+
+# Header variant used for the even months (all accepted spellings of the canonical columns).
+VARIANT_HEADERS = [
+    ("Hora_Arribo", "Hora_arribo"),
+    ("Fecha_Arribo", "Fecha Arribo"),
+    ("Ciclo_EstacionArribo", "CE_arribo"),
+    ("Hora_Retiro", "Hora_retiro"),
+    ("Fecha_Retiro", "Fecha_retiro"),
+    ("Ciclo_Estacion_Retiro", "CE_retiro"),
+    ("Bici", "Bici"),
+    ("Edad_Usuario", " Edad_usuario "),
+    ("Genero_Usuario", "Género_usuario"),
+]
+
+
+def land_trip_csvs(raw: DataFrame, out: str) -> None:
+    """Write raw trip rows as CSV files in two header groups (see :meth:`TripStore.csv_database`)."""
+    month = F.substring("source_file", 6, 2).cast("int")
+    common = {
+        "header": True,
+        "quote": '"',
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    canonical = raw.where(month % 2 == 1).select(*CANONICAL_COLUMNS)
+    canonical.write.mode("overwrite").options(sep=",", encoding="UTF-8", **common).csv(f"{out}/canonical")
+    variant = raw.where(month % 2 == 0).select(
+        *[F.col(src).alias(name) for src, name in VARIANT_HEADERS], F.col("row_key").cast("string").alias("Extra")
+    )
+    variant.write.mode("overwrite").options(sep=";", encoding="ISO-8859-1", **common).csv(f"{out}/variant")
+
 
 def trip_store(spark: SparkSession, sf_dir: str) -> TripStore:
     return TripStore(spark, sf_dir)
