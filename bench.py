@@ -4,8 +4,9 @@
 
 Prints one JSON line: {"metric", "value", "unit", "queries": {name: sec}, "sf", ...}.
 ``build_tables`` (landing raw trips, station tables and the year/month-partitioned
-trips_clean) is timed on its own; every query then reads the built tables, as the dashboard
-exports do after a load.
+trips_clean) and ``build_tables_from_csv`` (landing the same rows as header-group CSV files and
+loading them through the CSV front door) are timed on their own; every query then reads the
+built tables, as the dashboard exports do after a load.
 """
 
 from __future__ import annotations
@@ -37,8 +38,11 @@ def main() -> None:
 
     times: dict[str, float] = {}
     t0 = time.time()
-    TripStore(spark, sf_dir)
+    store = TripStore(spark, sf_dir)
     times["build_tables"] = round(time.time() - t0, 3)
+    t0 = time.time()
+    store.csv_database()
+    times["build_tables_from_csv"] = round(time.time() - t0, 3)
 
     # Each result is fully computed (every row and column) into Spark's no-op sink, so the
     # timing is the engine's, not the cost of turning result rows into Python objects.

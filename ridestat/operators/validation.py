@@ -30,21 +30,6 @@ def present(raw: DataFrame, column: str) -> F.Column:
     return F.col(flag) if flag in raw.columns else F.lit(True)
 
 
-def file_row_stats(raw: DataFrame) -> DataFrame:
-    """Per file: rows, invalid Fecha_Retiro / Hora_Retiro, and gender counts (M, F, O, ?)."""
-    g = raw_gender("Genero_Usuario")
-    has_g = present(raw, "Genero_Usuario")
-    return raw.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(present(raw, "Fecha_Retiro") & ~valid_date_only("Fecha_Retiro")).alias("invalid_fecha_retiro"),
-        F.count_if(present(raw, "Hora_Retiro") & ~valid_time_only("Hora_Retiro")).alias("invalid_hora_retiro"),
-        F.count_if(has_g & (g == "M")).alias("gender_M"),
-        F.count_if(has_g & (g == "F")).alias("gender_F"),
-        F.count_if(has_g & (g == "O")).alias("gender_O"),
-        F.count_if(has_g & (g == "?")).alias("gender_unknown"),
-    )
-
-
 def station_role_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     """(source_file, role, station_key, trips, found) for every non-blank station reference.
 

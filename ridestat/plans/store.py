@@ -166,7 +166,3 @@ def land_trip_csvs(raw: DataFrame, out: str) -> None:
         *[F.col(src).alias(name) for src, name in VARIANT_HEADERS], F.col("row_key").cast("string").alias("Extra")
     )
     variant.write.mode("overwrite").options(sep=";", encoding="ISO-8859-1", **common).csv(f"{out}/variant")
-
-
-def trip_store(spark: SparkSession, sf_dir: str) -> TripStore:
-    return TripStore(spark, sf_dir)
