@@ -20,8 +20,18 @@ def test_quality_counts(q):
     assert (r.negative_duration_trips, r.zero_duration_trips) == (198, 200)
     assert (r.trips_over_3_hours, r.trips_over_24_hours) == (616, 198)
     assert (r.missing_start_station_trips, r.missing_end_station_trips) == (1626, 1754)
-    # invariant: every trip has valid datetimes or an invalid start / end
-    assert r.valid_datetime_trips + r.invalid_start_datetime + r.invalid_end_datetime >= r.total_trips
+    # invariant: total = valid + trips with an invalid start or end (no invalid end here)
+    assert r.valid_datetime_trips == r.total_trips - r.invalid_start_datetime
+
+
+def test_per_file_quality_sums_to_summary(q):
+    total = q("quality_summary").first().asDict()
+    by_file = q("quality_by_file").collect()
+    for col in ("total_trips", "invalid_start_datetime", "invalid_end_datetime", "negative_duration_trips",
+                "trips_over_3_hours", "missing_start_station_trips", "missing_end_station_trips"):
+        assert sum(r[col] for r in by_file) == total[col], col
+    lv = q("load_validation").first().asDict()
+    assert all(lv[k] == total[k] for k in lv)
 
 
 def test_clean_and_calendar(q):
