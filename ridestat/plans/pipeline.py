@@ -93,7 +93,7 @@ def build_database(spark: SparkSession, trips_source: str | list[str], catalog_c
 # ---- quality ------------------------------------------------------------------------------
 
 
-def run_quality_checks(spark: SparkSession, db_root: str, out_dir: str) -> dict[str, DataFrame]:
+def quality_report(spark: SparkSession, db_root: str, out_dir: str) -> dict[str, DataFrame]:
     db = Database(spark, db_root)
     by_file = quality.quality_by_file(db.trips())
     write_csv(by_file, f"{out_dir}/quality_by_file", bom=True)
@@ -108,7 +108,7 @@ def run_quality_checks(spark: SparkSession, db_root: str, out_dir: str) -> dict[
 # ---- validation of raw files ------------------------------------------------------------
 
 
-def audit_csv_columns(spark: SparkSession, trips_source: str | list[str], out_dir: str) -> DataFrame:
+def audit_trip_files(spark: SparkSession, trips_source: str | list[str], out_dir: str) -> DataFrame:
     report = trip_csv.audit_report(trip_csv.audit_headers(spark, trips_source))
     write_csv(report, f"{out_dir}/csv_columns_audit", bom=True)
     return report
@@ -118,7 +118,7 @@ def _raw_for_validation(spark: SparkSession, trips_source, with_row_index: bool
     return trip_csv.read_raw_trips(spark, trips_source, require_all_columns=False, with_row_index=with_row_index)
 
 
-def validate_historical_trips(
+def validate_trip_files(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
@@ -130,7 +130,7 @@ def validate_historical_trips(
     return {"summary": summary, "missing": missing, "totals": validation.validation_totals(summary)}
 
 
-def analyze_missing_station_usage(
+def missing_station_report(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
@@ -178,7 +178,7 @@ EXPORTS = {
 }
 
 
-def export_dashboard_datasets(spark: SparkSession, db_root: str, out_dir: str) -> dict[str, str]:
+def export_dashboards(spark: SparkSession, db_root: str, out_dir: str) -> dict[str, str]:
     """The nine dashboard datasets as CSV folders (each one sorted part file)."""
     db = Database(spark, db_root)
     return {name: write_csv(fn(db), f"{out_dir}/{name}") for name, fn in EXPORTS.items()}
@@ -194,11 +194,11 @@ __all__ = [
     "Database",
     "build_station_catalog",
     "build_database",
-    "run_quality_checks",
-    "audit_csv_columns",
-    "validate_historical_trips",
-    "analyze_missing_station_usage",
+    "quality_report",
+    "audit_trip_files",
+    "validate_trip_files",
+    "missing_station_report",
     "triage_datetimes",
-    "export_dashboard_datasets",
+    "export_dashboards",
     "summary_row",
 ]

@@ -93,21 +93,21 @@ def test_load_quality_validation_exports(spark, landed):
     assert lv["total_trips"] == 60 and lv["invalid_start_datetime"] == 1 and lv["invalid_end_datetime"] == 0
     # start keys: 072, 3, 999, "", 390-391 -> 999 and "" are not found
     assert lv["missing_start_station_trips"] == 24
-    q = pipeline.run_quality_checks(spark, db_root, out)
+    q = pipeline.quality_report(spark, db_root, out)
     assert q["quality_summary"].first()["total_trips"] == 60
     assert os.path.isdir(os.path.join(out, "quality_by_file"))
-    v = pipeline.validate_historical_trips(spark, os.path.join(root, "trips"), cat, out)
+    v = pipeline.validate_trip_files(spark, os.path.join(root, "trips"), cat, out)
     s = v["summary"].first()
     assert s["rows"] == 60 and s["unique_start_stations"] == 4 and s["missing_start_stations"] == 1
     assert s["invalid_fecha_retiro"] == 1 and s["gender_unknown"] == 24  # "?" and empty (missing)
-    m = pipeline.analyze_missing_station_usage(spark, os.path.join(root, "trips"), cat, out)
+    m = pipeline.missing_station_report(spark, os.path.join(root, "trips"), cat, out)
     usage = {(r["role"], r["station_key"]): r["affected_trips"] for r in m["usage"].collect()}
     assert usage == {("start", "999"): 12, ("end", "55"): 12}
     t = pipeline.triage_datetimes(spark, os.path.join(root, "trips", "2022-09.csv"), out, "2022_09")
     ts = t["summary"].first()
     assert (ts["total_rows"], ts["invalid_start_datetime"], ts["invalid_end_datetime"]) == (60, 1, 1)
     assert t["sample"].count() == 2
-    paths = pipeline.export_dashboard_datasets(spark, db_root, os.path.join(out, "exports"))
+    paths = pipeline.export_dashboards(spark, db_root, os.path.join(out, "exports"))
     assert sorted(paths) == sorted(pipeline.EXPORTS)
     monthly = read_report_csv(spark, paths["monthly_trips"]).collect()
     assert sum(int(r["total_trips"]) for r in monthly) == pipeline.Database(spark, db_root).analysis().count()
