@@ -60,8 +60,9 @@ def timestamp_from_parts(parts: str | Column) -> Column:
     p = col_of(parts)
     y = _num(p, 3)
     year = F.when(F.length(F.element_at(p, 3)) == 4, y).when(y < TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
-    ts = F.try_make_timestamp_ntz(year, _num(p, 2), _num(p, 1), _num(p, 4), _num(p, 5), _num(p, 6))
-    return _in_range(ts)
+    # seconds are added, not set: 60 and 61 (accepted by the field pattern) roll forward
+    minute = F.try_make_timestamp_ntz(year, _num(p, 2), _num(p, 1), _num(p, 4), _num(p, 5), F.lit(0))
+    return _in_range(F.timestamp_add("SECOND", _num(p, 6), minute))
 
 
 def with_parsed_datetime(df, text_col: str, out_col: str, two_digit_years: bool = True):
@@ -87,7 +88,7 @@ def parse_trip_datetime(
     """``dd/mm/YYYY HH:MM:SS``, then (only where that failed) ``dd/mm/yy HH:MM:SS``; else null.
 
     With ``two_digit_years=False`` this is the strict triage parse (four-digit years only).
-    Seconds = 60 roll into the next minute; impossible dates (31/02) are null.
+    Seconds 60 and 61 roll into the next minute; impossible dates (31/02) are null.
     """
     # A text with a four-digit year never matches the two-digit form, so "four digits, else two
     # digits" is one pattern with both year forms.
@@ -107,7 +108,7 @@ def valid_time_only(c: str | Column) -> Column:
     """True when the raw (unstripped) text is an ``HH:MM:SS`` time; null is invalid."""
     text = col_of(c)
     p = _numbers(text)
-    ts = F.try_make_timestamp_ntz(F.lit(1900), F.lit(1), F.lit(1), _num(p, 1), _num(p, 2), _num(p, 3))
+    ts = F.try_make_timestamp_ntz(F.lit(1900), F.lit(1), F.lit(1), _num(p, 1), _num(p, 2), F.lit(0))
     return F.coalesce(text.rlike(TIME_RE) & ts.isNotNull(), F.lit(False))
 
 
