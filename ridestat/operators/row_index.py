@@ -8,7 +8,9 @@ Two inputs need this (trip ids are ``<file stem>_<row index>``):
   inside the split. The only aggregate is one row per split.
 * Keyed rows (:func:`index_by_key`): rows ordered by an integral, unique key. Rows are cut
   into fixed-width key buckets, a bucket holds at most ``bucket_width`` rows (unique keys), and
-  the index is rows in earlier buckets of the file + ``row_number`` inside the bucket.
+  the index is rows in earlier buckets of the file + ``row_number`` inside the bucket. The
+  width follows the key range, so a file has at most about a million buckets (the running
+  sum over a file's bucket counts stays bounded too).
 
 Neither ever places a whole file in one task; the per-split / per-bucket count tables are
 small and joined back on their keys (AQE broadcasts them when they are small at run time).
@@ -20,6 +22,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
+MAX_BUCKETS_PER_GROUP = 1 << 20
+
+
+def bucket_width_for(df: DataFrame, key_col: str) -> int:
+    """Bucket width from the key range (one min/max aggregate).
+
+    At least :data:`DEFAULT_BUCKET_WIDTH`, and wide enough that a group never has more than
+    :data:`MAX_BUCKETS_PER_GROUP` buckets, so the per-group offset window stays bounded
+    while a bucket holds at most ``width`` rows (keys are unique).
+    """
+    lo, hi = df.agg(F.min(key_col), F.max(key_col)).first()
+    if lo is None:
+        return DEFAULT_BUCKET_WIDTH
+    span = int(hi) - int(lo) + 1
+    return max(DEFAULT_BUCKET_WIDTH, -(-span // MAX_BUCKETS_PER_GROUP))
 
 
 def _offsets(counts: DataFrame, group_col: str, order_col: str, n_col: str) -> DataFrame:
@@ -32,9 +49,14 @@ def index_by_key(
     group_col: str,
     key_col: str,
     out_col: str = "row_index",
-    bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    bucket_width: int | None = None,
 ) -> DataFrame:
-    """Add ``out_col`` = 0-based position of the row within ``group_col`` ordered by ``key_col``."""
+    """Add ``out_col`` = 0-based position of the row within ``group_col`` ordered by ``key_col``.
+
+    ``key_col`` is integral and unique. ``bucket_width`` defaults to :func:`bucket_width_for`.
+    """
+    if bucket_width is None:
+        bucket_width = bucket_width_for(df, key_col)
     d = df.withColumn("__bucket", F.floor(F.col(key_col) / F.lit(bucket_width)))
     counts = d.groupBy(group_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     offsets = _offsets(counts, group_col, "__bucket", "__n").drop("__n")

@@ -30,3 +30,17 @@ def test_proxy_row_index_is_contiguous(spark):
         F.count_distinct("row_index").alias("d"),
     ).collect()
     assert stats and all(r.lo == 0 and r.hi == r.n - 1 and r.d == r.n for r in stats)
+
+
+def test_bucket_width_follows_key_range(spark):
+    from ridestat.operators.row_index import DEFAULT_BUCKET_WIDTH, MAX_BUCKETS_PER_GROUP, bucket_width_for
+
+    small = spark.createDataFrame([(i,) for i in range(1000)], "k long")
+    assert bucket_width_for(small, "k") == DEFAULT_BUCKET_WIDTH
+    wide = spark.createDataFrame([(0,), (10**13,), (5,)], "k long")
+    w = bucket_width_for(wide, "k")
+    assert (10**13 + 1) / w <= MAX_BUCKETS_PER_GROUP
+    # exact even with very wide buckets
+    df = spark.createDataFrame([("a", 0), ("a", 10**13), ("a", 5), ("b", 7)], "source_file string, row_key long")
+    got = {(r.source_file, r.row_key): r.row_index for r in index_by_key(df, "source_file", "row_key").collect()}
+    assert got == {("a", 0): 0, ("a", 5): 1, ("a", 10**13): 2, ("b", 7): 0}
