@@ -131,3 +131,18 @@ def test_sql_views(spark, landed):
     assert r.n == n_clean and 0 < r.named < r.n
     # the table keeps every catalog row (the missing short_name becomes a blank key, never joined)
     assert spark.sql("SELECT count(*) FROM stations WHERE station_number = ''").first()[0] == 1
+
+
+def test_command_line_steps(spark, landed, capsys):
+    from ridestat.__main__ import main
+
+    root, sj, dj, _ = landed
+    cat, db, out = (os.path.join(root, n) for n in ("catalog", "db", "out"))
+    trips = os.path.join(root, "trips")
+    assert main(["catalog", "--station-information", sj, "--catalog", cat, "--discovery", dj]) == 0
+    assert main(["audit", "--trips", trips, "--out", out]) == 0
+    assert main(["load", "--trips", trips, "--catalog", cat, "--db", db]) == 0
+    assert main(["quality", "--db", db, "--out", out]) == 0
+    assert main(["export", "--db", db, "--out", os.path.join(out, "exports")]) == 0
+    text = capsys.readouterr().out
+    assert "'total_stations': 4" in text and "'total_trips': 60" in text and "exported top_routes" in text
