@@ -63,6 +63,7 @@ class TripStore:
         self.sf_dir = sf_dir
         self.root = store_root(spark, sf_dir)
         self._dim: StationDim | None = None
+        self._csv_db = None
         with _LOCK:
             self._build()
 
@@ -121,6 +122,8 @@ class TripStore:
         """
         from .pipeline import Database, build_database  # local: pipeline is a heavier module
 
+        if self._csv_db is not None:
+            return self._csv_db
         root = self.path("csv")
         db = Database(self.spark, f"{root}/db")
         with _LOCK:
@@ -133,6 +136,7 @@ class TripStore:
                     f"{root}/station_catalog",
                     db.root,
                 )
+        self._csv_db = db
         return db
 
 
