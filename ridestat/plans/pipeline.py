@@ -184,12 +184,6 @@ def export_dashboards(spark: SparkSession, db_root: str, out_dir: str) -> dict[s
     return {name: write_csv(fn(db), f"{out_dir}/{name}") for name, fn in EXPORTS.items()}
 
 
-def summary_row(df: DataFrame) -> dict:
-    """First row as a dict (for one-row summaries only)."""
-    r = df.limit(1).collect()
-    return r[0].asDict() if r else {}
-
-
 __all__ = [
     "Database",
     "build_station_catalog",
@@ -200,5 +194,4 @@ __all__ = [
     "missing_station_report",
     "triage_datetimes",
     "export_dashboards",
-    "summary_row",
 ]
