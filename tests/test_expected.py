@@ -90,3 +90,16 @@ def test_strict_triage_counts(q):
     t = q("datetime_triage_summary").first()
     assert (t.total_rows, t.invalid_start_datetime, t.invalid_end_datetime) == (10_000, bad_start, bad_end)
     assert q("duration_describe").first()["count"] == valid == 9000
+
+
+def test_report_orders(q):
+    ms = [(r.file, r.missing_in != "Ciclo_Estacion_Retiro", r.station_key) for r in q("missing_stations_summary").collect()]
+    assert ms == sorted(ms)  # per file: start-column keys first, then end-column keys, each by key
+    usage = [r.affected_trips for r in q("missing_station_usage").collect()]
+    assert usage == sorted(usage, reverse=True)
+    flow = [abs(r.net_departures) for r in q("station_flow_balance").collect()]
+    assert flow == sorted(flow, reverse=True)
+    months = [(r.year, r.month) for r in q("monthly_trips").collect()]
+    assert months == sorted(months)
+    routes = [r.total_trips for r in q("top_routes").collect()]
+    assert routes == sorted(routes, reverse=True)
