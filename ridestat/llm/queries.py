@@ -5,13 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, url_rules
+from . import bpe, mixing, token_files, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the tokenizer queries (an installed public package)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = bpe.encode(docs, tokenizer_path(), decode=True)
+    n_tokens = (F.octet_length("token_ids") / 4).cast("long")
+    return out.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every document's ids lie in the written token files, and their checksum as read back."""
+    docs = _table(spark, sf_dir, "documents")
+    root = token_files.new_root(spark)
+    return token_files.read(token_files.write(docs, tokenizer_path(), root), root, docs.schema["doc_id"].dataType.simpleString())
+
+
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, winning rule and verdict of every page's url."""
     return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rule_table(spark))
@@ -26,6 +48,8 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op4_bpe": op4_bpe,
+        "op6_token_files": op6_token_files,
         "op7_url_rules": op7_url_rules,
         "op10_mix_sources": op10_mix_sources,
     }
