@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,3 +32,15 @@ def ready(spark: SparkSession) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read from there."""
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The frame, written as Parquet to the shared checkpoint folder and read from there."""
+    path = shared_folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, token_files, url_rules
+from . import bpe, line_dedup, mixing, near_dup, token_files, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,17 @@ def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), url_rules.rule_table(spark))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the lines that an earlier line equals or nearly equals."""
+    return line_dedup.dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, and whether it is the one that stays."""
+    out = near_dup.classes(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("kept"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document."""
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
@@ -51,6 +62,8 @@ def queries() -> dict:
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op7_url_rules": op7_url_rules,
+        "op8_line_dedup": op8_line_dedup,
+        "op9_near_dup": op9_near_dup,
         "op10_mix_sources": op10_mix_sources,
     }
 
@@ -61,6 +74,40 @@ def _rule_values() -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_line_dedup": f"""
+with docs as (
+  select doc_id, text, string_split(text, chr(10)) as lines from documents
+), line as (
+  select doc_id, unnest(range(len(lines))) as pos, unnest(lines) as body from docs
+), worded as materialized (
+  select doc_id, pos, regexp_extract_all(body, '[^\\x20\\x09-\\x0D]+') as words from line
+), seen as materialized (
+  select words, len(words) as n, min(struct_pack(doc_id := doc_id, pos := pos)) as first
+  from worded where len(words) >= {line_dedup.MIN_WORDS} group by words
+), variant as (
+  select words, n, first, unnest(range(1, n + 1)) as i from seen where n >= {line_dedup.NEAR_WORDS}
+), cut as (
+  select words, n, first, i, array_to_string(words[1:i - 1], ' ') || ' / ' || array_to_string(words[i + 1:], ' ') as gap,
+         array_to_string(words[1:i - 1] || words[i + 1:], ' ') as rest from variant
+), replaced as (
+  select words, first, min(first) over (partition by n, i, gap) as earliest from cut
+), pair as (
+  select c.words as a, c.first as fa, s.words as b, s.first as fb
+  from cut c join seen s on s.n >= {line_dedup.NEAR_WORDS} and s.n = c.n - 1 and c.rest = array_to_string(s.words, ' ')
+), near as (
+  select words from replaced where earliest < first
+  union select case when fa > fb then a else b end from pair
+), gone as materialized (
+  select w.doc_id, w.pos from worded w join seen s using (words)
+  where struct_pack(doc_id := w.doc_id, pos := w.pos) <> s.first or w.words in (select words from near)
+), kept as (
+  select doc_id, string_agg(body, chr(10) order by pos) as text, count(*) as n_kept
+  from line anti join gone using (doc_id, pos) group by doc_id
+)
+select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text,
+       coalesce(len(d.lines), 0) as n_lines, coalesce(len(d.lines), 0) - coalesce(k.n_kept, 0) as n_removed
+from docs d left join kept k using (doc_id)
+""",
         "op7_url_rules": f"""
 with cut as (
   select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import Encoder, Vocabulary, read_text
-from .common import ready
+from .common import ready, shared_folder
 from .textarrays import chunks
 
 SEQUENCE = 2048
@@ -212,4 +212,4 @@ def read(shards: DataFrame, root: str, id_type: str = "bigint") -> DataFrame:
 def new_root(spark: SparkSession) -> str:
     """A new folder for token files in the shared checkpoint folder."""
     ready(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
+    return shared_folder(spark, "tokens")
