@@ -26,6 +26,7 @@ from .common import cut, ready
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_ROWS = 64
 MAX_REPEATS = 3
+SALTS = 64
 WEIGHTS = (1, 2, 3)
 
 
@@ -110,9 +111,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEAT
     targets = cut(source_targets(units, weights, max_repeats))
     # A null source must meet its own row: join on a text that marks nulls.
     mark = F.coalesce(F.concat(F.lit("="), "source_key"), F.lit("-"))
+    # The few rows of targets are repeated under each salt, so a hot source meets its row in many tasks.
+    salted = targets.withColumn("mark", mark).drop("source_key").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     rated = (
         units.withColumn("mark", mark)
-        .join(targets.withColumn("mark", mark).drop("source_key"), "mark")
+        .withColumn("salt", F.pmod(F.xxhash64("doc_id", "size"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["mark", "salt"])
         .withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
         .withColumn("whole", F.floor("rate"))
         .withColumn("part", F.col("rate") - F.col("whole"))
