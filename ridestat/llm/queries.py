@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, near_dup, token_files, url_rules
+from . import bpe, line_dedup, mixing, near_dup, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return out.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def tokenizer_path() -> str:
     """The vocabulary file of the tokenizer queries (an installed public package)."""
     import public_tokenizers
@@ -59,6 +68,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_toxicity": op1_toxicity,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op7_url_rules": op7_url_rules,
