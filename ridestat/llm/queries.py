@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, near_dup, token_files, toxicity, url_rules
+from . import bpe, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and perplexity verdict of every document."""
+    return perplexity.judge(_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +74,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
+        "op3_quality_rules": op3_quality_rules,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
         "op7_url_rules": op7_url_rules,
