@@ -70,16 +70,18 @@ def _xor(a: Column, b: Column) -> Column:
     return a.bitwiseXOR(b)
 
 
-def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
+def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """h1, h2 of the lines within one edit of an earlier one."""
     halves = distinct.where("halves is not null").select(*LINE, F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("half")
     wanted = stored(halves.join(shared, "half", "left_semi").select(*LINE).distinct())
-    # Texts of the wanted lines, from their first places.
-    near, hit = _maybe(lines.where(F.col("n") >= NEAR_WORDS), F.col("h1"), _bits(wanted, F.col("h1")))
+    # Words of the wanted lines, from the documents that hold one first.
+    firsts = stored(distinct.join(wanted, LINE, "left_semi").select(*LINE, "first"))
+    holder = F.struct(F.col("doc_id"), F.xxhash64("text"))
+    near, hit = _maybe(docs, holder, _bits(firsts, F.struct("first.doc_id", "first.tk")))
     at = F.struct("doc_id", "tk", "pos").alias("at")
-    firsts = distinct.join(wanted, LINE, "left_semi").select(*LINE, "first")
-    texts = near.where(hit).select(*LINE, "words", "n", at).join(firsts, LINE).where(F.col("at").eqNullSafe(F.col("first"))).select(*LINE, "n", "words", "first")
+    lines = _lines(near.where(hit)).where(F.col("n") >= NEAR_WORDS).select(*LINE, "words", "n", at)
+    texts = lines.join(firsts, LINE).where(F.col("at").eqNullSafe(F.col("first"))).select(*LINE, "n", "words", "first")
     texts = stored(texts.dropDuplicates(LINE))
     zero = F.lit(0).cast("long")
     placed = F.transform("words", lambda w, i: F.xxhash64(w, i))
@@ -120,7 +122,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     table = stored(lines.select("doc_id", "tk", "pos", *LINE, _halves().alias("halves")))
     place = F.struct("doc_id", "tk", "pos")
     distinct = stored(table.groupBy(*LINE).agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("halves").alias("halves")))
-    near = stored(_near(lines, distinct))
+    near = stored(_near(texts, distinct))
     gone = distinct.select(*LINE, "first", "last").join(near.withColumn("near", F.lit(True)), LINE, "left")
     gone = gone.where("near or not first <=> last").select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near"))
     removed = table.select("doc_id", "tk", "pos", *LINE).join(gone, LINE).where(F.col("near") | ~F.struct("doc_id", "tk", "pos").eqNullSafe(F.col("first")))
