@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
+from . import bpe, kd_search, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every query vector."""
+    return kd_search.search(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and perplexity verdict of every document."""
     return perplexity.judge(_table(spark, sf_dir, "documents"))
@@ -74,6 +79,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_top_k": op2_top_k,
         "op3_quality_rules": op3_quality_rules,
         "op4_bpe": op4_bpe,
         "op6_token_files": op6_token_files,
@@ -90,6 +96,22 @@ def _rule_values() -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_top_k": f"""
+with fine as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor({kd_search.SCALE:.0f} * cast(x as double)) as bigint)) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+  select vec_id, unnest(range(len(v))) as place, unnest(v) as part from fine
+), scores as (
+  select q.vec_id as query_id, c.vec_id, cast(sum(q.part * c.part) as bigint) as score
+  from parts q join parts c on q.place = c.place and q.vec_id <> c.vec_id
+  where q.vec_id % 50 = 0 group by all
+), ranked as (
+  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from scores
+)
+select * from ranked where rank <= {kd_search.K}
+""",
         "op8_line_dedup": f"""
 with docs as (
   select doc_id, text, string_split(text, chr(10)) as lines from documents
