@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, kd_search, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
+from . import bpe, html_graph, kd_search, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", n_tokens.alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    out = html_graph.extract(_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every document's ids lie in the written token files, and their checksum as read back."""
     docs = _table(spark, sf_dir, "documents")
@@ -82,6 +88,7 @@ def queries() -> dict:
         "op2_top_k": op2_top_k,
         "op3_quality_rules": op3_quality_rules,
         "op4_bpe": op4_bpe,
+        "op5_page_text": op5_page_text,
         "op6_token_files": op6_token_files,
         "op7_url_rules": op7_url_rules,
         "op8_line_dedup": op8_line_dedup,
