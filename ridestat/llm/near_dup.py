@@ -284,7 +284,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id: one row per row of docs (null doc_ids have a null class)."""
+    """doc_id, text_key (of the text), class_id: one row per row of docs (null doc_ids have a null class)."""
     spark = ready(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
     keys, idf = common_features(texts.select("text"))
@@ -329,16 +329,16 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         named = named.join(label.toDF("rid", "comp"), "rid", "left").select("text_key", F.coalesce("comp", "rid").alias("class_id"))
     else:
         named = named.select("text_key", F.col("rid").alias("class_id"))
-    worded = each.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "class_id")
-    rest = signed.where("bands is null or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
+    worded = each.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "text_key", "class_id")
+    rest = signed.where("bands is null or doc_id is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"))
     return worded.union(rest)
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs whose doc_id names its class; of repeated rows the first stays."""
-    by_id = stored(classes(docs, threshold))
-    keep = by_id.where("doc_id = class_id").select(F.col("doc_id").alias("__kept")).distinct()
-    # Rows with a doc_id of several texts stay only with the text that the class is named by.
-    marked = docs.withColumn("__text", F.md5(F.coalesce("text", F.lit(""))))
-    stay = marked.join(keep, marked["doc_id"].eqNullSafe(keep["__kept"]), "left_semi").dropDuplicates(["doc_id", "__text"])
-    return stay.unionByName(marked.where("doc_id is null")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of docs for each class: the one whose doc_id names it (of several, the first by its text's key)."""
+    named = stored(classes(docs, threshold)).where("doc_id = class_id")
+    keep = named.groupBy(F.col("doc_id").alias("__kept")).agg(F.min("text_key").alias("__kept_text"))
+    marked = docs.withColumn("__text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    same = (marked["doc_id"] == keep["__kept"]) & (marked["__text"] == keep["__kept_text"])
+    stay = marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__text"])
+    return stay.unionByName(marked.where("doc_id is null")).drop("__text")
