@@ -33,9 +33,9 @@ from .textarrays import Words, chunks, mix, owners, ragged, runs, span_hashes, w
 
 ORDER = 5
 SLOTS = 1 << 22
-BAND, LEAST_SPREAD = 4.0, 0.02
+BAND, LEAST_SPREAD = 3.0, 0.02
 #: Bits by which the band is wider for a text of one symbol; it falls with the root of the symbols.
-SHORT_MARGIN = 2.5
+SHORT_MARGIN = 2.0
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 SALTS = 32
 #: Bytes of text handled at once, word scores and n-gram counts kept by a task.
@@ -149,11 +149,11 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
     for n in range(1, ORDER + 1):
         rows = tables[n]
         kinds = rows.groupBy("lang").agg(*[F.sum((F.col("n") == k).cast("double")).alias(f"k{k}") for k in (1, 2, 3, 4)])
-        y = F.col("k1") / (F.col("k1") + 2 * F.col("k2"))
+        y = F.try_divide("k1", F.col("k1") + 2 * F.col("k2"))
 
         def discount(k: int, y: Column = y) -> Column:
             """The modified discount of counts of k; a plain half k where the counts of counts are no guide."""
-            d = k - (k + 1) * y * F.col(f"k{k + 1}") / F.col(f"k{k}")
+            d = k - (k + 1) * y * F.try_divide(f"k{k + 1}", f"k{k}")
             return F.when((F.col("k1") > 0) & (F.col(f"k{k}") > 0) & (d > 0) & (d < k), d).otherwise(k / 2.0)
 
         kinds = kinds.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
