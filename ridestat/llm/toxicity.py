@@ -242,9 +242,11 @@ class Model:
         gates = np.vstack([gates, np.zeros((1, gates.shape[1]), np.float32)])
         return self._blocks(gates, np.r_[t.token, np.full(WINDOW, len(t.known))], start, length, len(t.known))
 
-    def _blocks(self, gates: np.ndarray, token: np.ndarray, start: np.ndarray, length: np.ndarray, blank: int) -> np.ndarray:
-        """Logits of windows over tokens that are places in gates, longest windows first."""
+    def _blocks(self, table: np.ndarray, token: np.ndarray, start: np.ndarray, length: np.ndarray, blank: int) -> np.ndarray:
+        """Logits of windows over tokens that are places in a table of inputs or projected inputs, longest windows first."""
         out = np.empty(len(start), np.float32)
+        p = self.net.p
+        projected = table.shape[1] == p["x"].shape[1]
         order = np.argsort(-length, kind="stable")
         step = np.arange(WINDOW)[:, None]
         for lo in range(0, len(order), self.BLOCK):
@@ -253,7 +255,8 @@ class Model:
             mask = step[:size] < length[some]
             place = token[start[some] + step[:size]]
             whole = bool(mask.all())
-            out[some] = self.net.forward(gates[place if whole else np.where(mask, place, blank)], None if whole else mask)
+            x = table[place if whole else np.where(mask, place, blank)]
+            out[some] = self.net.forward(x if projected else x @ p["x"] + p["b"], None if whole else mask)
         return out
 
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -291,7 +294,7 @@ class Model:
             part.learn([docs[i] for i in others], labels[others], np.random.default_rng(7))
             crossed.append(part)
         self.inputs.learn(docs, labels, np.random.default_rng(7))
-        rows = np.concatenate([crossed[fold[i]](d) for i, d in enumerate(docs)] + [np.zeros((1, WORD_DIM + CHAR_DIM))]).astype(np.float32)
+        rows = np.concatenate([crossed[fold[i]](d).astype(np.float32) for i, d in enumerate(docs)] + [np.zeros((1, WORD_DIM + CHAR_DIM), np.float32)])
         # All documents' tokens in one array, each token a place in rows; windows over it.
         shift = np.cumsum([0] + [len(d.known) for d in docs])
         token = np.concatenate([d.token + shift[i] for i, d in enumerate(docs)] + [np.full(WINDOW, len(rows) - 1)])
@@ -317,8 +320,7 @@ class Model:
                     mask = np.arange(WINDOW)[:, None] < length[some]
                     place = np.where(mask, token[start[some] + np.arange(WINDOW)[:, None]], len(rows) - 1)
                     self._train(rows[place], mask, labels[owner[some]], moments, step)
-            gates = rows @ self.net.p["x"] + self.net.p["b"]
-            z = self._blocks(gates, token, start, length, len(rows) - 1)
+            z = self._blocks(rows, token, start, length, len(rows) - 1)
             best = self._highest(z, first)
         return z[best]
 
@@ -370,17 +372,19 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame) -> Model | Constant:
     """A model of ``labels.toxic`` from rows that are not held out."""
     own = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
-    own = own.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
-    fit = docs.where(F.length("text") <= MAX_CHARS).select("doc_id", "text").join(own, F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic", "text")
-    ids = fit.select("doc_id", "toxic")
+    own = own.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    fit = docs.where(F.length("text") <= MAX_CHARS)
+    ids = fit.select("doc_id").join(own, F.col("doc_id") == F.col("label_id")).select("doc_id", "toxic")
     total = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect() if r["toxic"] in (0, 1)}
     if len(total) < 2:
         return Constant(float(bool(total.get(1))))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = ids.where("toxic = 1").orderBy(*by_hash).limit(MAX_TOXIC).union(ids.where("toxic = 0").orderBy(*by_hash).limit(MAX_CLEAN))
-    picked = [r["doc_id"] for r in sample.select("doc_id").collect()]  # MAX_TOXIC + MAX_CLEAN rows
-    named = docs.sparkSession.createDataFrame([(i,) for i in sorted(set(picked))], T.StructType([T.StructField("picked", docs.schema["doc_id"].dataType)]))
-    rows = fit.join(F.broadcast(named), F.col("doc_id") == F.col("picked")).orderBy("doc_id", "text").limit(MAX_TOXIC + MAX_CLEAN).collect()
+    picked = sorted({(r["doc_id"], r["toxic"]) for r in sample.collect()})  # MAX_TOXIC + MAX_CLEAN rows
+    id_type = docs.schema["doc_id"].dataType
+    named = docs.sparkSession.createDataFrame(picked, T.StructType([T.StructField("picked", id_type), T.StructField("toxic", T.IntegerType())]))
+    # Texts of the picked rows only: the label table meets ids alone.
+    rows = fit.select("doc_id", "text").join(F.broadcast(named), F.col("doc_id") == F.col("picked")).orderBy("doc_id", "text").limit(MAX_TOXIC + MAX_CLEAN).collect()
     y = np.array([r["toxic"] for r in rows], float)
     weight = np.array([total[r["toxic"]] for r in rows]) / np.where(y == 1, max(y.sum(), 1), max((1 - y).sum(), 1))
     model = Model()
