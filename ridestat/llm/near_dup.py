@@ -8,11 +8,11 @@ a ``RARE`` share of the texts to 1 for one that is in all, so what many texts sh
    ``COUNTERS`` entries (no such feature can be missing) and then counted exactly in all texts.
 2. Each text gets ``BANDS * ROWS`` consistent weighted samples (feature and level with the least
    value); equal samples of a band put texts into one bucket. Exact copies are one text.
-3. In each bucket every text is compared with ``CENTERS`` texts of different classes (in buckets
-   of up to ``CENTERS + 1`` texts those are all pairs). Pairs that agree in enough samples are
-   verified by exact weighted Jaccard similarity. Linked texts form classes, and rounds with new
-   centers follow as long as a round finds links between different classes, so the pairs stay in
-   proportion to the buckets' sizes and large families still join up.
+3. A bucket of up to ``CENTERS + 1`` texts compares all of its pairs. A larger one is also dealt
+   to narrower buckets by two and by four more samples, and in each bucket every text meets
+   ``CENTERS`` texts of different classes, so the pairs stay in proportion to the texts. Pairs that
+   agree in enough samples are verified by exact weighted Jaccard similarity; linked texts form
+   classes, and in a second round the classes' texts meet new centers.
 
 Defined cases: texts without a word (null and empty ones too) are a class of their own each; a
 class is named by its smallest doc_id; repeated rows fall into one class and the first stays; rows
@@ -37,9 +37,12 @@ from .textarrays import chunks, mix, windows, words
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 2
+#: Samples of a band and of its narrower forms.
+WIDTHS = (2, 4, 6)
 #: Samples of a pair that must agree before it is verified (a pair at 0.8 misses this once in 60,000).
 AGREE = 8
-CENTERS = 8
+CENTERS = 6
+ROUNDS = 2
 RARE, RAREST_IDF = 0.01, 1.5
 COUNTERS = 1 << 17
 _STEPS = 1 << 16
@@ -193,7 +196,7 @@ class Sampler:
 def signatures(texts: DataFrame, keys: np.ndarray, idf: np.ndarray) -> DataFrame:
     """doc_id, text_key, samples (binary, 4 bytes each), bands (null for texts without a word)."""
     given = texts.sparkSession.sparkContext.broadcast((keys, idf))
-    shape = T.StructType([texts.schema["doc_id"], T.StructField("text_key", T.BinaryType()), T.StructField("samples", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    shape = T.StructType([texts.schema["doc_id"], T.StructField("text_key", T.BinaryType()), T.StructField("samples", T.BinaryType()), T.StructField("bands", T.ArrayType(T.StructType([T.StructField(f"w{n}", T.LongType()) for n in WIDTHS])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, idf = given.value
@@ -203,12 +206,16 @@ def signatures(texts: DataFrame, keys: np.ndarray, idf: np.ndarray) -> DataFrame
                 h, row, times = features(data, offsets)
                 s = sampler(h, row, weights(h, times, keys, idf), hi - lo)
                 none = np.bincount(row, minlength=hi - lo) == 0
-                bands = np.zeros((hi - lo, BANDS), np.uint64)
+                fields = []
                 with np.errstate(over="ignore"):
-                    for b in range(BANDS):
-                        for j in range(ROWS):
-                            bands[:, b] = mix(bands[:, b] * _ODD + s[:, b * ROWS + j] + np.uint64(b))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (hi - lo + 1) * BANDS, BANDS), pa.int32()), pa.array(bands.view(np.int64).ravel()), mask=pa.array(none))
+                    for width in WIDTHS:
+                        keys_ = np.zeros((hi - lo, BANDS), np.uint64)
+                        for b in range(BANDS):
+                            for j in range(width):
+                                keys_[:, b] = mix(keys_[:, b] * _ODD + s[:, (b * ROWS + j) % s.shape[1]] + np.uint64(b))
+                        fields.append(pa.array(keys_.view(np.int64).ravel()))
+                each = pa.StructArray.from_arrays(fields, names=[f"w{n}" for n in WIDTHS])
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (hi - lo + 1) * BANDS, BANDS), pa.int32()), each, mask=pa.array(none))
                 short = (s >> np.uint64(32)).astype("<u4")
                 samples = pa.array([x.tobytes() for x in short], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), samples, lists], names=shape.names)
@@ -292,14 +299,19 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # One row per distinct text, named by its least doc_id.
     each = signed.where("bands is not null and doc_id is not null")
     copies = stored(each.groupBy("text_key").agg(F.min("doc_id").alias("rid"), F.first("samples").alias("samples"), F.first("bands").alias("bands")))
-    bucket = copies.select("rid", F.posexplode("bands").alias("band", "hash")).select("rid", F.xxhash64("band", "hash").alias("bucket"))
-    full = bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = stored(bucket.join(full, "bucket").select("bucket", "rid", F.col("rid").alias("comp")))
+    band = copies.select("rid", F.posexplode("bands").alias("band", "w")).select("rid", *[F.xxhash64("band", F.lit(n), f"w.w{n}").alias(f"w{n}") for n in WIDTHS])
+    wide = f"w{WIDTHS[0]}"
+    full = band.groupBy(wide).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = F.when(F.col("n") > CENTERS + 1, F.array(*[f"w{n}" for n in WIDTHS])).otherwise(F.array(wide))
+    members = stored(band.join(full, wide).select(F.explode(buckets).alias("bucket"), "rid", F.col("rid").alias("comp")))
     candidates = members.select(F.col("rid").alias("doc_id")).distinct()
     found = stored(vectors(texts.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]), keys, idf))
     samples = copies.select("rid", "samples")
-    label, turn = None, 0
-    while True:
+    label = None
+    for turn in range(ROUNDS):
+        # Buckets of one class have nothing left to tell.
+        several = members.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("more")).where("more").select("bucket")
+        members = stored(members.join(several, "bucket"))
         # Texts to compare with: of up to CENTERS classes of the bucket one each, chosen by a hash.
         one = members.groupBy("bucket", "comp").agg(F.min(F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), "rid")).alias("c"))
         place = F.row_number().over(Window.partitionBy("bucket").orderBy("c"))
@@ -321,9 +333,6 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             fresh = joined.join(named.select(F.col("node").alias("named")), "named", "left_anti").toDF("node", "comp")
             label = cut(every.union(fresh))
         members = members.drop("comp").join(label.toDF("rid", "comp"), "rid", "left").select("bucket", "rid", F.coalesce("comp", "rid").alias("comp"))
-        open_ = members.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("more")).where("more").select("bucket")
-        members = stored(members.join(open_, "bucket"))
-        turn += 1
     named = copies.select("text_key", "rid")
     if label is not None:
         named = named.join(label.toDF("rid", "comp"), "rid", "left").select("text_key", F.coalesce("comp", "rid").alias("class_id"))
