@@ -22,10 +22,16 @@ from .plans import pipeline
 from .session import get_spark
 
 
+SHOWN = 50
+
+
 def _show(name: str, df) -> None:
     print(f"== {name}")
-    for row in df.limit(50).collect():
+    rows = df.limit(SHOWN + 1).collect()
+    for row in rows[:SHOWN]:
         print(row.asDict())
+    if len(rows) > SHOWN:
+        print(f"... only the first {SHOWN} of {df.count()} rows are shown")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -51,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
         res = pipeline.validate_trip_files(spark, a.trips, a.catalog, a.out)
         _show("files summary", res["summary"])
         _show("totals", res["totals"])
+        _show("missing and extra columns", res["schema"])
     elif a.step == "missing":
         res = pipeline.missing_station_report(spark, a.trips, a.catalog, a.out)
         _show("totals", res["totals"])

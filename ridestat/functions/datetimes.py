@@ -46,7 +46,7 @@ def _numbers(text: Column) -> Column:
 
 
 def _num(parts: Column, i: int) -> Column:
-    return try_cast(F.element_at(parts, i), "int")
+    return try_cast(F.get(parts, F.lit(i - 1)), "int")  # a text with fewer digit runs has a null part
 
 
 def datetime_parts(text: str | Column, two_digit_years: bool = True) -> Column:
@@ -59,7 +59,7 @@ def timestamp_from_parts(parts: str | Column) -> Column:
     """Timestamp from :func:`datetime_parts`; a two-digit year pivots at 69 (69..99 -> 19xx)."""
     p = col_of(parts)
     y = _num(p, 3)
-    year = F.when(F.length(F.element_at(p, 3)) == 4, y).when(y < TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
+    year = F.when(F.length(F.get(p, F.lit(2))) == 4, y).when(y < TWO_DIGIT_YEAR_PIVOT, y + 2000).otherwise(y + 1900)
     # seconds are added, not set: 60 and 61 (accepted by the field pattern) roll forward
     minute = F.try_make_timestamp_ntz(year, _num(p, 2), _num(p, 1), _num(p, 4), _num(p, 5), F.lit(0))
     return _in_range(F.timestamp_add("SECOND", _num(p, 6), minute))

@@ -33,13 +33,18 @@ def raw_gender(c: str | Column) -> Column:
     return py_strip(F.coalesce(col_of(c), F.lit(GENDER_UNKNOWN)))
 
 
+# Numbers as text readers accept them: no type suffixes such as 34d or 34f.
+NUMBER_RE = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def age(c: str | Column) -> Column:
     """Numeric coercion to a nullable int: ``34``, ``34.0``, `` 34 ``, ``1e2`` parse.
 
     Text that is not a number is null. Non-integral, infinite or out-of-int-range numbers are
     also null (deliberate: the source aborts the whole load on them).
     """
-    d = try_cast(c, "double")
+    text = col_of(c)
+    d = F.when(text.cast("string").rlike(NUMBER_RE), try_cast(text, "double"))
     return F.when(d.between(float(INT_MIN), float(INT_MAX)) & (d == F.rint(d)), d.cast("int"))
 
 

@@ -46,13 +46,3 @@ def normalize_header(c: str | Column) -> Column:
         HEADER_ACCENTS_FROM + HEADER_DROPPED,
         HEADER_ACCENTS_TO,
     )
-
-
-def normalize_header_py(name: str) -> str:
-    """Driver-side twin of :func:`normalize_header` for header metadata (one row per file)."""
-    text = str(name).strip().lower()
-    for a, b in zip(HEADER_ACCENTS_FROM, HEADER_ACCENTS_TO):
-        text = text.replace(a, b)
-    for d in HEADER_DROPPED:
-        text = text.replace(d, "")
-    return text

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_WIDTH = 1 << 16
 MAX_BUCKETS_PER_GROUP = 1 << 20
+# Offsets are broadcast up to this size (a row: file name and three numbers), so the rows stay
+# where they were read; beyond it the join is planned normally.
+OFFSET_ROW_BYTES, MAX_OFFSET_BYTES = 256, 256 << 20
 
 
 def bucket_width_for(df: DataFrame, key_col: str) -> int:
@@ -41,7 +44,9 @@ def bucket_width_for(df: DataFrame, key_col: str) -> int:
 
 def _offsets(counts: DataFrame, group_col: str, order_col: str, n_col: str) -> DataFrame:
     w = Window.partitionBy(group_col).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("__offset", F.coalesce(F.sum(n_col).over(w), F.lit(0)))
+    offsets = counts.withColumn("__offset", F.coalesce(F.sum(n_col).over(w), F.lit(0))).drop(n_col)
+    offsets = offsets.checkpoint()  # a row per split or bucket, measured here
+    return F.broadcast(offsets) if offsets.count() * OFFSET_ROW_BYTES <= MAX_OFFSET_BYTES else offsets
 
 
 def index_by_key(
@@ -59,7 +64,7 @@ def index_by_key(
         bucket_width = bucket_width_for(df, key_col)
     d = df.withColumn("__bucket", F.floor(F.col(key_col) / F.lit(bucket_width)))
     counts = d.groupBy(group_col, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    offsets = _offsets(counts, group_col, "__bucket", "__n").drop("__n")
+    offsets = _offsets(counts, group_col, "__bucket", "__n")
     w = Window.partitionBy(group_col, "__bucket").orderBy(key_col)
     return (
         d.join(offsets, [group_col, "__bucket"], "inner")
@@ -85,7 +90,7 @@ def index_by_split(df: DataFrame, file_col: str = "source_file", out_col: str =
     counts = df.groupBy(file_col, "__block").agg(
         F.count(F.lit(1)).alias("__n"), F.min("__pos").alias("__first")
     )
-    offsets = _offsets(counts, file_col, "__block", "__n").drop("__n")
+    offsets = _offsets(counts, file_col, "__block", "__n")
     return (
         df.join(offsets, [file_col, "__block"], "inner")
         .withColumn(out_col, F.col("__offset") + F.col("__pos") - F.col("__first"))

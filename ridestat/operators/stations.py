@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import STATION_COLUMNS
-from ..functions.rules import station_key
+from ..functions.rules import NUMBER_RE, station_key
 from ..functions.text import py_strip, try_cast
 from .joins import DEFAULT_MAX_BROADCAST_ROWS, maybe_broadcast
 
 
 def _numeric(c: F.Column, to: str) -> F.Column:
-    d = try_cast(c.cast("string"), "double")
+    text = c.cast("string")
+    d = F.when(text.rlike(NUMBER_RE), try_cast(text, "double"))
     if to == "double":
         return d
     return F.when((d == F.rint(d)) & d.between(-(2.0**31), 2.0**31 - 1), d.cast("int"))
@@ -47,10 +48,11 @@ def clean_station_information(records: DataFrame) -> DataFrame:
     if "capacity" in cols:
         out["capacity"] = _numeric(F.col("capacity"), "int")
     if "rental_methods" in cols:
-        rm = records.schema["rental_methods"].dataType
-        out["rental_methods"] = (
-            F.array_join("rental_methods", ",") if isinstance(rm, T.ArrayType) else F.col("rental_methods")
-        )
+        rm, kind = F.col("rental_methods"), records.schema["rental_methods"].dataType
+        if isinstance(kind, T.StringType):  # JSON text of the field: a list, or a value kept as it is
+            listed = F.from_json(rm, "array<string>")
+            rm = F.when(F.startswith(F.ltrim(rm), F.lit("[")) & listed.isNotNull(), F.array_join(listed, ",")).otherwise(rm)
+        out["rental_methods"] = F.array_join(rm, ",") if isinstance(kind, T.ArrayType) else rm
     if "has_kiosk" in cols:
         out["has_kiosk"] = F.col("has_kiosk").cast("boolean")
     present = [c for c in STATION_COLUMNS if c in out]
@@ -99,13 +101,12 @@ class StationDim:
 
     @classmethod
     def of(cls, stations: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> "StationDim":
+        # blank numbers never match a trip, so only the others must be unique
+        named = F.when(F.col("station_number") != "", F.col("station_number"))
         stats = stations.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_distinct("station_number").alias("d"),
-            F.count_if(F.col("station_number").isNull()).alias("nulls"),
+            F.count(F.lit(1)).alias("n"), F.count(named).alias("named"), F.count_distinct(named).alias("d")
         ).first()
-        unique = stats["n"] == stats["d"] and stats["nulls"] == 0
-        return cls(stations, int(stats["n"]), bool(unique), max_broadcast_rows)
+        return cls(stations, int(stats["n"]), stats["named"] == stats["d"], max_broadcast_rows)
 
     def keys(self) -> DataFrame:
         """Distinct non-blank station keys (a blank catalog number never matches a blank trip key)."""

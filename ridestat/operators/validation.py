@@ -59,7 +59,10 @@ def station_role_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     )
 
 
-def file_and_station_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
+CHECKS = ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")
+
+
+def file_and_station_counts(raw: DataFrame, dim: StationDim, flags: tuple[str, ...] = CHECKS) -> DataFrame:
     """Per-file stats and per-(file, role, key) counts in ONE aggregate over the raw rows.
 
     Every raw row yields a stats row (role null) carrying its flags plus one row per station
@@ -70,25 +73,28 @@ def file_and_station_counts(raw: DataFrame, dim: StationDim) -> DataFrame:
     scan and parse the raw files again.
 
     Columns: source_file, role (null for the stats row), station_key, n, inv_date, inv_time,
-    g_m, g_f, g_o, g_u, found.
+    g_m, g_f, g_o, g_u, found. ``flags`` names the checks a report needs; the columns behind the
+    others are neither read nor parsed.
     """
     # per-row values in a projection first (common subexpressions are evaluated once there);
     # the generator below only rearranges columns
     g = raw_gender("Genero_Usuario")
     has_g = present(raw, "Genero_Usuario")
     as_int = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
+    checks = {
+        "inv_date": present(raw, "Fecha_Retiro") & ~valid_date_only("Fecha_Retiro"),
+        "inv_time": present(raw, "Hora_Retiro") & ~valid_time_only("Hora_Retiro"),
+        "g_m": has_g & (g == "M"),
+        "g_f": has_g & (g == "F"),
+        "g_o": has_g & (g == "O"),
+        "g_u": has_g & (g == "?"),
+    }
     row = raw.select(
         "source_file",
-        as_int(present(raw, "Fecha_Retiro") & ~valid_date_only("Fecha_Retiro")).alias("inv_date"),
-        as_int(present(raw, "Hora_Retiro") & ~valid_time_only("Hora_Retiro")).alias("inv_time"),
-        as_int(has_g & (g == "M")).alias("g_m"),
-        as_int(has_g & (g == "F")).alias("g_f"),
-        as_int(has_g & (g == "O")).alias("g_o"),
-        as_int(has_g & (g == "?")).alias("g_u"),
+        *[as_int(checks[c]).alias(c) for c in flags],
         *[station_key(col).alias(f"{role}_key") for role, col in ROLE_COLUMNS.items()],
         *[present(raw, col).alias(f"{role}_ok") for role, col in ROLE_COLUMNS.items()],
     )
-    flags = ("inv_date", "inv_time", "g_m", "g_f", "g_o", "g_u")
     null_s = F.lit(None).cast("string")
     zero = F.lit(0)
     stats = F.struct(
@@ -128,7 +134,15 @@ def _missing(role: str) -> F.Column:
     return _is(role) & ~F.col("found")
 
 
-def historical_files_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
+def _with_empty_files(report: DataFrame, files: DataFrame | None) -> DataFrame:
+    """The per-file report plus a zero row for each of ``files`` (column file) that has no data row."""
+    if files is None:
+        return report
+    zeros = {c: F.coalesce(c, F.lit(0).cast(t)) for c, t in report.dtypes if c != "file"}
+    return files.select("file").distinct().join(report, "file", "full").withColumns(zeros)
+
+
+def historical_files_summary(raw: DataFrame, dim: StationDim, files: DataFrame | None = None) -> DataFrame:
     """One row per file: rows, distinct / missing station counts, invalid date/time, genders."""
     c = file_and_station_counts(raw, dim)
     stat = lambda col: F.sum(F.when(_is(None), F.col(col))).cast("bigint")
@@ -145,7 +159,7 @@ def historical_files_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
         stat("g_o").alias("gender_O"),
         stat("g_u").alias("gender_unknown"),
     )
-    return out.orderBy(F.col("file").asc_nulls_last())
+    return _with_empty_files(out, files).orderBy(F.col("file").asc_nulls_last())
 
 
 def missing_stations_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
@@ -180,16 +194,16 @@ def top_missing_stations(usage: DataFrame, n: int = TOP_MISSING_STATIONS) -> Dat
     return usage.limit(n)
 
 
-def missing_station_usage_by_file(raw: DataFrame, dim: StationDim) -> DataFrame:
+def missing_station_usage_by_file(raw: DataFrame, dim: StationDim, files: DataFrame | None = None) -> DataFrame:
     """Per file: rows, trips with an unknown start / end station, and their percentages."""
-    c = file_and_station_counts(raw, dim)
+    c = file_and_station_counts(raw, dim, ())
     trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
     out = c.groupBy(F.col("source_file").alias("file")).agg(
         trips_if(_is(None)).alias("rows"),
         trips_if(_missing("start")).alias("missing_start_rows"),
         trips_if(_missing("end")).alias("missing_end_rows"),
     )
-    return out.withColumns(
+    return _with_empty_files(out, files).withColumns(
         {
             "missing_start_percentage": percentage("missing_start_rows", "rows"),
             "missing_end_percentage": percentage("missing_end_rows", "rows"),
@@ -199,7 +213,7 @@ def missing_station_usage_by_file(raw: DataFrame, dim: StationDim) -> DataFrame:
 
 def missing_station_totals(raw: DataFrame, dim: StationDim) -> DataFrame:
     """All files together: rows, unknown-station trips, percentages, distinct unknown keys."""
-    c = file_and_station_counts(raw, dim)
+    c = file_and_station_counts(raw, dim, ())
     trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
     sums = c.agg(
         trips_if(_is(None)).alias("rows"),

@@ -114,29 +114,36 @@ def audit_trip_files(spark: SparkSession, trips_source: str | list[str], out_dir
     return report
 
 
-def _raw_for_validation(spark: SparkSession, trips_source, with_row_index: bool = False) -> DataFrame:
-    return trip_csv.read_raw_trips(spark, trips_source, require_all_columns=False, with_row_index=with_row_index)
+def _raw_for_validation(spark: SparkSession, trips_source, with_row_index: bool = False, audit: DataFrame | None = None) -> DataFrame:
+    return trip_csv.read_raw_trips(spark, trips_source, audit, require_all_columns=False, with_row_index=with_row_index)
 
 
 def validate_trip_files(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
-    raw = _raw_for_validation(spark, trips_source)
-    summary = validation.historical_files_summary(raw, dim)
+    audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
+    raw = _raw_for_validation(spark, trips_source, audit=audit)
+    summary = validation.historical_files_summary(raw, dim, audit.select("file"))
     missing = validation.missing_stations_summary(raw, dim)
     write_csv(summary, f"{out_dir}/historical_files_summary", bom=True)
     write_csv(missing, f"{out_dir}/missing_stations_summary", bom=True)
-    return {"summary": summary, "missing": missing, "totals": validation.validation_totals(summary)}
+    return {
+        "summary": summary,
+        "missing": missing,
+        "totals": validation.validation_totals(summary),
+        "schema": trip_csv.schema_table(audit),
+    }
 
 
 def missing_station_report(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
-    raw = _raw_for_validation(spark, trips_source)
+    audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
+    raw = _raw_for_validation(spark, trips_source, audit=audit)
     usage = validation.missing_station_usage(raw, dim)
-    by_file = validation.missing_station_usage_by_file(raw, dim)
+    by_file = validation.missing_station_usage_by_file(raw, dim, audit.select("file"))
     write_csv(usage, f"{out_dir}/missing_station_usage", bom=True)
     write_csv(by_file, f"{out_dir}/missing_station_usage_by_file", bom=True)
     return {

@@ -73,9 +73,9 @@ class TripStore:
     def _build(self) -> None:
         spark, sf = self.spark, self.sf_dir
         if not table_exists(spark, self.path("raw_trips")):
-            # the row-index window leaves rows clustered by (file, key bucket): no extra shuffle
+            # the row-index window deals every file to all tasks: range-partition by file first
             raw = index_by_key(proxy.raw_trips(spark, sf), "source_file", "row_key")
-            write_table(raw, self.path("raw_trips"), partition_by=["source_file"])
+            write_table(raw, self.path("raw_trips"), partition_by=["source_file"], cluster_by=["row_key"])
         if not table_exists(spark, self.path("catalog")):
             write_table(clean_station_information(proxy.raw_station_records(spark, sf)), self.path("catalog"))
         if not table_exists(spark, self.path("stations")):

@@ -21,8 +21,8 @@ def clean_trip_filter() -> F.Column:
 
 
 def trips_analysis(trips_clean: DataFrame) -> DataFrame:
-    """Clean trips only. On a year/month-partitioned table the filter reaches the scan."""
-    return trips_clean.where(clean_trip_filter())
+    """Clean trips only. On a year/month-partitioned table the folder without a date is not opened."""
+    return trips_clean.where(F.col("year").isNotNull() & clean_trip_filter())
 
 
 def _station_side(dim: StationDim, role: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.fixed import CANONICAL_COLUMNS, COLUMN_ALIASES, DEFAULT_DELIMITER, DELIMITER_CANDIDATES
-from ..functions.text import na_to_null, normalize_header_py, py_strip
+from ..functions.text import na_to_null, normalize_header, py_strip
 from ..operators.row_index import index_by_split, split_position_columns
 
 UTF8 = "UTF-8"
@@ -57,11 +57,16 @@ def audit_headers(spark: SparkSession, source: str | list[str]) -> DataFrame:
         F.monotonically_increasing_id().alias("pos"),
         "value",
     )
-    per_file = lines.groupBy("path", "file").agg(
+    # Fixed-width buffers only, so the lines are hash-aggregated; the header line is fetched after.
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    stats = lines.groupBy("path", "file").agg(
         F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
-        F.min_by("value", F.struct("block", "pos")).alias("first_line"),
+        F.bool_or(quotes % 2 == 1).alias("multiline"),  # a quoted line break leaves a line with an odd number of quotes
+        F.min(F.when(F.col("block") == 0, F.col("pos"))).alias("pos"),
         F.count(F.lit(1)).alias("lines"),
     )
+    heads = lines.where(F.col("block") == 0).select("path", "pos", F.col("value").alias("first_line"))
+    per_file = stats.join(heads, ["path", "pos"]).drop("pos")
     header = F.when(
         F.col("utf8"), F.regexp_replace("first_line", f"^{BOM}", "")
     ).otherwise(F.decode(F.col("first_line").cast("binary"), LATIN1))
@@ -75,6 +80,7 @@ def audit_headers(spark: SparkSession, source: str | list[str]) -> DataFrame:
         F.when(F.col("utf8"), F.lit(UTF8)).otherwise(F.lit(LATIN1)).alias("encoding"),
         header.alias("header_line"),
         "lines",
+        "multiline",
     ).select("*", *counts)
     best = None
     # first candidate with the highest count (ties keep the earlier, more preferred one)
@@ -101,6 +107,7 @@ def audit_headers(spark: SparkSession, source: str | list[str]) -> DataFrame:
         names.alias("header"),
         F.array_join(names, " | ").alias("columns"),
         (F.col("lines") - 1).alias("data_lines"),
+        "multiline",
     ).orderBy("file")
 
 
@@ -108,14 +115,9 @@ def _regex_escape(d: str) -> str:
     return "\\t" if d == "\t" else ("\\" + d if d in "|.^$*+?()[]{}\\" else d)
 
 
-def separator_repr(sep: str) -> str:
-    """How the audit report prints a separator (Python ``repr``)."""
-    return repr(sep)
-
-
 def audit_report(audit: DataFrame) -> DataFrame:
     """The column-audit report: file, separator (as repr text), columns."""
-    reprs = {d: separator_repr(d) for d in DELIMITER_CANDIDATES}
+    reprs = {d: repr(d) for d in DELIMITER_CANDIDATES}
     rep = F.col("separator")
     expr = None
     for d, r in reprs.items():
@@ -123,43 +125,43 @@ def audit_report(audit: DataFrame) -> DataFrame:
     return audit.select("file", expr.alias("separator"), "columns").orderBy("file")
 
 
-# ---- header standardisation (driver side, one entry per file) ----------------------------
+# ---- header standardisation (a join of header names with the alias table) -----------------
+
+
+def alias_table(spark: SparkSession) -> DataFrame:
+    """normalised alias, canonical column, priority (the first listed alias of a column is preferred)."""
+    rows = [(alias, canonical, n) for canonical, aliases in COLUMN_ALIASES.items() for n, alias in enumerate(aliases)]
+    listed = spark.createDataFrame(rows, "alias string, canonical string, priority int")
+    return listed.select(normalize_header("alias").alias("name_key"), "canonical", "priority").dropDuplicates(["name_key", "canonical"])
 
 
-def rename_map(header: list[str]) -> dict[str, str]:
-    """Original header name -> canonical name, for the canonical columns this header has.
+def canonical_positions(audit: DataFrame) -> DataFrame:
+    """path, canonical, position: which header place feeds each canonical column of a file.
 
-    Headers equal after normalisation collapse to the last one; for each canonical column
-    the first alias present wins.
+    Of the aliases a header has, the preferred one counts; of equal names, the last place.
     """
-    by_norm: dict[str, str] = {}
-    for name in header:
-        by_norm[normalize_header_py(name)] = name
-    out: dict[str, str] = {}
-    for canonical, aliases in COLUMN_ALIASES.items():
-        for alias in aliases:
-            original = by_norm.get(normalize_header_py(alias))
-            if original is not None:
-                out[original] = canonical
-                break
-    return out
-
-
-def schema_diff(header: list[str]) -> tuple[list[str], list[str]]:
-    """(missing canonical columns, extra columns) after standardisation."""
-    renamed = [rename_map(header).get(h, h) for h in header]
-    missing = [c for c in CANONICAL_COLUMNS if c not in renamed]
-    extra = [c for c in renamed if c not in CANONICAL_COLUMNS]
-    return missing, extra
+    names = audit.select("path", F.posexplode("header").alias("position", "name"))
+    hits = names.withColumn("name_key", normalize_header("name")).join(F.broadcast(alias_table(audit.sparkSession)), "name_key")
+    choice = F.max(F.struct((-F.col("priority")).alias("preferred"), "position")).alias("choice")
+    return hits.groupBy("path", "canonical").agg(choice).select("path", "canonical", "choice.position")
+
+
+def schema_table(audit: DataFrame) -> DataFrame:
+    """file, missing_columns, extra_columns after standardisation."""
+    used = canonical_positions(audit).groupBy("path").agg(
+        F.collect_set("canonical").alias("found"), F.collect_set("position").alias("places")
+    )
+    wanted = F.array(*[F.lit(c) for c in CANONICAL_COLUMNS])
+    none = F.array().cast("array<string>")
+    rest = F.filter("header", lambda name, i: ~F.array_contains(F.coalesce("places", F.array().cast("array<int>")), i))
+    return audit.join(used, "path", "left").select(
+        "file", F.array_except(wanted, F.coalesce("found", none)).alias("missing_columns"), rest.alias("extra_columns")
+    ).orderBy("file")
 
 
 def schema_report(audit: DataFrame) -> list[dict]:
-    """Per file: missing and extra columns (driver-side over the per-file audit rows)."""
-    out = []
-    for r in audit.select("file", "header").collect():
-        missing, extra = schema_diff(list(r["header"]))
-        out.append({"file": r["file"], "missing_columns": missing, "extra_columns": extra})
-    return out
+    """:func:`schema_table` as one entry per file."""
+    return [r.asDict() for r in schema_table(audit).collect()]
 
 
 @dataclass
@@ -167,23 +169,27 @@ class HeaderGroup:
     encoding: str
     separator: str
     raw_header: tuple[str, ...]  # as in the file (the read schema)
-    header: tuple[str, ...]  # stripped (used for renaming)
+    multiline: bool  # some quoted field holds a line break: a file is read whole by one task
+    positions: dict[str, int]  # canonical column -> place in the header
     paths: list[str] = field(default_factory=list)
 
 
 def header_groups(audit: DataFrame) -> list[HeaderGroup]:
     """Group files that can share one CSV read (same encoding, delimiter and header)."""
     groups: "OrderedDict[tuple, HeaderGroup]" = OrderedDict()
-    for r in audit.select("path", "encoding", "separator", "raw_header", "header").collect():
-        key = (r["encoding"], r["separator"], tuple(r["raw_header"]))
-        g = groups.setdefault(key, HeaderGroup(*key, tuple(r["header"])))
+    places: dict[str, dict[str, int]] = {}
+    for r in canonical_positions(audit).collect():  # at most a row per file and canonical column
+        places.setdefault(r["path"], {})[r["canonical"]] = r["position"]
+    for r in audit.select("path", "encoding", "separator", "raw_header", "multiline").collect():
+        key = (r["encoding"], r["separator"], tuple(r["raw_header"]), r["multiline"])
+        g = groups.setdefault(key, HeaderGroup(*key, places.get(r["path"], {})))
         g.paths.append(r["path"])
     if not groups:
         raise FileNotFoundError("no CSV files found")
     return list(groups.values())
 
 
-def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, dict[str, str]]:
+def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, list[str]]:
     unique = len(set(g.raw_header)) == len(g.raw_header) and all(g.raw_header)
     names = list(g.raw_header) if unique else [f"_c{i}" for i in range(len(g.raw_header))]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -196,10 +202,10 @@ def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, dict[st
         .option("escape", '"')  # RFC 4180: a quote inside a quoted field is doubled
         .option("enforceSchema", not unique)
         .option("mode", "PERMISSIVE")
+        .option("multiLine", g.multiline)
         .csv(g.paths)
     )
-    # stripped header name -> column name in the read schema (positional)
-    return df, dict(zip(g.header, names))
+    return df, names
 
 
 def read_raw_trips(
@@ -220,12 +226,11 @@ def read_raw_trips(
     audit = audit if audit is not None else audit_headers(spark, source)
     parts = []
     for g in header_groups(audit):
-        mapping = rename_map(list(g.header))
-        missing = [c for c in CANONICAL_COLUMNS if c not in mapping.values()]
+        missing = [c for c in CANONICAL_COLUMNS if c not in g.positions]
         if missing and require_all_columns:
             raise ValueError(f"{g.paths} missing required columns after standardisation: {missing}")
-        df, col_of = _read_group(spark, g)
-        by_canonical = {canon: col_of[orig] for orig, canon in mapping.items()}
+        df, names = _read_group(spark, g)
+        by_canonical = {c: names[i] for c, i in g.positions.items()}
         cols = [F.col("_metadata.file_name").alias("source_file")]
         for c in CANONICAL_COLUMNS:
             if c in by_canonical:

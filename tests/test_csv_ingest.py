@@ -134,3 +134,40 @@ def test_quoted_fields(spark, tmp_dir):
     _write(os.path.join(d, "2022-06.csv"), CANON, [[row[c] for c in CANON]], ",", "utf-8")
     r = trip_csv.read_raw_trips(spark, d).first()
     assert r["Bici"] == '12, "A"' and r["Hora_Arribo"] == row["Hora_Arribo"]
+
+
+def test_quoted_line_breaks_stay_in_their_row(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "breaks")
+    os.makedirs(d)
+    rows = [[_row(i)[c] for c in CANON] for i in range(4)]
+    rows[1][2] = '"a\nb"'
+    _write(os.path.join(d, "2022-06.csv"), CANON, rows, ",", "utf-8")
+    got = sorted(trip_csv.read_raw_trips(spark, d).collect(), key=lambda r: r["row_index"])
+    assert [r["row_index"] for r in got] == [0, 1, 2, 3]
+    assert got[1]["Bici"] == "a\nb" and got[2]["Bici"] == "1002"
+
+
+def test_reports_on_dirty_dates_and_files_without_rows(spark, tmp_dir):
+    from ridestat.operators import validation
+
+    d = os.path.join(tmp_dir, "dirty")
+    os.makedirs(d)
+    dates = ["abc", "3", "01/2022", "", "05/01/2022", "05/01/2022"]
+    times = ["10:00:00", "10:00:00", "10:00:00", "10:00:00", "x", "10"]
+    rows = [[{**_row(i), "Fecha_Retiro": dates[i], "Hora_Retiro": times[i]}[c] for c in CANON] for i in range(6)]
+    _write(os.path.join(d, "2022-01.csv"), CANON, rows, ",", "utf-8")
+    _write(os.path.join(d, "2022-05.csv"), CANON, [], ",", "utf-8")
+    audit = trip_csv.audit_headers(spark, d)
+    dim = StationDim.of(spark.createDataFrame([("3", "a", 1.0, 2.0, 3)], "station_number string, station_name string, latitude double, longitude double, capacity int"))
+    raw = trip_csv.read_raw_trips(spark, d, audit, require_all_columns=False, with_row_index=False)
+    summary = {r["file"]: r for r in validation.historical_files_summary(raw, dim, audit.select("file")).collect()}
+    assert (summary["2022-01.csv"]["rows"], summary["2022-01.csv"]["invalid_fecha_retiro"], summary["2022-01.csv"]["invalid_hora_retiro"]) == (6, 4, 2)
+    assert summary["2022-05.csv"]["rows"] == 0 and summary["2022-05.csv"]["gender_M"] == 0
+    by_file = {r["file"]: r for r in validation.missing_station_usage_by_file(raw, dim, audit.select("file")).collect()}
+    assert by_file["2022-05.csv"]["rows"] == 0 and by_file["2022-05.csv"]["missing_start_percentage"] == 0.0
+    plan = validation.missing_station_usage_by_file(raw, dim)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Fecha_Retiro" not in plan.split("Relation")[0]
+    audited = audit._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in audited
+    diff = {r["file"]: r for r in trip_csv.schema_report(audit)}
+    assert diff["2022-05.csv"]["missing_columns"] == []
