@@ -9,7 +9,7 @@ Layers:
                  triage, dashboard reports
 * ``plans``      views, the load / export pipeline and the query registry
 * ``sinks``      CSV / Parquet writers
-* ``streaming``  (intentionally minimal, see its docstring)
+* ``llm``        training-data operators (optional; nothing else imports it)
 """
 
 __version__ = "0.1.0"

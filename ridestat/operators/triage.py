@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.datetimes import (
-    avg_minutes,
     datetime_text,
     duration_minutes,
-    percentile_minutes,
+    duration_seconds,
     with_parsed_datetime,
 )
 from ..functions.fixed import CANONICAL_COLUMNS, TRIAGE_SAMPLE_ROWS, TRIAGE_VALUE_COUNTS
@@ -102,18 +101,52 @@ def duration_describe(raw: DataFrame) -> DataFrame:
     return describe_durations(with_valid_duration(raw))
 
 
+# Seconds in a bucket of the running count: a few hundred thousand buckets span all datetimes.
+RANK_BUCKET = 1 << 16
+
+
 def describe_durations(d: DataFrame, column: str = "duration_minutes") -> DataFrame:
-    """Describe a minutes column (nulls skipped); percentiles exact, std rounded to 6 places."""
+    """Describe a minutes column (nulls skipped); percentiles exact, std rounded to 6 places.
+
+    Rows are counted per whole second; ranks come from running counts inside buckets of seconds
+    plus the buckets' offsets, so no task or buffer holds all distinct durations.
+    """
     m = F.col(column)
-    return d.agg(
-        F.count(m).alias("count"),
-        avg_minutes(m).alias("mean"),
-        F.round(F.stddev_samp(m), 6).alias("std"),
-        F.min(m).alias("min"),
-        percentile_minutes(m, 0.25).alias("p25"),
-        percentile_minutes(m, 0.50).alias("p50"),
-        percentile_minutes(m, 0.75).alias("p75"),
-        F.max(m).alias("max"),
+    counts = d.where(m.isNotNull()).groupBy(duration_seconds(m).alias("sec")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(m).alias("low"), F.max(m).alias("high")
+    )
+    counts = counts.withColumn("bucket", F.floor(F.col("sec") / RANK_BUCKET))
+    whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("bn"), F.sum(F.col("n") * F.col("sec")).alias("bs"))
+    buckets = buckets.select(
+        "bucket",
+        F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("offset"),
+        F.sum("bn").over(whole).alias("total"),
+        F.sum("bs").over(whole).alias("seconds"),
+    )
+    upto = F.sum("n").over(Window.partitionBy("bucket").orderBy("sec").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.join(buckets, "bucket").withColumn("end", F.col("offset") + upto)
+    mean_sec = F.col("seconds") / F.col("total")
+
+    def quartile(q: float) -> F.Column:
+        place = (F.col("total") - 1) * F.lit(q)
+        low, high = F.floor(place), F.ceil(place)
+        at = lambda rank: F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("n")), F.col("sec")))
+        part = F.max(place - low)
+        return (at(low) + (at(high) - at(low)) * part) / F.lit(60.0)
+
+    squares = F.sum(F.col("n") * F.pow(F.col("sec") - mean_sec, F.lit(2.0)))
+    total = F.max("total")
+    return ranked.agg(
+        F.coalesce(total, F.lit(0)).alias("count"),
+        F.max(F.col("seconds").cast("double") / (F.col("total") * 60).cast("double")).alias("mean"),
+        F.round(F.when(total > 1, F.sqrt(squares / (total - 1)) / 60.0), 6).alias("std"),
+        F.min("low").alias("min"),
+        quartile(0.25).alias("p25"),
+        quartile(0.50).alias("p50"),
+        quartile(0.75).alias("p75"),
+        F.max("high").alias("max"),
     )
 
 

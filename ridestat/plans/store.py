@@ -19,7 +19,6 @@ the shared folder the cluster names, and rebuilt whenever the inputs change.
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,21 +37,32 @@ from .views import trips_analysis
 _LOCK = threading.Lock()
 _DIMS: dict[str, tuple[int, bool]] = {}  # store folder -> measured (rows, unique) of its stations
 PROXY_INPUTS = ("events", "nation")
+FORMAT = "2"  # part of the fingerprint: raised when the tables' layout or rules change
 
 
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha256(os.path.abspath(sf_dir).encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """A hash of the inputs' files (path, length, modification time), asked of the store they are in."""
+    sc = spark.sparkContext
+    h = hashlib.sha256(FORMAT.encode())
     for name in PROXY_INPUTS:
-        p = os.path.join(sf_dir, f"{name}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{st.st_mtime_ns}".encode())
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        h.update(str(fs.makeQualified(path)).encode())
+        if fs.exists(path):
+            files = fs.listFiles(path, True)
+            seen = []
+            while files.hasNext():
+                f = files.next()
+                seen.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+            h.update("|".join(sorted(seen)).encode())
     return h.hexdigest()[:20]
 
 
 def store_root(spark: SparkSession, sf_dir: str) -> str:
-    base = ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/ridestat-store/{_fingerprint(sf_dir)}"
+    """The tables' folder. Where the cluster names spark.checkpoint.dir, later applications find it again."""
+    own = ensure_checkpoint_dir(spark)
+    base = spark.conf.get("spark.checkpoint.dir", None) or own
+    return f"{base.rstrip('/')}/ridestat-store/{_fingerprint(spark, sf_dir)}"
 
 
 class TripStore:
