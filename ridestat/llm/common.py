@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_checkpoint_dir
 
 _SHIPPED: dict[str, str] = {}
+#: Rows of an Arrow batch: texts are large, and a Python worker holds whole batches.
+ARROW_ROWS = 2000
 
 
 def ready(spark: SparkSession) -> SparkSession:
     """Makes this package importable on the executors and the checkpoint folder known, once per application."""
     sc = spark.sparkContext
     ensure_checkpoint_dir(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if sc.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent
         target = Path(tempfile.mkdtemp(prefix="ridestat-code-")) / "ridestat_code.zip"  # the driver serves it to the executors

@@ -22,10 +22,14 @@ gives an empty result. Only doc_id and text are read, so other columns may have
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,6 +49,7 @@ CENTERS = 6
 ROUNDS = 2
 RARE, RAREST_IDF = 0.01, 1.5
 COUNTERS = 1 << 17
+FAN_IN = 16
 _STEPS = 1 << 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -94,21 +99,25 @@ class Frequent:
 
 
 def _per_task(texts: DataFrame, start: Callable, step: Callable, join: Callable):
-    """Folds all chunks of texts in tasks and the tasks' results in a tree; None for no rows."""
+    """Folds all chunks of texts in tasks, FAN_IN tasks' results at a time on executors, and the last few here; None for no tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pickle
-
         state = start()
         for batch in batches:
             for _, _, data, offsets in chunks(batch.column(0)):
                 step(state, *features(data, offsets))
-        yield pa.RecordBatch.from_pydict({"state": [pickle.dumps(state)]})
+        yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int64()), "state": [pickle.dumps(state)]})
 
-    import pickle
+    def joined(parts: pd.DataFrame) -> pd.DataFrame:
+        state = reduce(join, (pickle.loads(x) for x in parts["state"]))
+        return pd.DataFrame({"part": [int(parts["part"].iloc[0]) // FAN_IN], "state": [pickle.dumps(state)]})
 
-    states = texts.mapInArrow(run, "state binary").rdd.map(lambda r: pickle.loads(bytes(r[0])))
-    return states.treeReduce(join, depth=3) if states.getNumPartitions() else None
+    states, left = texts.mapInArrow(run, "part long, state binary"), texts.rdd.getNumPartitions()
+    while left > FAN_IN:
+        states = states.groupBy(F.floor(F.col("part") / FAN_IN).alias("group")).applyInPandas(joined, "part long, state binary")
+        left = -(-left // FAN_IN)
+    states = [pickle.loads(bytes(r["state"])) for r in states.select("state").collect()]  # about FAN_IN bounded summaries
+    return reduce(join, states) if states else None
 
 
 def common_features(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -269,8 +278,10 @@ def similar(pairs: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [weighted_jaccard(x, y) >= threshold - 1e-9 for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+            for at in range(0, batch.num_rows, 256):  # vectors are made Python objects a few at a time
+                part = batch.slice(at, 256)
+                keep = [weighted_jaccard(x, y) >= threshold - 1e-9 for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+                yield part.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(run, T.StructType(pairs.schema.fields[:2]))
 
