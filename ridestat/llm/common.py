@@ -20,7 +20,8 @@ def ready(spark: SparkSession) -> SparkSession:
     """Makes this package importable on the executors and the checkpoint folder known, once per application."""
     sc = spark.sparkContext
     ensure_checkpoint_dir(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+    rows = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+    if rows > ARROW_ROWS or rows <= 0:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     if sc.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parent.parent
