@@ -114,6 +114,8 @@ QUERIES: dict[str, Query] = {
     ),
     "missing_station_totals": _on_store(lambda s: validation.missing_station_totals(_raw(s), s.dim())),
     # ---- the same trips loaded through the CSV front door (header groups, encodings) ------
+    # every cleaned column through the CSV front door (landed part files have names of their own)
+    "csv_trips_clean": _on_store(lambda s: s.csv_database().trips().drop("trip_id", "source_file")),
     "csv_quality_summary": _on_store(lambda s: quality.quality_summary(s.csv_database().trips())),
     "csv_monthly_trips": _on_store(lambda s: reports.monthly_trips(s.csv_database().analysis())),
     "csv_top_start_stations": _on_store(
