@@ -15,7 +15,8 @@ verified on the words themselves.
 Defined cases: null text has no lines and stays null; shorter and blank lines always stay; rows
 with the same doc_id and text are one document (all of them get the same result), null doc_ids come
 first; a text may be one line of any length; an empty table gives an empty result. Only doc_id and
-text are read, so other columns may have any name not starting with ``__``.
+text are read, so other columns may have any name not starting with ``__``; columns of the two counts'
+names are replaced.
 """
 
 from __future__ import annotations
@@ -114,8 +115,8 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return F.when(more == 0, (at == 0) | replaced).when(more == 1, (at == 0) | added).otherwise(False)
 
 
-def dedup(docs: DataFrame) -> DataFrame:
-    """The rows of docs with their remaining lines, and n_lines and n_removed (lines before, lines removed)."""
+def dedup(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """The rows of docs with their remaining lines, and two counts (lines before, lines removed) named by ``counts``."""
     ready(docs.sparkSession)
     texts = docs.select("doc_id", "text").where("text is not null")
     lines = _lines(texts)
@@ -139,8 +140,8 @@ def dedup(docs: DataFrame) -> DataFrame:
     n_removed = F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("long")
 
     def shaped(df: DataFrame) -> DataFrame:
-        same = [F.col("__left").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]
-        return df.select(*same, n_lines.alias("n_lines"), n_removed.alias("n_removed"))
+        same = [F.col("__left").alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in counts]
+        return df.select(*same, n_lines.alias(counts[0]), n_removed.alias(counts[1]))
 
     return shaped(joined).unionByName(shaped(rest))
 
@@ -157,6 +158,6 @@ def _without(text: Column, gone: Column) -> Column:
 
 def documents_without_repeated_lines(docs: DataFrame) -> DataFrame:
     """The columns of docs; documents that lose all their words go, those that had none stay."""
-    out = dedup(docs.select([F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_removed")]))
-    lost = (F.col("n_removed") > 0) & ~F.col("text").rlike(WORD)
-    return out.where(~F.coalesce(lost, F.lit(False))).drop("n_lines", "n_removed")
+    counts = ("__n_lines", "__n_removed")
+    lost = (F.col(counts[1]) > 0) & ~F.col("text").rlike(WORD)
+    return dedup(docs, counts).where(~F.coalesce(lost, F.lit(False))).drop(*counts)

@@ -134,7 +134,10 @@ def test_line_dedup_against_all_pairs(make_docs):
     docs = make_docs([(i, t, "en", "s") for i, t in rows.items()])
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(docs).collect()}
     assert got == brute_line_dedup(rows)
-    kept = {r["doc_id"] for r in line_dedup.documents_without_repeated_lines(docs).collect()}
+    named = docs.withColumnRenamed("key", "n_lines")
+    whole = line_dedup.documents_without_repeated_lines(named)
+    assert whole.columns == named.columns
+    kept = {r["doc_id"] for r in whole.where("n_lines = 'k'").collect()}
     assert {100, 101, 102} <= kept
     assert kept == {i for i, t in got.items() if t == rows[i] or WORD.search(t or "")}
 
