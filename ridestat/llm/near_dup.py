@@ -9,10 +9,10 @@ a ``RARE`` share of the texts to 1 for one that is in all, so what many texts sh
 2. Each text gets ``BANDS * ROWS`` consistent weighted samples (feature and level with the least
    value); equal samples of a band put texts into one bucket. Exact copies are one text.
 3. A bucket of up to ``CENTERS + 1`` texts compares all of its pairs. A larger one is also dealt
-   to narrower buckets by two and by four more samples, and in each bucket every text meets
-   ``CENTERS`` texts of different classes, so the pairs stay in proportion to the texts. Pairs that
-   agree in enough samples are verified by exact weighted Jaccard similarity; linked texts form
-   classes, and in a second round the classes' texts meet new centers.
+   to narrower buckets by two and by four more samples, and in each of its buckets every text meets
+   ``LARGE_CENTERS`` texts of different classes, so the pairs stay in proportion to the texts. Pairs
+   that agree in enough samples are verified by exact weighted Jaccard similarity; linked texts form
+   classes, and in ``ROUNDS`` rounds the classes' texts meet new centers.
 
 Defined cases: texts without a word (null and empty ones too) are a class of their own each; a
 class is named by its smallest doc_id; repeated rows fall into one class and the first stays; rows
@@ -45,8 +45,8 @@ BANDS, ROWS = 10, 2
 WIDTHS = (2, 4, 6)
 #: Samples of a pair that must agree before it is verified (a pair at 0.8 misses this once in 60,000).
 AGREE = 8
-CENTERS = 6
-ROUNDS = 2
+CENTERS, LARGE_CENTERS = 6, 3
+ROUNDS = 3
 RARE, RAREST_IDF = 0.01, 1.5
 COUNTERS = 1 << 17
 FAN_IN = 16
@@ -321,12 +321,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     label = None
     for turn in range(ROUNDS):
         # Buckets of one class have nothing left to tell.
-        several = members.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("more")).where("more").select("bucket")
+        several = members.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("more"), F.count(F.lit(1)).alias("n")).where("more").select("bucket", "n")
         members = stored(members.join(several, "bucket"))
         # Texts to compare with: of up to CENTERS classes of the bucket one each, chosen by a hash.
-        one = members.groupBy("bucket", "comp").agg(F.min(F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), "rid")).alias("c"))
+        one = members.groupBy("bucket", "comp", "n").agg(F.min(F.struct(F.xxhash64("rid", F.lit(turn)).alias("h"), "rid")).alias("c"))
         place = F.row_number().over(Window.partitionBy("bucket").orderBy("c"))
-        centers = one.withColumn("place", place).where(F.col("place") <= CENTERS).select("bucket", F.col("c.rid").alias("center"), F.col("comp").alias("center_comp"))
+        centers = one.withColumn("place", place).where((F.col("place") <= LARGE_CENTERS) | ((F.col("place") <= CENTERS) & (F.col("n") <= CENTERS + 1))).select("bucket", F.col("c.rid").alias("center"), F.col("comp").alias("center_comp"))
         pairs = members.join(centers, "bucket").where("comp <> center_comp").select(F.least("rid", "center").alias("a"), F.greatest("rid", "center").alias("b")).distinct()
         known = pairs.join(samples.toDF("a", "sa"), "a").join(samples.toDF("b", "sb"), "b").select("a", "b", "sa", "sb")
         near = agreeing(known)
@@ -343,7 +343,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             every = named.join(joined, "named", "left").select("node", F.coalesce("joined", "named").alias("comp"))
             fresh = joined.join(named.select(F.col("node").alias("named")), "named", "left_anti").toDF("node", "comp")
             label = cut(every.union(fresh))
-        members = members.drop("comp").join(label.toDF("rid", "comp"), "rid", "left").select("bucket", "rid", F.coalesce("comp", "rid").alias("comp"))
+        members = members.drop("comp", "n").join(label.toDF("rid", "comp"), "rid", "left").select("bucket", "rid", F.coalesce("comp", "rid").alias("comp"))
     named = copies.select("text_key", "rid")
     if label is not None:
         named = named.join(label.toDF("rid", "comp"), "rid", "left").select("text_key", F.coalesce("comp", "rid").alias("class_id"))
