@@ -13,6 +13,9 @@ a ``RARE`` share of the texts to 1 for one that is in all, so what many texts sh
    ``LARGE_CENTERS`` texts of different classes, so the pairs stay in proportion to the texts. Pairs
    that agree in enough samples are verified by exact weighted Jaccard similarity; linked texts form
    classes, and in ``ROUNDS`` rounds the classes' texts meet new centers.
+4. Texts of large buckets that still hold several classes are joined exactly: two texts that reach the
+   threshold share one of their rarest features (``prefixes``), at which enough weight is left in both.
+   All such pairs of different classes are verified, in blocks of ``BLOCK`` texts a feature.
 
 Defined cases: texts without a word (null and empty ones too) are a class of their own each; a
 class is named by its smallest doc_id; repeated rows fall into one class and the first stays; rows
@@ -50,6 +53,8 @@ ROUNDS = 3
 RARE, RAREST_IDF = 0.01, 1.5
 COUNTERS = 1 << 17
 FAN_IN = 16
+#: Texts of a block of pairs, and counters of the sketch that orders features (the order costs time only, not links).
+BLOCK, SKETCH = 512, 1 << 18
 _STEPS = 1 << 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -286,6 +291,92 @@ def similar(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.mapInArrow(run, T.StructType(pairs.schema.fields[:2]))
 
 
+def _slots(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (h & np.uint64(SKETCH - 1)).astype(np.int64), ((h >> np.uint64(32)) & np.uint64(SKETCH - 1)).astype(np.int64)
+
+
+def sketched(found: DataFrame) -> np.ndarray:
+    """Two rows of SKETCH counters of the features of (id, v); the lesser of a feature's two is at least its count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = np.zeros((2, SKETCH), np.int64)
+        for batch in batches:
+            for v in batch.column(0):
+                for k, at in enumerate(_slots(np.frombuffer(v.as_buffer(), "<u8", len(v.as_buffer()) // 12))):
+                    np.add.at(state[k], at, 1)
+        if state.any():
+            yield pa.RecordBatch.from_pydict({"part": pa.array([TaskContext.get().partitionId()], pa.int64()), "state": [np.minimum(state, (1 << 31) - 1).astype(np.int32).tobytes()]})
+
+    def joined(parts: pd.DataFrame) -> pd.DataFrame:
+        total = reduce(np.add, (np.frombuffer(x, np.int32).astype(np.int64) for x in parts["state"]))
+        return pd.DataFrame({"part": [int(parts["part"].iloc[0]) // FAN_IN], "state": [np.minimum(total, (1 << 31) - 1).astype(np.int32).tobytes()]})
+
+    states, left = found.select("v").mapInArrow(run, "part long, state binary"), found.rdd.getNumPartitions()
+    while left > FAN_IN:
+        states = states.groupBy(F.floor(F.col("part") / FAN_IN).alias("group")).applyInPandas(joined, "part long, state binary")
+        left = -(-left // FAN_IN)
+    rows = [np.frombuffer(bytes(r["state"]), np.int32).astype(np.int64) for r in states.select("state").collect()]  # FAN_IN at most
+    return reduce(np.add, rows, np.zeros(2 * SKETCH, np.int64)).reshape(2, SKETCH)
+
+
+def prefixes(texts: DataFrame, counts: np.ndarray, threshold: float) -> DataFrame:
+    """rid, comp, f, total, rest of texts (rid, comp, v): rarest features first, those at which ``rest``, the weight from there on, still reaches threshold * total.
+
+    Two similar texts have their first common feature f among these, and the lesser rest reaches threshold / (1 + threshold) of both totals.
+    """
+    given = texts.sparkSession.sparkContext.broadcast(counts)
+    shape = T.StructType([*texts.schema.fields[:2], T.StructField("f", T.LongType()), T.StructField("total", T.DoubleType()), T.StructField("rest", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = given.value
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                of, fs, totals, rests = [], [], [], []
+                for i, v in enumerate(part.column(2)):
+                    b = v.as_buffer()
+                    n = len(b) // 12
+                    h, w = np.frombuffer(b, "<u8", n), np.frombuffer(b, "<f4", n, n * 8).astype(float)
+                    one, two = _slots(h)
+                    seen = np.minimum(counts[0][one], counts[1][two])
+                    order = np.lexsort((h, seen))
+                    rest = np.cumsum(w[order][::-1])[::-1]
+                    # What was seen once is in no other text.
+                    keep = np.flatnonzero((rest >= threshold * rest[0] - 1e-6) & (seen[order] > 1))
+                    of.append(np.full(len(keep), i))
+                    fs.append(h[order][keep].view(np.int64))
+                    rests.append(rest[keep])
+                    totals.append(np.full(len(keep), rest[0]))
+                of = pa.array(np.concatenate(of))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(of), part.column(1).take(of), *(pa.array(np.concatenate(x)) for x in (fs, totals, rests))], names=shape.names)
+
+    return texts.mapInArrow(run, shape)
+
+
+def possible(rows: DataFrame, threshold: float) -> DataFrame:
+    """a, b of different classes that share a prefix row and may reach the threshold; all that do are among them."""
+    rows = stored(rows)
+    several = rows.groupBy("f").agg((F.min("comp") < F.max("comp")).alias("more"), F.count(F.lit(1)).alias("n")).where("more")
+    rows = stored(rows.join(several.select("f", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "f"))
+    x = rows.select("f", F.pmod(F.xxhash64("rid"), "blocks").cast("int").alias("block"), *[F.col(c).alias(f"{c}_x") for c in ("rid", "comp", "total", "rest")])
+    y = rows.select("f", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"{c}_y") for c in ("rid", "comp", "total", "rest")])
+    enough = F.least("rest_x", "rest_y") >= threshold / (1 + threshold) * (F.col("total_x") + F.col("total_y")) - 1e-6
+    pairs = x.join(y, ["f", "block"]).where((F.col("rid_x") < F.col("rid_y")) & (F.col("comp_x") != F.col("comp_y")) & enough)
+    return pairs.select(F.col("rid_x").alias("a"), F.col("rid_y").alias("b")).distinct()
+
+
+def merged(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """node, comp of all linked texts: label with the classes joined that the links join."""
+    if label is None:
+        return components(links)
+    named = label.toDF("node", "named")
+    lifted = links.join(named.toDF("a", "la"), "a", "left").join(named.toDF("b", "lb"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    joined = components(lifted).toDF("named", "joined")
+    every = named.join(joined, "named", "left").select("node", F.coalesce("joined", "named").alias("comp"))
+    fresh = joined.join(named.select(F.col("node").alias("named")), "named", "left_anti").toDF("node", "comp")
+    return cut(every.union(fresh))
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, comp (least node) of the graph of links (a, b): least labels spread, and labels are followed."""
     both = cut(links.select("a", "b").union(links.select("b", "a")).distinct())
@@ -334,16 +425,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links = stored(links)
         if links.isEmpty():
             break
-        if label is None:
-            label = components(links)
-        else:  # links between classes of earlier rounds
-            named = label.toDF("node", "named")
-            lifted = links.join(named.toDF("a", "la"), "a", "left").join(named.toDF("b", "lb"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
-            joined = components(lifted).toDF("named", "joined")
-            every = named.join(joined, "named", "left").select("node", F.coalesce("joined", "named").alias("comp"))
-            fresh = joined.join(named.select(F.col("node").alias("named")), "named", "left_anti").toDF("node", "comp")
-            label = cut(every.union(fresh))
+        label = merged(label, links)
         members = members.drop("comp", "n").join(label.toDF("rid", "comp"), "rid", "left").select("bucket", "rid", F.coalesce("comp", "rid").alias("comp"))
+    # What the rounds have left open, exactly.
+    several = members.groupBy("bucket").agg((F.min("comp") < F.max("comp")).alias("more"), F.count(F.lit(1)).alias("n")).where(F.col("more") & (F.col("n") > CENTERS + 1)).select("bucket")
+    left = stored(members.join(several, "bucket").select("rid", "comp").distinct())
+    if not left.isEmpty():
+        open_texts = left.join(found.toDF("rid", "v"), "rid").select("rid", "comp", "v")
+        pairs = possible(prefixes(open_texts, sketched(found), threshold), threshold)
+        links = stored(similar(pairs.join(found.toDF("a", "va"), "a").join(found.toDF("b", "vb"), "b").select("a", "b", "va", "vb"), threshold))
+        if not links.isEmpty():
+            label = merged(label, links)
     named = copies.select("text_key", "rid")
     if label is not None:
         named = named.join(label.toDF("rid", "comp"), "rid", "left").select("text_key", F.coalesce("comp", "rid").alias("class_id"))
