@@ -1,10 +1,11 @@
 """Quality rules by n-gram perplexity, with a modified Kneser-Ney model counted by Spark.
 
 The model predicts the bytes of words (and their ends) from up to four bytes before, a word's start
-included; it has one part per language. Tasks count the n-grams of the distinct words of whole
-texts; Spark sums them, derives continuation counts, discounts and probabilities by grouping and
-joins, and hashes each order into at most ``SLOTS`` slots, so the arrays that go to the tasks are
-bounded whatever the corpus holds. Tasks find n-grams by binary search in the sorted hash arrays.
+included; it has one part per language. Tasks count the n-grams of whole texts; Spark sums them and
+derives continuation counts, discounts and probabilities by grouping and joins. Texts are scored in
+groups of about ``GROUP`` bytes: a group's distinct n-grams are joined with their probabilities, and
+those rows meet the group's texts again, so no task or driver holds the model. All scored texts are
+counted, so every n-gram has a probability of its own.
 
 A document's cross entropy (bits a symbol) is compared with the band of its language: quartiles over
 all documents that pass the base rules, widened by ``BAND`` times their distance on either side, and
@@ -32,16 +33,15 @@ from .common import ready, stored
 from .textarrays import Words, chunks, mix, owners, ragged, runs, span_hashes, windows, words
 
 ORDER = 5
-SLOTS = 1 << 22
 BAND, LEAST_SPREAD = 3.0, 0.02
 #: Bits by which the band is wider for a text of one symbol; it falls with the root of the symbols.
 SHORT_MARGIN = 2.0
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 SALTS = 32
-#: Bytes of text handled at once, word scores and n-gram counts kept by a task.
-CHUNK, KEPT_WORDS, KEPT_GRAMS = 1 << 21, 1 << 19, 1 << 20
+#: Bytes of text handled at once and scored with one n-gram table, n-gram counts kept by a task.
+CHUNK, GROUP, KEPT_GRAMS = 1 << 20, 1 << 24, 1 << 20
 #: Symbols: bytes, of which a blank stands for a word's start and end.
-BLANK, ALPHABET = 0x20, 256
+BLANK, START, ALPHABET = 0x20, 0x20, 256
 _LANG, _ODD = 44, np.uint64(0x9E3779B97F4A7C15)
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -56,41 +56,25 @@ def language_codes(langs: pa.Array) -> np.ndarray:
     return np.array([seen[x] for x in langs.to_pylist()], np.int64)
 
 
-class Spelled:
-    """Distinct words as flat symbol arrays: start mark, bytes, end mark."""
-
-    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray, lang: np.ndarray) -> None:
-        lengths = end - start + 2
-        ends = np.cumsum(lengths)
-        begins = ends - lengths
-        self.symbols = np.full(int(ends[-1]) if len(ends) else 0, BLANK, np.int64)
-        inner = np.ones(len(self.symbols), bool)
-        inner[begins], inner[ends - 1] = False, False
-        self.symbols[inner] = data[ragged(start, lengths - 2)]
-        self.word = np.repeat(np.arange(len(start)), lengths)
-        self.place = np.arange(len(self.symbols)) - begins[self.word]
-        self.lang = lang[self.word]
-
-    def keys(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places that end an n-gram within their word, and the n-grams' keys: language, order, bytes."""
-        at = np.flatnonzero(self.place >= max(n - 1, 1))
-        key = (self.lang[at] << 4 | n) << 40
-        for j in range(n):
-            key |= self.symbols[at - j] << (8 * j)
-        return at, key
-
-
-def counted(spelled: Spelled, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of all full n-grams, and of the shorter ones that begin a word."""
-    keys, counts = [], []
-    for n in range(2, ORDER + 1):
-        at, key = spelled.keys(n)
-        if n < ORDER:
-            begins = spelled.place[at] == n - 1
-            at, key = at[begins], key[begins]
-        keys.append(key)
-        counts.append(times[spelled.word[at]])
-    return summed(np.concatenate(keys), np.concatenate(counts))
+def symbol_keys(data: np.ndarray, w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends in each symbol (language, order, bytes), as long as its word and ORDER allow, and the symbol's row."""
+    opens = np.ones(len(w.start), bool)
+    lengths = w.end - w.start + 1 + opens
+    ends = np.cumsum(lengths)
+    begins = ends - lengths
+    symbols = np.full(int(ends[-1]) if len(ends) else 0, BLANK, np.int64)
+    inner = np.ones(len(symbols), bool)
+    inner[begins[opens]], inner[ends - 1] = False, False
+    symbols[inner] = data[ragged(w.start, w.end - w.start)]
+    symbols[begins[opens]] = START
+    place = np.arange(len(symbols)) - np.repeat(begins[opens], np.add.reduceat(lengths, np.flatnonzero(opens)) if len(lengths) else 0)
+    row = np.repeat(w.row, lengths)
+    order = np.minimum(place + 1, ORDER)
+    key = (lang[row] << 4 | order) << 40
+    for j in range(min(ORDER, len(symbols))):
+        key[j:] |= np.where(place[j:] >= j, symbols[: len(symbols) - j], 0) << (8 * j)
+    said = place > 0
+    return key[said], row[said]
 
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,15 +82,8 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return known, np.bincount(back, counts, len(known)).astype(np.int64)
 
 
-def distinct_words(w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of (word, language), first word of each, and each word's place among them."""
-    with np.errstate(over="ignore"):
-        h = w.hash ^ (lang[w.row].astype(np.uint64) * _ODD)
-    return np.unique(h, return_index=True, return_inverse=True)
-
-
 def gram_counts(docs: DataFrame) -> DataFrame:
-    """key, n: n-grams of all words of all texts."""
+    """key, n: full n-grams of all texts, and the shorter ones at a start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -117,9 +94,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 w = words(data, offsets)
                 if not len(w.hash):
                     continue
-                _, first, back = distinct_words(w, langs[lo:hi])
-                spelled = Spelled(data, w.start[first], w.end[first], langs[lo:hi][w.row[first]])
-                held.append(counted(spelled, np.bincount(back)))
+                held.append(np.unique(symbol_keys(data, w, langs[lo:hi])[0], return_counts=True))
                 size += len(held[-1][0])
                 if size > KEPT_GRAMS:
                     keys, counts = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -139,7 +114,7 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
     lang, order = F.shiftright("key", _LANG), F.shiftright("key", 40).bitwiseAND(F.lit(15).cast("long"))
     raw = stored(counts.select(lang.alias("lang"), order.alias("order"), F.col("key").bitwiseAND(F.lit((1 << 40) - 1)).alias("symbols"), "n"))
     tables = {ORDER: raw.where(F.col("order") == ORDER).select("lang", "symbols", "n")}
-    for n in range(ORDER - 1, 0, -1):  # continuation counts; n-grams that begin a word keep their own
+    for n in range(ORDER - 1, 0, -1):  # continuation counts; n-grams that start with START keep their own
         tail = F.col("symbols").bitwiseAND(F.lit((1 << 8 * n) - 1))
         table = tables[n + 1].select("lang", tail.alias("symbols")).groupBy("lang", "symbols").agg(F.count(F.lit(1)).alias("n"))
         if n > 1:
@@ -180,77 +155,16 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
     return out
 
 
-def _slotted(table: DataFrame, order: int, value: str) -> tuple[np.ndarray, np.ndarray]:
-    """A sorted array of slots and their values' logarithms; of n-grams in one slot the most frequent counts."""
-    slot = F.pmod(F.xxhash64("lang", F.lit(order).cast("long"), "symbols"), F.lit(SLOTS))
-    rows = table.select(slot.alias("slot"), F.struct("n", "symbols", "lang", F.log2(value).alias("v")).alias("s")).groupBy("slot").agg(F.max("s").alias("s"))
-    found = rows.select(F.col("slot").cast("int").alias("slot"), F.col("s.v").cast("float").alias("v")).toArrow()  # SLOTS rows at most
-    slots, values = found.column("slot").to_numpy(), found.column("v").to_numpy()
-    order_ = np.argsort(slots)
-    return slots[order_].astype(np.int32), values[order_].astype(np.float32)
-
-
-class LanguageModel:
-    """Sorted hash arrays of each order: n-grams with log2 probabilities, contexts with log2 back-off weights."""
-
-    def __init__(self, orders: list[tuple[DataFrame, DataFrame]]) -> None:
-        self.grams = [_slotted(g, n, "p") for n, (g, _) in enumerate(orders, 1)]
-        self.contexts = [_slotted(c, n - 1, "gamma") for n, (_, c) in enumerate(orders, 1)]
-
-    @staticmethod
-    def find(table: tuple[np.ndarray, np.ndarray], slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each slot is in the table, and its value (0 if not)."""
-        keys, values = table
-        if not len(keys):
-            return np.zeros(len(slots), bool), np.zeros(len(slots), np.float32)
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        hit = keys[at] == slots
-        return hit, np.where(hit, values[at], np.float32(0))
-
-    def word_bits(self, spelled: Spelled, n_words: int) -> np.ndarray:
-        """Minus the log2 probability of each word with its end."""
-        at, key = spelled.keys(1)
-        distinct, back = np.unique(key, return_inverse=True)
-        hit, value = self.find(self.grams[0], slots_of(distinct, 1))
-        # A symbol that was never seen falls back on the empty context's weight and the uniform share.
-        unseen = (self.contexts[0][1][0] if len(self.contexts[0][1]) else 0) - np.log2(ALPHABET)
-        score = np.full(len(spelled.symbols), np.float32(unseen))
-        score[at] = np.where(hit, value, np.float32(unseen))[back]
-        for n in range(2, ORDER + 1):
-            at, key = spelled.keys(n)
-            if not len(at):
-                break
-            distinct, back = np.unique(key, return_inverse=True)
-            hit, value = self.find(self.grams[n - 1], slots_of(distinct, n))
-            context = (distinct >> 44) << 44 | (n - 1) << 40 | ((distinct & ((1 << 40) - 1)) >> 8)
-            _, weight = self.find(self.contexts[n - 1], slots_of(context, n - 1))
-            score[at] = np.where(hit[back], value[back], score[at] + weight[back])
-        first = spelled.place == 0
-        return np.bincount(spelled.word[~first], -score[~first].astype(float), n_words)
-
-
-def slots_of(keys: np.ndarray, n: int) -> np.ndarray:
-    """The slots that Spark gave the keys' (language, order, symbols)."""
-    return xxhash_slots(keys >> _LANG, np.int64(n), keys & ((1 << 40) - 1))
-
-
-def xxhash_slots(*columns) -> np.ndarray:
-    """pmod(xxhash64(longs...), SLOTS) as Spark computes it (seed 42, one long after another)."""
-    p1, p2, p3, p4, p5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-    def turn(x: np.ndarray, r: int) -> np.ndarray:
-        return (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-
-    with np.errstate(over="ignore"):
-        seed = np.uint64(42)
-        for c in columns:
-            h = seed + p5 + np.uint64(8)
-            h = h ^ (turn(np.asarray(c).astype(np.int64).view(np.uint64) * p2, 31) * p1)
-            h = turn(h, 27) * p1 + p4
-            h = (h ^ (h >> np.uint64(33))) * p2
-            h = (h ^ (h >> np.uint64(29))) * p3
-            seed = h ^ (h >> np.uint64(32))
-    return (seed & np.uint64(SLOTS - 1)).astype(np.int32)
+def probabilities(orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """key, v: log2 probability of every n-gram that symbol_keys gives."""
+    out = None
+    for n, (table, _) in list(enumerate(orders, 1))[1:]:
+        if n < ORDER:
+            table = table.where(F.shiftright("symbols", 8 * (n - 1)) == START)
+        key = F.shiftleft("lang", _LANG).bitwiseOR(F.lit(n << 40).cast("long")).bitwiseOR(F.col("symbols"))
+        rows = table.select(key.alias("key"), F.log2("p").alias("v"))
+        out = rows if out is None else out.union(rows)
+    return out
 
 
 def rule_counts(data: np.ndarray, offsets: np.ndarray, w: Words) -> dict[str, np.ndarray]:
@@ -310,43 +224,49 @@ def firsts(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return order[new]
 
 
-def measured(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """doc_id, lang, the base counts, base_failed and bits (cross entropy a symbol; null without words)."""
-    given = ready(docs.sparkSession).sparkContext.broadcast(model)
+def group_keys(table: pa.Table) -> pa.Table:
+    """chunk, key: the distinct n-grams of one group of texts."""
+    langs, found = language_codes(table.column("lang")), []
+    for lo, hi, data, offsets in chunks(table.column("text"), CHUNK):
+        found.append(np.unique(symbol_keys(data, words(data, offsets), langs[lo:hi])[0]))
+    keys = np.unique(np.concatenate(found))
+    return pa.table({"chunk": pa.array(np.full(len(keys), table.column("chunk")[0].as_py()), pa.int64()), "key": pa.array(keys, pa.int64())})
+
+
+def measured(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """doc_id, lang, the base counts, base_failed and bits (cross entropy a symbol; null without words); model has the n-grams of docs."""
+    spark = ready(docs.sparkSession)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     shape = T.StructType([docs.schema["doc_id"], T.StructField("lang", T.StringType()), *[T.StructField(c, T.LongType()) for c in counts], T.StructField("bits", T.DoubleType()), T.StructField("symbols", T.LongType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = given.value
-        known, bits_of = np.zeros(0, np.uint64), np.zeros(0)
-        for batch in batches:
-            langs = language_codes(batch.column(1))
-            for lo, hi, data, offsets in chunks(batch.column(2), CHUNK):
-                w = words(data, offsets)
-                rules = rule_counts(data, offsets, w)
-                distinct, first, back = distinct_words(w, langs[lo:hi])
-                at = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
-                new = known[at] != distinct if len(known) else np.ones(len(distinct), bool)
-                score = np.zeros(len(distinct))
-                score[~new] = bits_of[at[~new]]
-                if new.any():
-                    f = first[new]
-                    score[new] = model.word_bits(Spelled(data, w.start[f], w.end[f], langs[lo:hi][w.row[f]]), len(f))
-                    if len(known) > KEPT_WORDS:
-                        known, bits_of = distinct, score
-                    else:
-                        put = np.searchsorted(known, distinct[new])
-                        known, bits_of = np.insert(known, put, distinct[new]), np.insert(bits_of, put, score[new])
-                symbols = np.r_[0, np.cumsum(w.end - w.start + 1)]
-                total = np.r_[0, np.cumsum(score[back])]
-                n = symbols[w.first[1:]] - symbols[w.first[:-1]]
-                bits = (total[w.first[1:]] - total[w.first[:-1]]) / np.maximum(n, 1)
-                columns = [batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo)]
-                columns += [pa.array(rules[c].astype(np.int64)) for c in counts]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(bits, mask=n == 0), pa.array(n.astype(np.int64))], names=shape.names)
-
+    def run(texts: pa.Table, grams: pa.Table) -> pa.Table:
+        keys, values = grams.column("key").to_numpy(), grams.column("v").to_numpy()
+        by = np.argsort(keys)
+        keys, values = keys[by], values[by]
+        langs, parts = language_codes(texts.column("lang")), []
+        for lo, hi, data, offsets in chunks(texts.column("text"), CHUNK):
+            w = words(data, offsets)
+            rules = rule_counts(data, offsets, w)
+            key, row = symbol_keys(data, w, langs[lo:hi])
+            distinct, back = np.unique(key, return_inverse=True)
+            at = np.searchsorted(keys, distinct)
+            if len(distinct) and (at[-1] >= len(keys) or (keys[at] != distinct).any()):
+                raise ValueError("n-grams without a probability: the texts are not those that were counted")
+            n = np.bincount(row, minlength=hi - lo)
+            bits = np.bincount(row, -values[at][back], hi - lo) / np.maximum(n, 1)
+            columns = [pa.array(rules[c].astype(np.int64)) for c in counts]
+            parts.append(pa.table([*(texts.column(c).slice(lo, hi - lo) for c in ("doc_id", "lang")), *columns, pa.array(bits, mask=n == 0), pa.array(n.astype(np.int64))], names=shape.names))
+        return pa.concat_tables(parts)
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    groups = size // GROUP + 1
+    placed = docs.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("chunk"))
+    placed = placed.repartition(max(groups, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
+    asked = placed.groupBy("chunk").applyInArrow(group_keys, "chunk long, key long")
+    given = asked.join(model, "key").select("chunk", "key", "v")
+    out = placed.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(run, shape)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    return docs.select("doc_id", "lang", "text").mapInArrow(run, shape).withColumn("base_failed", failed)
+    return out.withColumn("base_failed", failed)
 
 
 def bands(scored: DataFrame, width: float = BAND) -> DataFrame:
@@ -365,8 +285,7 @@ def bands(scored: DataFrame, width: float = BAND) -> DataFrame:
 def judge(docs: DataFrame, width: float = BAND) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity, low and high of the language's band."""
     ready(docs.sparkSession)
-    model = LanguageModel(estimate(gram_counts(docs)))
-    scored = stored(measured(docs, model))
+    scored = stored(measured(docs, probabilities(estimate(gram_counts(docs)))))
     band = bands(scored, width).withColumnRenamed("lang", "band_lang")
     # The few bands are repeated under each salt, so a language of many rows meets its band in many tasks.
     band = band.withColumn("band_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

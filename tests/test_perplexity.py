@@ -1,0 +1,22 @@
+"""Perplexity against probabilities computed in plain Python."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from ridestat.llm import perplexity
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+
+def test_every_ngram_has_its_own_probability(spark):
+    """A hot language's n-grams do not displace those of a small one: its perplexity does not depend on the other's size."""
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
+    small = [(i, " ".join("".join(rng.choice(letters, 7)) for _ in range(12)), "xx") for i in range(40)]
+    hot = [(1000 + i, " ".join("".join(x) for x in rng.choice(letters, (4000, 12))), "en") for i in range(60)]
+    alone = {r.doc_id: r.perplexity for r in perplexity.judge(_docs(spark, small)).collect()}
+    both = {r.doc_id: r.perplexity for r in perplexity.judge(_docs(spark, small + hot)).where(F.col("doc_id") < 1000).collect()}
+    assert len(both) == 40
+    assert all(abs(both[i] - alone[i]) <= 1e-6 * alone[i] for i in alone)
