@@ -1,7 +1,7 @@
 """Quality rules by n-gram perplexity, with a modified Kneser-Ney model counted by Spark.
 
-The model predicts the bytes of words (and their ends) from up to four bytes before, a word's start
-included; it has one part per language. Tasks count the n-grams of whole texts; Spark sums them and
+The model predicts the bytes of texts (one blank between words) from up to four bytes before, also
+across words and from the text's start on; it has one part per language. Tasks count the n-grams of whole texts; Spark sums them and
 derives continuation counts, discounts and probabilities by grouping and joins. Texts are scored in
 groups of about ``GROUP`` bytes: a group's distinct n-grams are joined with their probabilities, and
 those rows meet the group's texts again, so no task or driver holds the model. All scored texts are
@@ -40,8 +40,8 @@ MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 SALTS = 32
 #: Bytes of text handled at once and scored with one n-gram table, n-gram counts kept by a task.
 CHUNK, GROUP, KEPT_GRAMS = 1 << 20, 1 << 24, 1 << 20
-#: Symbols: bytes, of which a blank stands for a word's start and end.
-BLANK, START, ALPHABET = 0x20, 0x20, 256
+#: Symbols: bytes, of which a blank stands for a word's end and a line break for a text's start.
+BLANK, START, ALPHABET = 0x20, 0x0A, 256
 _LANG, _ODD = 44, np.uint64(0x9E3779B97F4A7C15)
 IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -57,8 +57,9 @@ def language_codes(langs: pa.Array) -> np.ndarray:
 
 
 def symbol_keys(data: np.ndarray, w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends in each symbol (language, order, bytes), as long as its word and ORDER allow, and the symbol's row."""
-    opens = np.ones(len(w.start), bool)
+    """The n-gram that ends in each symbol (language, order, bytes), as long as its text and ORDER allow, and the symbol's row."""
+    row = w.row
+    opens = np.r_[True, row[1:] != row[:-1]][: len(row)]
     lengths = w.end - w.start + 1 + opens
     ends = np.cumsum(lengths)
     begins = ends - lengths
@@ -67,8 +68,8 @@ def symbol_keys(data: np.ndarray, w: Words, lang: np.ndarray) -> tuple[np.ndarra
     inner[begins[opens]], inner[ends - 1] = False, False
     symbols[inner] = data[ragged(w.start, w.end - w.start)]
     symbols[begins[opens]] = START
-    place = np.arange(len(symbols)) - np.repeat(begins[opens], np.add.reduceat(lengths, np.flatnonzero(opens)) if len(lengths) else 0)
-    row = np.repeat(w.row, lengths)
+    place = np.arange(len(symbols)) - np.repeat(begins[opens], np.diff(np.r_[begins[opens], len(symbols)]))
+    row = np.repeat(row, lengths)
     order = np.minimum(place + 1, ORDER)
     key = (lang[row] << 4 | order) << 40
     for j in range(min(ORDER, len(symbols))):

@@ -20,3 +20,23 @@ def test_every_ngram_has_its_own_probability(spark):
     both = {r.doc_id: r.perplexity for r in perplexity.judge(_docs(spark, small + hot)).where(F.col("doc_id") < 1000).collect()}
     assert len(both) == 40
     assert all(abs(both[i] - alone[i]) <= 1e-6 * alone[i] for i in alone)
+
+
+def test_shuffled_words_score_worse_and_leave_the_band(spark):
+    rng = np.random.default_rng(11)
+    words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(80)]
+
+    def text():
+        at, out = int(rng.integers(0, len(words))), []
+        for _ in range(70):
+            out.append(words[at])
+            at = (at + int(rng.choice([1, 7, 13]))) % len(words)
+        return out
+
+    texts = [text() for _ in range(300)]
+    rows = [(i, " ".join(t), "en") for i, t in enumerate(texts)]
+    rows += [(1000 + i, " ".join(rng.permutation(texts[i])), "en") for i in range(3)]
+    out = {r.doc_id: r for r in perplexity.judge(_docs(spark, rows)).collect()}
+    assert sum(out[i].kept for i in range(300)) > 270
+    assert max(out[i].perplexity for i in range(300)) < min(out[1000 + i].perplexity for i in range(3))
+    assert not any(out[1000 + i].base_failed or out[1000 + i].kept for i in range(3))
