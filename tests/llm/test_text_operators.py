@@ -187,10 +187,10 @@ def test_quality_rules(spark, make_docs):
 
 
 def brute_kneser_ney(corpus):
-    """{n-gram: probability} by the definition, for byte n-grams of words; and a scorer."""
+    """Bits of a text by the definition, for byte n-grams that run across words from the text's start on."""
     raw = {}
-    for w in corpus:
-        s = b" " + w + b" "
+    for words in corpus:
+        s = b"\n" + b" ".join(words) + b" "
         for e in range(1, len(s)):
             for n in range(1, 6):
                 if n <= e + 1:
@@ -202,7 +202,7 @@ def brute_kneser_ney(corpus):
         for g in counts[n + 1]:
             tails[g[1:]] = tails.get(g[1:], 0) + 1
         if n > 1:
-            tails |= {g: c for g, c in raw.items() if len(g) == n and g[:1] == b" "}
+            tails |= {g: c for g, c in raw.items() if len(g) == n and g[:1] == b"\n"}
         counts[n] = tails
     off, total, free = {}, {}, {}
     for n, table in counts.items():
@@ -226,8 +226,8 @@ def brute_kneser_ney(corpus):
         c = counts[n].get(h + s, 0)
         return (c - off[n][min(c, 3)] if c else 0) / total[n, h] + free[n, h] / total[n, h] * less
 
-    def bits(w):
-        s = b" " + w + b" "
+    def bits(words):
+        s = b"\n" + b" ".join(words) + b" "
         return -sum(np.log2(p(s[max(0, e - 4) : e], s[e : e + 1])) for e in range(1, len(s)))
 
     return bits
@@ -237,10 +237,10 @@ def test_perplexity_equals_kneser_ney_by_definition(spark, make_docs):
     rng = random.Random(2)
     texts = [" ".join("".join(rng.choices("abcé", k=rng.randint(1, 7))) for _ in range(rng.randint(10, 30))) for _ in range(30)]
     got = perplexity.judge(make_docs([(i, t, "en", "s") for i, t in enumerate(texts)])).collect()
-    bits = brute_kneser_ney([w.encode() for t in texts for w in t.split()])
+    bits = brute_kneser_ney([[w.encode() for w in t.split()] for t in texts])
     for r in got:
         w = [x.encode() for x in texts[r["doc_id"]].split()]
-        want = sum(bits(x) for x in w) / sum(len(x) + 1 for x in w)
+        want = bits(w) / sum(len(x) + 1 for x in w)
         assert np.log2(r["perplexity"]) == pytest.approx(want, rel=1e-4)
 
 
