@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, their queries and their DuckDB SQL.
+"""Training-data operators: corpus operators, their queries and their DuckDB SQL.
 
 Nothing outside this package (and ``corpus_pipeline.py`` at the top) imports it.
 """

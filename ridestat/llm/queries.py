@@ -1,11 +1,11 @@
-"""The ten operators' queries over the driver's tables, and DuckDB SQL where SQL can express one."""
+"""The operators' queries over the driver's tables, and DuckDB SQL where SQL can express one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_graph, kd_search, line_dedup, mixing, near_dup, perplexity, token_files, toxicity, url_rules
+from . import bpe, html_graph, kd_search, line_dedup, merkle, mixing, near_dup, perplexity, token_files, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,14 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, roots and proof digest, and whether it verifies after a fifth of the texts were tampered with."""
+    docs = _table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    now = merkle.leaf(docs, F.when(tampered, F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.col("text")))
+    return merkle.build(docs, now=now).check("now")
+
+
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
@@ -94,6 +102,7 @@ def queries() -> dict:
         "op8_line_dedup": op8_line_dedup,
         "op9_near_dup": op9_near_dup,
         "op10_mix_sources": op10_mix_sources,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -101,8 +110,68 @@ def _rule_values() -> str:
     return ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in url_rules.RULES)
 
 
+#: Levels of the Merkle SQL: enough for 16 ** 5 documents a source and 16 ** 4 sources.
+_LOWER, _UPPER = 5, 4
+
+
+def _merkle_sql() -> str:
+    """One CTE a level; a run's members and a node's place are window ranks, and trees that have one node left stay as they are."""
+
+    def field(c: str) -> str:
+        return f"coalesce(strlen(cast({c} as varchar)) || ':' || cast({c} as varchar), '-')"
+
+    def lift(prefix: str, group: str, levels: int) -> str:
+        out = []
+        for k in range(levels):
+            out.append(f"""
+{prefix}{k + 1} as materialized (
+  select {group}, case when any_value(n) = 1 then 0 else i // 16 end as i, case when any_value(n) = 1 then 1 else (any_value(n) + 15) // 16 end as n,
+         case when any_value(n) = 1 then any_value(h) else sha256(string_agg(h, '' order by i)) end as h
+  from {prefix}{k} group by {group}, i // 16, case when n = 1 then i end
+)""")
+        return ",".join(out)
+
+    def climb(prefix: str, group: str, start: int, levels: int) -> str:
+        """Joins each climbing row with the other members of its run, level by level."""
+        out = []
+        for k in range(levels):
+            a, b = f"c{start + k}", f"c{start + k + 1}"
+            out.append(f"""
+{b} as materialized (
+  select x.id, x.{group}, x.i // 16 as i, any_value(x.leaf) as leaf, any_value(x.sib) || coalesce(string_agg(t.h, '' order by t.i) filter (t.i <> x.i), '') as sib,
+         case when any_value(t.n) = 1 then any_value(x.now)
+              else sha256(coalesce(string_agg(t.h, '' order by t.i) filter (t.i < x.i), '') || any_value(x.now) || coalesce(string_agg(t.h, '' order by t.i) filter (t.i > x.i), '')) end as now
+  from {a} x join {prefix}{k} t on x.{group} = t.{group} and x.i // 16 = t.i // 16 group by x.id, x.{group}, x.i
+)""")
+        return ",".join(out)
+
+    changed = "case when crc % 5 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    return f"""
+with bits as (
+  select row_number() over () as id, *, flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: [ascii(c), 0, 0, 0, 0, 0, 0, 0])) as s from documents
+), crcs as (
+  select * exclude (s), xor(list_reduce(list_prepend(4294967295::bigint, cast(s as bigint[])), lambda a, b: xor(xor(a, b) >> 1, 3988292384 * (xor(a, b) & 1))), 4294967295) as crc from bits
+), hashed as materialized (
+  select id, doc_id, coalesce('=' || source, '-') as grp, sha256({head} || {field("text")}) as leaf, sha256({head} || {field(changed)}) as now from crcs
+), ranked as materialized (
+  select *, row_number() over (partition by grp order by doc_id nulls first, leaf) - 1 as i, count(*) over (partition by grp) as n from hashed
+), a0 as materialized (select grp, i, n, leaf as h from ranked),
+{lift("a", "grp", _LOWER)},
+b0 as materialized (select 0 as top, grp, row_number() over (order by encode(grp)) - 1 as i, count(*) over () as n, h from a{_LOWER}),
+{lift("b", "top", _UPPER)},
+c0 as (select id, grp, i, leaf, '' as sib, now from ranked),
+{climb("a", "grp", 0, _LOWER)},
+c{_LOWER + 1} as (select c.id, b0.top, b0.i, c.leaf, c.sib, c.now from c{_LOWER} c join b0 using (grp)),
+{climb("b", "top", _LOWER + 1, _UPPER)}
+select r.doc_id, r.leaf, b0.h as subroot, t.h as root, sha256(c.sib) as proof_sha256, c.now as folded_root, c.now = t.h as verified
+from c{_LOWER + 1 + _UPPER} c join ranked r using (id) join b0 on b0.grp = r.grp cross join b{_UPPER} t
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_merkle": _merkle_sql(),
         "op2_top_k": f"""
 with fine as (
   select vec_id, list_transform(embedding, lambda x: cast(floor({kd_search.SCALE:.0f} * cast(x as double)) as bigint)) as v
