@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_graph, kd_search, line_dedup, merkle, mixing, near_dup, perplexity, token_files, toxicity, url_rules
+from . import bpe, html_graph, kd_search, line_dedup, merkle, mixing, near_dup, perplexity, token_files, toxicity, url_rules, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's whitened components."""
+    out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return out.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's leaf, roots and proof digest, and whether it verifies after a fifth of the texts were tampered with."""
     docs = _table(spark, sf_dir, "documents")
@@ -102,6 +108,7 @@ def queries() -> dict:
         "op8_line_dedup": op8_line_dedup,
         "op9_near_dup": op9_near_dup,
         "op10_mix_sources": op10_mix_sources,
+        "op12_whitening": op12_whitening,
         "op13_merkle": op13_merkle,
     }
 
