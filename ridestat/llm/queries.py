@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html_graph, kd_search, line_dedup, merkle, mixing, near_dup, perplexity, token_files, toxicity, url_rules, whitening
+from . import bpe, html_graph, kd_search, license_scan, line_dedup, merkle, mixing, near_dup, perplexity, token_files, toxicity, url_rules, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return license_scan.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's whitened components."""
     out = whitening.whiten(_table(spark, sf_dir, "embeddings"))
@@ -108,6 +113,7 @@ def queries() -> dict:
         "op8_line_dedup": op8_line_dedup,
         "op9_near_dup": op9_near_dup,
         "op10_mix_sources": op10_mix_sources,
+        "op11_license_scan": op11_license_scan,
         "op12_whitening": op12_whitening,
         "op13_merkle": op13_merkle,
     }
@@ -176,8 +182,43 @@ from c{_LOWER + 1 + _UPPER} c join ranked r using (id) join b0 on b0.grp = r.grp
 """
 
 
+def _template_values() -> str:
+    return ", ".join(f"({i}, '{t.label}', {str(t.is_phrase).lower()}, '{' '.join(t.words)}')" for i, t in enumerate(license_scan.templates()))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_license_scan": f"""
+with template(template, label, is_phrase, body) as (values {_template_values()}),
+tword as (
+  select template, label, is_phrase, string_split(body, ' ') as w from template
+), trun as materialized (
+  select template, label, is_phrase, len(w) as m, unnest(range(len(w) - 2)) as t, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) as run from tword
+), word as materialized (
+  select row_number() over () as id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents
+), run as (
+  select id, unnest(range(greatest(len(w) - 2, 0))) as p, unnest(list_transform(range(1, greatest(len(w) - 1, 1)), lambda i: w[i:i + 2])) as run from word
+), cell as materialized (
+  select distinct id, template, p - t as d, t + unnest([0, 1, 2]) as place from run join trun using (run)
+), kind as (select distinct template, label, is_phrase, m from trun),
+band as (
+  select a.id, a.template, a.d, count(distinct b.place) as covered
+  from (select distinct id, template, d from cell) a join kind k using (template)
+  join cell b on a.id = b.id and a.template = b.template and b.d between a.d and a.d + case when k.is_phrase then 0 else {license_scan.SHIFT} end
+  group by all
+), span as (
+  select id, d, label, covered / m as score, is_phrase and covered = m as base, case when is_phrase then covered = m else covered * 5 >= m * 4 end as found
+  from band join kind using (template)
+), total as (
+  select id, count(*) filter (base) as n_base, min(d) filter (base) as first_word, max(d) filter (base) as last_word,
+         string_agg(distinct label, ',' order by label) filter (base) as base_labels, string_agg(distinct label, ',' order by label) filter (found) as labels, max(score) as score
+  from span group by id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0) as score
+from word left join total using (id)
+""",
         "op13_merkle": _merkle_sql(),
         "op2_top_k": f"""
 with fine as (

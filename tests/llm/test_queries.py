@@ -20,6 +20,7 @@ COLUMNS = {
     "op8_line_dedup": ["doc_id", "text", "n_lines", "n_removed"],
     "op9_near_dup": ["doc_id", "class_id", "kept"],
     "op10_mix_sources": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op12_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
     "op13_merkle": ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"],
 }
