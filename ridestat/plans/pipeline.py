@@ -77,7 +77,8 @@ class Database:
 def build_database(spark: SparkSession, trips_source: str | list[str], catalog_csv: str, db_root: str) -> DataFrame:
     """Raw monthly CSVs + catalog CSV -> ``stations`` and ``trips_clean`` tables.
 
-    Returns the post-load validation row. Files missing a canonical column stop the load.
+    Returns the post-load validation row. Files missing a canonical column stop the load, as does a
+    row with more fields than its header.
     """
     db = Database(spark, db_root)
     catalog = read_station_catalog(spark, catalog_csv)
@@ -123,7 +124,7 @@ def validate_trip_files(
 ) -> dict[str, DataFrame]:
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
     audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
-    raw = _raw_for_validation(spark, trips_source, audit=audit)
+    raw = _raw_for_validation(spark, trips_source, with_row_index=True, audit=audit)
     summary = validation.historical_files_summary(raw, dim, audit.select("file"))
     missing = validation.missing_stations_summary(raw, dim)
     write_csv(summary, f"{out_dir}/historical_files_summary", bom=True)
@@ -133,6 +134,7 @@ def validate_trip_files(
         "missing": missing,
         "totals": validation.validation_totals(summary),
         "schema": trip_csv.schema_table(audit),
+        "malformed": trip_csv.malformed_rows(raw, audit.select("file")),
     }
 
 

@@ -15,6 +15,7 @@ from ..functions.fixed import CANONICAL_COLUMNS
 from ..functions.rules import age, gender, station_key
 from ..operators import quality, reports, stations, triage, validation
 from ..plans.views import trips_with_station_info
+from ..sources import trip_csv
 from .store import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +63,18 @@ def _value_map(raw_col: str, out_col: str, rule) -> Callable[[TripStore], DataFr
     return fn
 
 
+def _schema_diff(s: TripStore) -> DataFrame:
+    """Missing and extra columns of every landed file, as text."""
+    table = trip_csv.schema_table(trip_csv.audit_headers(s.spark, s.csv_files()).checkpoint())
+    return table.select("file", *[F.array_join(c, " | ").alias(c) for c in ("missing_columns", "extra_columns")])
+
+
+def _csv_files_summary(s: TripStore) -> DataFrame:
+    """The validation summary over the dirty files, those without rows included."""
+    raw, files = s.dirty_raw()
+    return validation.historical_files_summary(raw, s.dim(), files)
+
+
 QUERIES: dict[str, Query] = {
     # ---- load: trips_clean and the station tables ----------------------------------------
     "trips_clean": _on_store(lambda s: s.trips(), "20-column fact table built from raw trips"),
@@ -114,13 +127,18 @@ QUERIES: dict[str, Query] = {
     ),
     "missing_station_totals": _on_store(lambda s: validation.missing_station_totals(_raw(s), s.dim())),
     # ---- the same trips loaded through the CSV front door (header groups, encodings) ------
-    # every cleaned column through the CSV front door (landed part files have names of their own)
-    "csv_trips_clean": _on_store(lambda s: s.csv_database().trips().drop("trip_id", "source_file")),
+    # files of several splits, some with line breaks inside fields: trip ids come from split offsets
+    "csv_trips_clean": _on_store(lambda s: s.csv_database().trips()),
     "csv_quality_summary": _on_store(lambda s: quality.quality_summary(s.csv_database().trips())),
     "csv_monthly_trips": _on_store(lambda s: reports.monthly_trips(s.csv_database().analysis())),
     "csv_top_start_stations": _on_store(
         lambda s: reports.top_start_stations(s.csv_database().analysis(), s.csv_database().dim())
     ),
+    # ---- the files themselves: headers, malformed rows, files without rows -----------------
+    "csv_columns_audit": _on_store(lambda s: trip_csv.audit_report(trip_csv.audit_headers(s.spark, s.csv_files()))),
+    "schema_diff": _on_store(_schema_diff),
+    "csv_malformed_rows": _on_store(lambda s: trip_csv.malformed_rows(*s.dirty_raw())),
+    "csv_files_summary": _on_store(_csv_files_summary),
     # ---- datetime triage -----------------------------------------------------------------
     "datetime_triage_summary": _on_store(lambda s: triage.datetime_triage_summary(_raw(s))),
     "invalid_datetime_sample": _on_store(lambda s: triage.invalid_datetime_sample(_raw(s))),

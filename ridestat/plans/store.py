@@ -11,6 +11,7 @@ same happens with inputs derived from its tables:
 * ``trips_clean`` 20 columns, partitioned by year / month
 * ``csv/``        (on demand) the raw rows landed as CSV files in two header groups and the
                   catalog as CSV, loaded again through the CSV front door (``csv/db``)
+* ``csv_dirty/``  (on demand) the same rows as files with malformed rows and other headers
 
 Everything is written under ``<spark checkpoint dir>/ridestat-store/<input fingerprint>``, i.e.
 the shared folder the cluster names, and rebuilt whenever the inputs change.
@@ -18,10 +19,12 @@ the shared folder the cluster names, and rebuilt whenever the inputs change.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import threading
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CANONICAL_COLUMNS, TRIPS_CLEAN_COLUMNS
@@ -29,15 +32,16 @@ from ..operators.clean import clean_trips
 from ..operators.row_index import index_by_key
 from ..operators.stations import StationDim, as_stations_table, clean_station_information
 from ..session import ensure_checkpoint_dir
-from ..sinks.tables import read_table, table_exists, write_table
+from ..sinks.tables import exists, read_table, table_exists, write_table
 from ..sources import proxy
 from ..sources.stations_csv import write_station_catalog
+from ..sources.trip_csv import audit_headers, read_raw_trips
 from .views import trips_analysis
 
 _LOCK = threading.Lock()
 _DIMS: dict[str, tuple[int, bool]] = {}  # store folder -> measured (rows, unique) of its stations
 PROXY_INPUTS = ("events", "nation")
-FORMAT = "2"  # part of the fingerprint: raised when the tables' layout or rules change
+FORMAT = "3"  # part of the fingerprint: raised when the tables' layout or rules change
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -124,11 +128,13 @@ class TripStore:
 
     # ---- the same trips through the CSV front door -----------------------------------------
     def csv_database(self):
-        """The raw rows landed as monthly-style CSV files and loaded by the real CSV pipeline.
+        """The raw rows landed as monthly CSV files and loaded by the real CSV pipeline.
 
         Odd months: canonical headers, ``,``, UTF-8. Even months: alias / accented / padded
-        headers in another order plus an extra column, ``;``, Latin-1. The catalog goes
-        through its CSV sink (with BOM) and source. The load is :func:`pipeline.build_database`.
+        headers in another order plus an extra column, ``;``, Latin-1 (with quoted line breaks in
+        February). Files bear their months' names and are read in about three splits each (those with
+        line breaks whole). The catalog goes through its CSV sink (with BOM) and source. The load is
+        :func:`pipeline.build_database`.
         """
         from .pipeline import Database, build_database  # local: pipeline is a heavier module
 
@@ -140,15 +146,42 @@ class TripStore:
             if not table_exists(self.spark, db.path("trips_clean")):
                 land_trip_csvs(self.raw(), f"{root}/trips")
                 write_station_catalog(self.catalog(), f"{root}/station_catalog")
-                build_database(
-                    self.spark,
-                    [f"{root}/trips/canonical/*.csv", f"{root}/trips/variant/*.csv"],
-                    f"{root}/station_catalog",
-                    db.root,
-                )
+                with _small_splits(self.spark, f"{root}/trips"):
+                    build_database(self.spark, f"{root}/trips", f"{root}/station_catalog", db.root)
         self._csv_db = db
         return db
 
+    def csv_files(self) -> list[str]:
+        """The landed files: those of :meth:`csv_database` and the dirty ones of :meth:`dirty_csv`."""
+        self.csv_database()
+        return [f"{self.path('csv')}/trips/*.csv", f"{self.dirty_csv()}/*.csv"]
+
+    def dirty_csv(self) -> str:
+        """A folder of monthly files with rows too long and too short, missing and extra columns, and no rows."""
+        out = self.path("csv_dirty")
+        with _LOCK:
+            if not exists(self.spark, f"{out}/{EMPTY_FILE}"):
+                land_dirty_csvs(self.raw(), out)
+        return out
+
+    def dirty_raw(self) -> tuple[DataFrame, DataFrame]:
+        """The dirty files' rows as validation reads them, and the files themselves (column file)."""
+        audit = audit_headers(self.spark, self.dirty_csv()).checkpoint()
+        return read_raw_trips(self.spark, self.dirty_csv(), audit, require_all_columns=False), audit.select("file")
+
+
+@contextlib.contextmanager
+def _small_splits(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Scans planned here read a folder's files in about three splits each."""
+    key, before = "spark.sql.files.maxPartitionBytes", spark.conf.get("spark.sql.files.maxPartitionBytes")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path)
+    spark.conf.set(key, str(max(1024, found.getLength() // max(1, 3 * found.getFileCount()))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
 
 # Header variant used for the even months (all accepted spellings of the canonical columns).
 VARIANT_HEADERS = [
@@ -164,8 +197,23 @@ VARIANT_HEADERS = [
 ]
 
 
+def _land(rows: DataFrame, out: str, write: Callable[[DataFrameWriter, str], None]) -> None:
+    """Rows (source_file, place, ...) as one file ``<out>/<source_file>`` each, in the order of their place."""
+    spark = rows.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    beside = f"{out}_parts"
+    ordered = rows.repartition("source_file").sortWithinPartitions("source_file", "place").drop("place")
+    write(ordered.write.mode("overwrite").partitionBy("source_file"), beside)
+    folder = jvm.org.apache.hadoop.fs.Path(beside)
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(out))
+    for part in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{beside}/source_file=*/part-*")):
+        name = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{out}/{name}"))
+
+
 def land_trip_csvs(raw: DataFrame, out: str) -> None:
-    """Write raw trip rows as CSV files in two header groups (see :meth:`TripStore.csv_database`)."""
+    """Write raw trip rows as monthly CSV files in two header groups (see :meth:`TripStore.csv_database`)."""
     month = F.substring("source_file", 6, 2).cast("int")
     common = {
         "header": True,
@@ -174,9 +222,40 @@ def land_trip_csvs(raw: DataFrame, out: str) -> None:
         "ignoreLeadingWhiteSpace": False,
         "ignoreTrailingWhiteSpace": False,
     }
-    canonical = raw.where(month % 2 == 1).select(*CANONICAL_COLUMNS)
-    canonical.write.mode("overwrite").options(sep=",", encoding="UTF-8", **common).csv(f"{out}/canonical")
-    variant = raw.where(month % 2 == 0).select(
-        *[F.col(src).alias(name) for src, name in VARIANT_HEADERS], F.col("row_key").cast("string").alias("Extra")
+    place = ["source_file", F.col("row_key").alias("place")]
+    canonical = raw.where(month % 2 == 1).select(*place, *CANONICAL_COLUMNS)
+    _land(canonical, out, lambda w, to: w.options(sep=",", encoding="UTF-8", **common).csv(to))
+    extra = F.col("row_key").cast("string")
+    extra = F.when((month == 2) & (F.col("row_key") % 40 == 0), F.concat(extra, F.lit("\nnote"))).otherwise(extra)
+    variant = raw.where(month % 2 == 0).select(*place, *[F.col(src).alias(name) for src, name in VARIANT_HEADERS], extra.alias("Extra"))
+    _land(variant, out, lambda w, to: w.options(sep=";", encoding="ISO-8859-1", **common).csv(to))
+
+
+EMPTY_FILE = "2099-01.csv"
+
+
+def land_dirty_csvs(raw: DataFrame, out: str) -> None:
+    """Monthly files by month % 3, and one with a header alone.
+
+    0: ``,``, rows with two more fields (row_key % 53 = 0), rows of five fields (row_key % 59 = 0);
+    1: ``|``, no ``Bici``, two columns more; 2: tabs and a byte order mark.
+    """
+    kind = F.substring("source_file", 6, 2).cast("int") % 3
+    text = {c: F.coalesce(c, F.lit("")) for c in CANONICAL_COLUMNS}
+    no_bike = [c for c in CANONICAL_COLUMNS if c != "Bici"]
+    row = (
+        F.when((kind == 0) & (F.col("row_key") % 53 == 0), F.concat_ws(",", *text.values(), F.lit("more"), F.lit("fields")))
+        .when((kind == 0) & (F.col("row_key") % 59 == 0), F.concat_ws(",", *list(text.values())[:5]))
+        .when(kind == 0, F.concat_ws(",", *text.values()))
+        .when(kind == 1, F.concat_ws("|", *[text[c] for c in no_bike], F.lit("N"), F.lit("x, y")))
+        .otherwise(F.concat_ws("\t", *text.values()))
+    )
+    head = (
+        F.when(kind == 0, F.lit(",".join(CANONICAL_COLUMNS)))
+        .when(kind == 1, F.lit("|".join([*no_bike, "Zona", "Nota extra"])))
+        .otherwise(F.lit("\ufeff" + "\t".join(CANONICAL_COLUMNS)))
     )
-    variant.write.mode("overwrite").options(sep=";", encoding="ISO-8859-1", **common).csv(f"{out}/variant")
+    rows = raw.select("source_file", F.col("row_key").alias("place"), row.alias("value"))
+    heads = raw.select("source_file").distinct().select("source_file", F.lit(-1).cast("bigint").alias("place"), head.alias("value"))
+    empty = raw.sparkSession.createDataFrame([(EMPTY_FILE, -1, ",".join(CANONICAL_COLUMNS))], "source_file string, place bigint, value string")
+    _land(rows.unionByName(heads).unionByName(empty), out, lambda w, to: w.text(to))

@@ -11,7 +11,8 @@ SCHEMA_DIR = "_ridestat_schema"  # ignored by Spark's file listing (leading unde
 _SCHEMAS: dict[str, T.StructType] = {}
 
 
-def _fs_exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path's own file system has it."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -20,7 +21,7 @@ def _fs_exists(spark: SparkSession, path: str) -> bool:
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """A finished write: data committed (``_SUCCESS``) and schema recorded."""
-    return _fs_exists(spark, f"{path}/_SUCCESS") and _fs_exists(spark, f"{path}/{SCHEMA_DIR}/_SUCCESS")
+    return exists(spark, f"{path}/_SUCCESS") and exists(spark, f"{path}/{SCHEMA_DIR}/_SUCCESS")
 
 
 def write_table(
@@ -62,7 +63,7 @@ def write_table(
 
 def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
     if path not in _SCHEMAS:
-        if not _fs_exists(spark, f"{path}/{SCHEMA_DIR}"):
+        if not exists(spark, f"{path}/{SCHEMA_DIR}"):
             return None
         text = spark.read.text(f"{path}/{SCHEMA_DIR}").first()[0]
         _SCHEMAS[path] = T.StructType.fromJson(json.loads(text))

@@ -4,17 +4,21 @@ Files differ in delimiter, encoding (UTF-8 with or without BOM, or Latin-1) and
 spelling / order. One multi-file CSV read with differing headers would silently misassign
 columns, so:
 
-1. :func:`audit_headers` -- one Spark text job over all files: per file the first line
+1. :func:`audit_headers` -- Spark text jobs over all files: per file the first line
    (header), whether every line is valid UTF-8, the detected delimiter and the parsed header.
-   Its result has one row per file; it is the only thing collected to the driver.
+   The place of each file's first line is broadcast and looked up in the scan, so no line is moved.
+   The result has one row per file; it is the only thing collected to the driver.
 2. Files are grouped by (encoding, delimiter, header); every group is read with its own
    schema (``enforceSchema=false`` re-checks each file's header against it), columns are
    renamed to the canonical names (first alias present wins), and the groups are
    combined with ``unionByName``.
 3. Trip row numbers come from input splits (see :mod:`ridestat.operators.row_index`).
+4. Rows whose number of fields differs from the header's come with their text: too few fields leave
+   the rest missing, too many stop a load (naming file and row) and are counted by validation
+   (:func:`malformed_rows`).
 
 Deliberate differences: encoding is checked over the whole file (not only the first
-buffer); quoted line breaks inside fields are not supported (keeps files splittable).
+buffer); a file with quoted line breaks inside fields is read whole by one task.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ from ..operators.row_index import index_by_split, split_position_columns
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 BOM = "\ufeff"
+BAD = "__bad_record"  # the text of a row whose number of fields differs from the header's
+#: Files whose rows of statistics (a path and a few numbers) are broadcast to the scan.
+MAX_BROADCAST_FILES = 1 << 18
 
 
 def _paths(spark: SparkSession, source: str | list[str]) -> list[str]:
@@ -65,8 +72,10 @@ def audit_headers(spark: SparkSession, source: str | list[str]) -> DataFrame:
         F.min(F.when(F.col("block") == 0, F.col("pos"))).alias("pos"),
         F.count(F.lit(1)).alias("lines"),
     )
+    stats = stats.checkpoint()  # a row per file, measured here
+    few = F.broadcast(stats) if stats.count() <= MAX_BROADCAST_FILES else stats
     heads = lines.where(F.col("block") == 0).select("path", "pos", F.col("value").alias("first_line"))
-    per_file = stats.join(heads, ["path", "pos"]).drop("pos")
+    per_file = heads.join(few, ["path", "pos"]).drop("pos")
     header = F.when(
         F.col("utf8"), F.regexp_replace("first_line", f"^{BOM}", "")
     ).otherwise(F.decode(F.col("first_line").cast("binary"), LATIN1))
@@ -192,7 +201,7 @@ def header_groups(audit: DataFrame) -> list[HeaderGroup]:
 def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, list[str]]:
     unique = len(set(g.raw_header)) == len(g.raw_header) and all(g.raw_header)
     names = list(g.raw_header) if unique else [f"_c{i}" for i in range(len(g.raw_header))]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, BAD]])
     df = (
         spark.read.schema(schema)
         .option("header", True)
@@ -202,27 +211,69 @@ def _read_group(spark: SparkSession, g: HeaderGroup) -> tuple[DataFrame, list[st
         .option("escape", '"')  # RFC 4180: a quote inside a quoted field is doubled
         .option("enforceSchema", not unique)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", BAD)
+        .option("columnPruning", False)  # else only the columns read are counted
         .option("multiLine", g.multiline)
         .csv(g.paths)
     )
     return df, names
 
 
+def field_surplus(record: F.Column, first: F.Column, separator: str, n_columns: int) -> F.Column:
+    """Fields of a malformed record beyond the header's (negative: fields that it lacks); 0 where there is none.
+
+    ``first`` is any column of the file: Spark refuses to read the record's text alone.
+    """
+    bare = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(separator), F.lit(""))) + 1
+    none = F.coalesce(F.length(F.substring(first, 1, 0)), F.lit(0))
+    return F.when(record.isNotNull(), fields - n_columns).otherwise(none).cast("int")
+
+
+def stop_at_surplus(raw: DataFrame) -> DataFrame:
+    """Fails when a row with more fields than its header is read, naming its file and place (from 0)."""
+    place = F.concat(F.lit(" row "), F.col("row_index").cast("string")) if "row_index" in raw.columns else F.lit("")
+    said = F.concat(F.col("source_file"), place, F.lit(": "), F.col("__surplus").cast("string"), F.lit(" fields more than the header"))
+    return raw.withColumn("source_file", F.when(F.col("__surplus") > 0, F.raise_error(said)).otherwise(F.col("source_file")))
+
+
+def malformed_rows(raw: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """file, rows, short_rows, long_rows, first_long_row (from 0) of raw rows read with their row index.
+
+    ``files`` (column file) adds those without rows."""
+    is_long = F.col("__surplus") > 0
+    counts = raw.groupBy(F.col("source_file").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("__surplus") < 0).alias("short_rows"),
+        F.count_if(is_long).alias("long_rows"),
+        F.min(F.when(is_long, F.col("row_index"))).alias("first_long_row"),
+    )
+    if files is not None:
+        zeros = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("rows", "short_rows", "long_rows")}
+        counts = files.select("file").distinct().join(counts, "file", "full").withColumns(zeros)
+    return counts.orderBy("file")
+
+
 def read_raw_trips(
     spark: SparkSession,
     source: str | list[str],
     audit: DataFrame | None = None,
     require_all_columns: bool = True,
     with_row_index: bool = True,
+    keep_surplus: bool | None = None,
 ) -> DataFrame:
     """Standardised raw trip rows from CSV files.
 
-    Columns: ``source_file``, [``row_index``], the nine canonical text columns, and a
-    ``__has_<column>`` flag per canonical column. Text that a default CSV read treats as
+    Columns: ``source_file``, [``row_index``], the nine canonical text columns, a
+    ``__has_<column>`` flag per canonical column, and ``__surplus``: fields beyond the header's
+    (negative: too few, the rest is null). Text that a default CSV read treats as
     missing (``NA``, ``null``, ...) is null. With ``require_all_columns`` a file lacking a
     canonical column is an error (the load contract); otherwise the column is null there and
-    its flag is false (the validation mode).
+    its flag is false (the validation mode). A row with too many fields stops the read, unless
+    ``keep_surplus`` (by default in the validation mode), where its surplus is only counted.
     """
+    if keep_surplus is None:
+        keep_surplus = not require_all_columns
     audit = audit if audit is not None else audit_headers(spark, source)
     parts = []
     for g in header_groups(audit):
@@ -239,6 +290,7 @@ def read_raw_trips(
                 cols.append(F.lit(None).cast("string").alias(c))
         for c in CANONICAL_COLUMNS:
             cols.append(F.lit(c in by_canonical).alias(f"__has_{c}"))
+        cols.append(field_surplus(F.col(BAD), F.col(f"`{names[0]}`"), g.separator, len(names)).alias("__surplus"))
         part = df.select(*cols, *[c.alias(n) for n, c in split_position_columns().items()])
         parts.append(part)
     raw = parts[0]
@@ -250,4 +302,5 @@ def read_raw_trips(
     else:
         raw = raw.drop("__block", "__pos")
         ordered = ["source_file"]
-    return raw.select(*ordered, *CANONICAL_COLUMNS, *[f"__has_{c}" for c in CANONICAL_COLUMNS])
+    raw = raw if keep_surplus else stop_at_surplus(raw)
+    return raw.select(*ordered, *CANONICAL_COLUMNS, *[f"__has_{c}" for c in CANONICAL_COLUMNS], "__surplus")

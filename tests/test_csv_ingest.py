@@ -171,3 +171,35 @@ def test_reports_on_dirty_dates_and_files_without_rows(spark, tmp_dir):
     assert "SortAggregate" not in audited
     diff = {r["file"]: r for r in trip_csv.schema_report(audit)}
     assert diff["2022-05.csv"]["missing_columns"] == []
+
+
+def _malformed(d):
+    """Two files: rows too long and too short; the same with quoted line breaks and separators inside fields."""
+    full = [_row(0)[c] for c in CANON]
+    rows = [full, [*full, "9"], full[:4], [*full, "9", "8", "7"], full]
+    _write(os.path.join(d, "2023-01.csv"), CANON, rows, ",", "utf-8")
+    quoted = ['"a\nb"' if c == "Bici" else ('"x;""y"' if c == "Edad_Usuario" else v) for c, v in zip(CANON, full, strict=True)]
+    _write(os.path.join(d, "2023-02.csv"), CANON, [quoted, [*quoted, "9"], quoted[:6], quoted], ";", "utf-8")
+
+
+def test_rows_that_do_not_fit_their_header(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "bad")
+    os.makedirs(d)
+    _malformed(d)
+    _write(os.path.join(d, "2023-03.csv"), CANON, [], ",", "utf-8")
+    audit = trip_csv.audit_headers(spark, d).checkpoint()
+    raw = trip_csv.read_raw_trips(spark, d, audit, require_all_columns=False)
+    got = {r["file"]: tuple(r)[1:] for r in trip_csv.malformed_rows(raw, audit.select("file")).collect()}
+    assert got == {"2023-01.csv": (5, 1, 2, 1), "2023-02.csv": (4, 1, 1, 1), "2023-03.csv": (0, 0, 0, None)}
+    rows = {(r["source_file"], r["row_index"]): r for r in raw.collect()}
+    assert rows["2023-01.csv", 2]["Fecha_Retiro"] is None and rows["2023-01.csv", 2]["Ciclo_Estacion_Retiro"] is not None
+    assert rows["2023-02.csv", 3]["Bici"] == "a\nb" and rows["2023-02.csv", 3]["__surplus"] == 0
+    assert rows["2023-01.csv", 3]["__surplus"] == 3 and rows["2023-02.csv", 2]["__surplus"] == -3
+    with pytest.raises(Exception, match=r"2023-0[12]\.csv row [13]: [13] fields more than the header"):
+        trip_csv.read_raw_trips(spark, d).collect()
+
+
+def test_headers_are_found_without_moving_lines(spark, trip_files):
+    d, _ = trip_files
+    plan = trip_csv.audit_headers(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
