@@ -6,6 +6,8 @@ filter them to the files of interest before calling (the source system triaged o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..functions.datetimes import (
     with_parsed_datetime,
 )
 from ..functions.fixed import CANONICAL_COLUMNS, TRIAGE_SAMPLE_ROWS, TRIAGE_VALUE_COUNTS
+from ..session import ensure_checkpoint_dir
 
 
 def strict_datetimes(raw: DataFrame) -> DataFrame:
@@ -103,50 +106,42 @@ def duration_describe(raw: DataFrame) -> DataFrame:
 
 # Seconds in a bucket of the running count: a few hundred thousand buckets span all datetimes.
 RANK_BUCKET = 1 << 16
+QUARTILES = (0.25, 0.5, 0.75)
 
 
 def describe_durations(d: DataFrame, column: str = "duration_minutes") -> DataFrame:
     """Describe a minutes column (nulls skipped); percentiles exact, std rounded to 6 places.
 
-    Rows are counted per whole second; ranks come from running counts inside buckets of seconds
-    plus the buckets' offsets, so no task or buffer holds all distinct durations.
+    Rows are counted per whole second (cut here: the counts are read twice, and the datetime parse stays out
+    of the ranking's plan); ranks come from running counts inside buckets of seconds plus the buckets'
+    offsets, so no task or buffer holds all distinct durations. One row of totals comes to the driver.
     """
-    m = F.col(column)
-    counts = d.where(m.isNotNull()).groupBy(duration_seconds(m).alias("sec")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(m).alias("low"), F.max(m).alias("high")
-    )
-    counts = counts.withColumn("bucket", F.floor(F.col("sec") / RANK_BUCKET))
-    whole = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ensure_checkpoint_dir(d.sparkSession)
+    # one use of the parsed column; rows without a duration are one group, left out below
+    counts = d.groupBy(duration_seconds(F.col(column)).alias("sec")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("bucket", F.floor(F.col("sec") / RANK_BUCKET)).checkpoint().where(F.col("sec").isNotNull())
+    seconds = F.sum(F.col("n") * F.col("sec"))
+    whole = counts.agg(F.sum("n").alias("total"), seconds.alias("seconds"), F.min("sec").alias("low"), F.max("sec").alias("high")).first()
+    total = whole["total"] or 0
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = counts.groupBy("bucket").agg(F.sum("n").alias("bn"), F.sum(F.col("n") * F.col("sec")).alias("bs"))
-    buckets = buckets.select(
-        "bucket",
-        F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("offset"),
-        F.sum("bn").over(whole).alias("total"),
-        F.sum("bs").over(whole).alias("seconds"),
-    )
+    offsets = counts.groupBy("bucket").agg(F.sum("n").alias("bn")).select("bucket", F.coalesce(F.sum("bn").over(before), F.lit(0)).alias("offset"))
     upto = F.sum("n").over(Window.partitionBy("bucket").orderBy("sec").rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counts.join(buckets, "bucket").withColumn("end", F.col("offset") + upto)
-    mean_sec = F.col("seconds") / F.col("total")
+    ranked = counts.join(offsets, "bucket").withColumn("end", F.col("offset") + upto).withColumn("start", F.col("end") - F.col("n"))
 
     def quartile(q: float) -> F.Column:
-        place = (F.col("total") - 1) * F.lit(q)
-        low, high = F.floor(place), F.ceil(place)
-        at = lambda rank: F.max(F.when((rank < F.col("end")) & (rank >= F.col("end") - F.col("n")), F.col("sec")))
-        part = F.max(place - low)
-        return (at(low) + (at(high) - at(low)) * part) / F.lit(60.0)
-
-    squares = F.sum(F.col("n") * F.pow(F.col("sec") - mean_sec, F.lit(2.0)))
-    total = F.max("total")
+        place = max(0, total - 1) * q
+        at = lambda rank: F.max(F.when((F.col("start") <= rank) & (F.col("end") > rank), F.col("sec")))
+        return (at(math.floor(place)) + (at(math.ceil(place)) - at(math.floor(place))) * (place - math.floor(place))) / F.lit(60.0)
+
+    mean = whole["seconds"] / total if total else None
+    squares = F.sum(F.col("n") * F.pow(F.col("sec") - F.lit(mean).cast("double"), F.lit(2.0)))
     return ranked.agg(
-        F.coalesce(total, F.lit(0)).alias("count"),
-        F.max(F.col("seconds").cast("double") / (F.col("total") * 60).cast("double")).alias("mean"),
-        F.round(F.when(total > 1, F.sqrt(squares / (total - 1)) / 60.0), 6).alias("std"),
-        F.min("low").alias("min"),
-        quartile(0.25).alias("p25"),
-        quartile(0.50).alias("p50"),
-        quartile(0.75).alias("p75"),
-        F.max("high").alias("max"),
+        F.lit(total).cast("bigint").alias("count"),
+        F.lit(whole["seconds"] / (total * 60) if total else None).cast("double").alias("mean"),
+        F.round(F.sqrt(squares / (total - 1)) / 60.0 if total > 1 else F.lit(None).cast("double"), 6).alias("std"),
+        (F.lit(whole["low"]).cast("double") / 60.0).alias("min"),
+        *[quartile(q).alias(f"p{q * 100:.0f}") for q in QUARTILES],
+        (F.lit(whole["high"]).cast("double") / 60.0).alias("max"),
     )
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.fixed import TRIPS_CLEAN_COLUMNS
 from ..operators import quality, reports, stations, triage, validation
@@ -32,14 +33,16 @@ def build_station_catalog(
     discovery_json: str | None = None,
     language: str = "es",
 ) -> DataFrame:
-    """Landed GBFS JSON -> cleaned catalog CSV (+ raw snapshot); returns the catalog summary."""
+    """Landed GBFS JSON -> cleaned catalog CSV (+ raw snapshot); returns the catalog summary with the feed's UTC time."""
     if discovery_json:
         gbfs.feed_url(spark, discovery_json, "station_information", language)  # feed must be listed
     if raw_dir:
         gbfs.save_raw_snapshot(spark, station_information_json, raw_dir)
     catalog = clean_station_information(gbfs.station_records(spark, station_information_json))
     write_station_catalog(catalog, catalog_csv)
-    return stations.station_catalog_summary(read_station_catalog(spark, catalog_csv))
+    updated = gbfs.feed_last_updated(spark, station_information_json).agg(F.max("last_updated_utc")).first()[0]
+    summary = stations.station_catalog_summary(read_station_catalog(spark, catalog_csv))
+    return summary.withColumn("feed_last_updated_utc", F.lit(updated).cast("timestamp_ntz"))
 
 
 # ---- load -----------------------------------------------------------------------------------

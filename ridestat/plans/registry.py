@@ -15,7 +15,7 @@ from ..functions.fixed import CANONICAL_COLUMNS
 from ..functions.rules import age, gender, station_key
 from ..operators import quality, reports, stations, triage, validation
 from ..plans.views import trips_with_station_info
-from ..sources import trip_csv
+from ..sources import gbfs, trip_csv
 from .store import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ QUERIES: dict[str, Query] = {
     "station_key_map": _on_store(_station_key_map),
     "gender_map": _on_store(_value_map("Genero_Usuario", "gender", gender)),
     "age_map": _on_store(_value_map("Edad_Usuario", "age", age)),
+    # ---- landed GBFS documents -------------------------------------------------------------
+    "gbfs_feed_lookup": _on_store(lambda s: gbfs.feed_lookup(s.spark, s.gbfs()[0])),
+    "gbfs_station_records": _on_store(lambda s: gbfs.station_records(s.spark, s.gbfs()[1])),
+    "gbfs_station_catalog": _on_store(lambda s: stations.clean_station_information(gbfs.station_records(s.spark, s.gbfs()[1]))),
+    "raw_snapshots": _on_store(lambda s: gbfs.raw_snapshots(s.spark, s.gbfs()[2])),
     # ---- quality -------------------------------------------------------------------------
     "load_validation": _on_store(lambda s: quality.load_validation(s.trips())),
     "quality_summary": _on_store(lambda s: quality.quality_summary(s.trips())),

@@ -20,6 +20,7 @@ the shared folder the cluster names, and rebuilt whenever the inputs change.
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
 import hashlib
 import threading
 from collections.abc import Callable, Iterator
@@ -33,7 +34,7 @@ from ..operators.row_index import index_by_key
 from ..operators.stations import StationDim, as_stations_table, clean_station_information
 from ..session import ensure_checkpoint_dir
 from ..sinks.tables import exists, read_table, table_exists, write_table
-from ..sources import proxy
+from ..sources import gbfs, proxy
 from ..sources.stations_csv import write_station_catalog
 from ..sources.trip_csv import audit_headers, read_raw_trips
 from .views import trips_analysis
@@ -156,6 +157,18 @@ class TripStore:
         self.csv_database()
         return [f"{self.path('csv')}/trips/*.csv", f"{self.dirty_csv()}/*.csv"]
 
+    def gbfs(self) -> tuple[str, str, str]:
+        """Landed discovery and station_information documents, and a raw layer with two snapshots of the latter."""
+        root = self.path("gbfs")
+        with _LOCK:
+            if not table_exists(self.spark, f"{root}/landed"):
+                for name, doc in zip(("discovery", "stations"), proxy.gbfs_documents(self.spark, self.sf_dir), strict=True):
+                    doc.coalesce(1).write.mode("overwrite").text(f"{root}/{name}")
+                for day in (1, 2):
+                    gbfs.save_raw_snapshot(self.spark, f"{root}/stations", f"{root}/raw", now=dt.datetime(2024, 1, day, 12, tzinfo=dt.timezone.utc))
+                write_table(self.spark.range(1), f"{root}/landed")
+        return f"{root}/discovery", f"{root}/stations", f"{root}/raw"
+
     def dirty_csv(self) -> str:
         """A folder of monthly files with rows too long and too short, missing and extra columns, and no rows."""
         out = self.path("csv_dirty")

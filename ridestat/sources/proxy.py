@@ -107,3 +107,37 @@ def raw_station_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_regionkey") % 2 == 0, F.array(F.lit("KEY"), F.lit("CREDITCARD"))).alias("rental_methods"),
         (F.col("n_regionkey") % 2 == 0).alias("has_kiosk"),
     )
+
+
+FEED_TIME = 1_700_000_000
+
+
+def gbfs_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A discovery and a station_information document (one JSON text each) derived from ``nation``.
+
+    Discovery: languages ``es`` (even region keys) and ``en``; feed ``feed<key % 10>`` at
+    ``https://feeds.test/<key>.json`` in key order. Stations as :func:`raw_station_records`, with
+    ``rental_methods`` a list, the text ``KEY`` (key % 5 = 1 among those without a list) or missing.
+    """
+    n = read_table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    feed = F.struct(
+        F.concat(F.lit("feed"), (k % 10).cast("string")).alias("name"),
+        F.concat(F.lit("https://feeds.test/"), k.cast("string"), F.lit(".json")).alias("url"),
+    )
+    language = F.when(F.col("n_regionkey") % 2 == 0, "es").otherwise("en")
+    listed = n.groupBy(language.alias("language")).agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), feed.alias("feed")))).alias("x"))
+    per_language = F.struct(F.transform("x", lambda e: e["feed"]).alias("feeds"))
+    data = listed.agg(F.map_from_entries(F.collect_list(F.struct("language", per_language))).alias("data"))
+    discovery = data.select(F.to_json(F.struct(F.lit(FEED_TIME).alias("last_updated"), "data")).alias("value"))
+
+    records = raw_station_records(spark, sf_dir)
+    one = F.to_json(F.struct(*[c for c in records.columns if c != "rental_methods"]))
+    methods = F.when(F.col("rental_methods").isNotNull(), F.concat(F.lit('"rental_methods":'), F.to_json("rental_methods"))).when(
+        F.col("station_id").cast("int") % 5 == 1, F.lit('"rental_methods":"KEY"')
+    )
+    text = F.concat(F.expr("left({0}, length({0}) - 1)".format("body")), F.coalesce(F.concat(F.lit(","), "methods"), F.lit("")), F.lit("}"))
+    bodies = records.select(F.col("station_id").cast("int").alias("k"), one.alias("body"), methods.alias("methods")).select("k", text.alias("body"))
+    joined = bodies.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "body"))), lambda e: e["body"]), ",\n").alias("all"))
+    head = F.lit(f'{{"last_updated": {FEED_TIME}, "data": {{"stations": [\n')
+    return discovery, joined.select(F.concat(head, "all", F.lit("]}}")).alias("value"))

@@ -4,8 +4,11 @@ import datetime as dt
 import glob
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from ridestat.sinks.csv import read_report_csv, write_csv
-from ridestat.sinks.tables import read_table, table_exists, write_table
+from ridestat.sinks.tables import KEPT_VERSIONS, read_table, table_exists, table_path, versions, write_table
 
 
 def _rows():
@@ -37,8 +40,9 @@ def test_cluster_by_bounds_files_per_task(spark, tmp_dir):
     df = spark.createDataFrame(_rows(), SCHEMA).repartition(8)  # scattered input
     path = os.path.join(tmp_dir, "c")
     write_table(df, path, partition_by=["year", "month"], cluster_by=["trip_id"])
-    files = glob.glob(os.path.join(path, "year=*", "month=*", "*.parquet"))
-    folders = glob.glob(os.path.join(path, "year=*", "month=*"))
+    target = table_path(spark, path)
+    files = glob.glob(os.path.join(target, "year=*", "month=*", "*.parquet"))
+    folders = glob.glob(os.path.join(target, "year=*", "month=*"))
     # without clustering 8 scattered tasks would write up to 8 files into every folder
     assert len(files) < 8 * len(folders)
     assert read_table(spark, path).count() == 200
@@ -63,3 +67,29 @@ def test_csv_quotes_round_trip(spark, tmp_dir):
     with open(part, encoding="utf-8") as f:
         assert '"Estación ""Reforma"", norte"' in f.read()
     assert read_report_csv(spark, path).first()["station_name"] == 'Estación "Reforma", norte'
+
+
+def test_failed_write_leaves_the_table_readable(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "v")
+    assert not table_exists(spark, path)
+    write_table(spark.range(10), path)
+    held = read_table(spark, path)
+    stops_midway = spark.range(1000).select(F.when(F.col("id") == 990, F.raise_error(F.lit("stopped"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stopped"):
+        write_table(stops_midway, path)
+    assert table_exists(spark, path) and read_table(spark, path).count() == 10
+    write_table(spark.range(20).withColumn("more", F.lit("x")), path)
+    assert read_table(spark, path).columns == ["id", "more"] and read_table(spark, path).count() == 20
+    assert held.count() == 10  # a reader of the version before still has it
+    write_table(spark.range(30), path)
+    assert read_table(spark, path).count() == 30
+    assert len(versions(spark, path)) == KEPT_VERSIONS
+
+
+def test_concurrent_writes_each_leave_a_whole_table(spark, tmp_dir):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = os.path.join(tmp_dir, "w")
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda n: write_table(spark.range(n), path), (11, 22)))
+    assert read_table(spark, path).count() in (11, 22)
