@@ -34,6 +34,14 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A name like ``name`` that is not among ``columns`` (whose case does not count)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read from there."""
     return df.checkpoint()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ready
+from .common import free_name, cut, ready
 
 WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_ROWS = 64
@@ -151,7 +151,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEAT
 
 def take(docs: DataFrame, decisions: DataFrame) -> DataFrame:
     """The mixed documents: each row ``copies`` times, with the columns of ``docs``."""
-    left = docs.withColumn("__size", word_count())
-    d = decisions.where("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source_key").alias("__source"), F.col("size").alias("__n"), F.col("copies").alias("__copies"))
-    on = left["doc_id"].eqNullSafe(d["__id"]) & left["source"].eqNullSafe(d["__source"]) & (left["__size"] == d["__n"])
-    return left.join(d, on).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*[left[c] for c in docs.columns])
+    size, copy, copies = (free_name(docs.columns, x) for x in ("size", "copy", "copies"))
+    left = docs.withColumn(size, word_count())
+    d = decisions.where("copies > 0").select("doc_id", "source_key", F.col("size").alias("n"), F.col("copies").alias(copies))
+    on = left["doc_id"].eqNullSafe(d["doc_id"]) & left["source"].eqNullSafe(d["source_key"]) & (left[size] == d["n"])
+    return left.join(d, on).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*[left[c] for c in docs.columns])

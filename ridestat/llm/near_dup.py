@@ -18,7 +18,8 @@ a ``RARE`` share of the texts to 1 for one that is in all, so what many texts sh
    All such pairs of different classes are verified, in blocks of ``BLOCK`` texts a feature.
 
 Defined cases: texts without a word (null and empty ones too) are a class of their own each; a
-class is named by its smallest doc_id; repeated rows fall into one class and the first stays; rows
+class is named by its smallest doc_id; repeated rows fall into one class and the first stays; rows of one
+doc_id with different texts are judged apart; rows
 with a null doc_id are never removed and have no class; long texts are used whole; an empty table
 gives an empty result. Only doc_id and text are read, so other columns may have any name.
 """
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import cut, ready, stored
+from .common import cut, free_name, ready, stored
 from .textarrays import chunks, mix, windows, words
 
 WORDS = 5
@@ -237,10 +238,10 @@ def signatures(texts: DataFrame, keys: np.ndarray, idf: np.ndarray) -> DataFrame
     return texts.select("doc_id", "text_key", "text").mapInArrow(run, shape)
 
 
-def vectors(texts: DataFrame, keys: np.ndarray, idf: np.ndarray) -> DataFrame:
-    """doc_id, v: the sorted features (8 bytes each), then their weights (4 bytes each)."""
+def vectors(texts: DataFrame, keys: np.ndarray, idf: np.ndarray, id_col: str = "doc_id") -> DataFrame:
+    """The id and v of (id, text): the sorted features (8 bytes each), then their weights (4 bytes each)."""
     given = texts.sparkSession.sparkContext.broadcast((keys, idf))
-    shape = T.StructType([texts.schema["doc_id"], T.StructField("v", T.BinaryType())])
+    shape = T.StructType([texts.schema[id_col], T.StructField("v", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, idf = given.value
@@ -252,7 +253,7 @@ def vectors(texts: DataFrame, keys: np.ndarray, idf: np.ndarray) -> DataFrame:
                 blobs = [h[s:e].astype("<u8").tobytes() + w[s:e].astype("<f4").tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(blobs, pa.binary())], names=shape.names)
 
-    return texts.select("doc_id", "text").mapInArrow(run, shape)
+    return texts.select(id_col, "text").mapInArrow(run, shape)
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
@@ -393,21 +394,25 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, text_key (of the text), class_id: one row per row of docs (null doc_ids have a null class)."""
+    """doc_id, text_key (of the text), class_id, class_key: one row per row of docs (null doc_ids have a null class).
+
+    class_key tells classes apart also where rows with one doc_id hold different texts (null: a class of its own).
+    """
     spark = ready(docs.sparkSession)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.unhex(F.md5("text")))
     keys, idf = common_features(texts.select("text"))
     signed = stored(signatures(texts, keys, idf))
-    # One row per distinct text, named by its least doc_id.
+    # One row per distinct text with a number of its own; the classes do not depend on the numbering.
     each = signed.where("bands is not null and doc_id is not null")
-    copies = stored(each.groupBy("text_key").agg(F.min("doc_id").alias("rid"), F.first("samples").alias("samples"), F.first("bands").alias("bands")))
+    copies = each.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.first("samples").alias("samples"), F.first("bands").alias("bands"))
+    copies = stored(copies.withColumn("rid", F.monotonically_increasing_id()))
     band = copies.select("rid", F.posexplode("bands").alias("band", "w")).select("rid", *[F.xxhash64("band", F.lit(n), f"w.w{n}").alias(f"w{n}") for n in WIDTHS])
     wide = f"w{WIDTHS[0]}"
     full = band.groupBy(wide).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     buckets = F.when(F.col("n") > CENTERS + 1, F.array(*[f"w{n}" for n in WIDTHS])).otherwise(F.array(wide))
     members = stored(band.join(full, wide).select(F.explode(buckets).alias("bucket"), "rid", F.col("rid").alias("comp")))
-    candidates = members.select(F.col("rid").alias("doc_id")).distinct()
-    found = stored(vectors(texts.join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id"]), keys, idf))
+    candidates = copies.join(members.select("rid").distinct(), "rid").select("rid", "text_key", F.col("first_id").alias("doc_id"))
+    found = stored(vectors(texts.join(candidates, ["doc_id", "text_key"]).dropDuplicates(["rid"]), keys, idf, "rid"))
     samples = copies.select("rid", "samples")
     label = None
     for turn in range(ROUNDS):
@@ -436,21 +441,28 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         links = stored(similar(pairs.join(found.toDF("a", "va"), "a").join(found.toDF("b", "vb"), "b").select("a", "b", "va", "vb"), threshold))
         if not links.isEmpty():
             label = merged(label, links)
-    named = copies.select("text_key", "rid")
-    if label is not None:
-        named = named.join(label.toDF("rid", "comp"), "rid", "left").select("text_key", F.coalesce("comp", "rid").alias("class_id"))
+    named = copies.select("text_key", "rid", "first_id")
+    if label is None:
+        named = named.select("text_key", F.col("rid").alias("class_key"), F.col("first_id").alias("class_id"))
     else:
-        named = named.select("text_key", F.col("rid").alias("class_id"))
-    worded = each.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "text_key", "class_id")
-    rest = signed.where("bands is null or doc_id is null").select("doc_id", "text_key", F.col("doc_id").alias("class_id"))
-    return worded.union(rest)
+        named = named.join(label.toDF("rid", "comp"), "rid", "left")
+        linked = named.where("comp is not null")
+        ids = linked.groupBy("comp").agg(F.min("first_id").alias("class_id"))
+        alone = named.where("comp is null").select("text_key", F.col("rid").alias("class_key"), F.col("first_id").alias("class_id"))
+        named = linked.join(ids, "comp").select("text_key", F.col("comp").alias("class_key"), "class_id").union(alone)
+    worded = each.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "text_key", "class_id", "class_key")
+    rest = signed.where("bands is null or doc_id is null")
+    return worded.union(rest.select("doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(None).cast("long")))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of docs for each class: the one whose doc_id names it (of several, the first by its text's key)."""
-    named = stored(classes(docs, threshold)).where("doc_id = class_id")
-    keep = named.groupBy(F.col("doc_id").alias("__kept")).agg(F.min("text_key").alias("__kept_text"))
-    marked = docs.withColumn("__text", F.unhex(F.md5(F.coalesce("text", F.lit("")))))
-    same = (marked["doc_id"] == keep["__kept"]) & (marked["__text"] == keep["__kept_text"])
-    stay = marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", "__text"])
-    return stay.unionByName(marked.where("doc_id is null")).drop("__text")
+    """One row of docs for each class: that of its least doc_id (of several, the first by its text's key)."""
+    named = stored(classes(docs, threshold)).where("doc_id is not null")
+    first = F.min(F.struct("doc_id", "text_key")).alias("first")
+    keep = named.where("class_key is not null").groupBy("class_key").agg(first).select("first.doc_id", "first.text_key")
+    keep = keep.union(named.where("class_key is null").select("doc_id", "text_key").distinct()).toDF("kept_id", "kept_text")
+    text = free_name(docs.columns, "text_key")
+    marked = docs.withColumn(text, F.unhex(F.md5(F.coalesce("text", F.lit("")))))
+    same = (marked["doc_id"] == keep["kept_id"]) & (marked[text] == keep["kept_text"])
+    stay = marked.join(keep, same, "left_semi").dropDuplicates(["doc_id", text])
+    return stay.unionByName(marked.where("doc_id is null")).drop(text)

@@ -47,3 +47,23 @@ def test_large_family_of_copies_equals_all_pairs(spark):
     assert len(set(want)) == 200
     got = {r.doc_id: r.class_id for r in near_dup.classes(docs).collect()}
     assert [got[i] for i in range(len(texts))] == want
+
+
+def test_rows_of_one_id_with_different_texts_are_judged_apart(spark, make_docs):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    near = two.replace("b30", "other")
+    docs = make_docs([(1, one, "en", "s"), (1, two, "en", "s"), (2, two, "en", "s"), (3, near, "en", "s"), (4, "", "en", "s"), (4, " ", "en", "s"), (None, two, "en", "s"), (1, one, "en", "s")])
+    named = near_dup.classes(docs).where("class_key is not null").collect()
+    classes = {}
+    for r in named:
+        classes.setdefault(r["class_key"], set()).add((r["doc_id"], r["class_id"]))
+    assert sorted(map(sorted, classes.values())) == [[(1, 1)], [(1, 1), (2, 1), (3, 1)]]
+    kept = near_dup.drop_near_copies(docs)
+    assert kept.columns == docs.columns and {r["key"] for r in kept.collect()} == {"k"}
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(1, one), (1, two), (4, ""), (4, " "), (None, two)], key=repr)
+
+
+def test_columns_with_the_operators_own_names_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", "mine", "own"), (2, "a c", "mine", "own")], "doc_id long, text string, text_key string, __text string")
+    kept = near_dup.drop_near_copies(docs)
+    assert kept.columns == docs.columns and {(r["text_key"], r["__text"]) for r in kept.collect()} == {("mine", "own")}
