@@ -33,8 +33,8 @@ from .textarrays import chunks
 
 SEQUENCE = 2048
 SEQUENCES_PER_BATCH = 64
-#: Bytes of text encoded at once.
-CHUNK = 1 << 22
+#: Bytes of text encoded at once, pieces a worker keeps.
+CHUNK, KEPT_PIECES = 1 << 22, 1 << 20
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -132,6 +132,26 @@ def library_pieces(spec: str):
     return encode_new
 
 
+class KeptEncoder(Encoder):
+    """An encoder that serves many tasks and so keeps more pieces (about 40 MB) before it starts anew."""
+
+    def clear(self) -> None:
+        if not hasattr(self, "known") or len(self.known) > KEPT_PIECES:
+            super().clear()
+
+
+_ENCODERS: dict[str, tuple[Vocabulary, Encoder]] = {}
+
+
+def kept_encoder(spec: str) -> tuple[Vocabulary, Encoder]:
+    """The vocabulary and encoder of a tokenizer; a worker keeps them, with the pieces met so far, for its next tasks."""
+    if spec not in _ENCODERS:
+        vocabulary = Vocabulary(spec)
+        _ENCODERS.clear()
+        _ENCODERS[spec] = vocabulary, KeptEncoder(vocabulary, library_pieces(spec))
+    return _ENCODERS[spec]
+
+
 def _publish(fs: pafs.FileSystem, part: str, final: str) -> None:
     if not isinstance(fs, pafs.LocalFileSystem) and fs.get_file_info(final).type != pafs.FileType.NotFound:
         fs.delete_file(final)  # an earlier attempt's file, with the same content
@@ -155,8 +175,7 @@ def write(docs: DataFrame, tokenizer: str, root: str, end_id: int = 0, sequence:
         shard, mine = TaskContext.get().partitionId(), uuid.uuid4().hex
         fs, place = open_store(root)
         names = [f"{place}/{kind}-{shard:06d}.arrow" for kind in ("tokens", "index")]
-        vocabulary = Vocabulary(spec.value)
-        encoder = Encoder(vocabulary, library_pieces(spec.value))
+        vocabulary, encoder = kept_encoder(spec.value)
         index_schema = pa.schema([("doc_id", to_arrow_type(id_type)), ("start", pa.int64()), ("n_tokens", pa.int64())])
         n_docs, writer = 0, None
         for batch in batches:
