@@ -4,13 +4,15 @@ A token is a run of letters, digits and non-ASCII bytes, A-Z lower-cased. Its in
 part (an embedding of the words known from training) and a character part (embeddings of its
 hashed byte n-grams with border marks, pooled by mean and by maximum). The first place of either
 part starts from the training documents' log-odds, drawn to 0 for rare ones. Windows of ``WINDOW``
-tokens start every ``STRIDE`` tokens, so they overlap and cover the whole text; forward and
+tokens overlap and cover the whole text; forward and
 backward gated units read each, an attention layer pools their states, and a linear layer gives the
 window's logit. A document's score is the calibrated logistic of its highest window.
 
-The model is fitted on the driver on a bounded sample of labelled rows: at most ``MAX_TOXIC`` and
+The model is fitted in one task on a bounded sample of labelled rows: at most ``MAX_TOXIC`` and
 ``MAX_CLEAN`` documents, chosen by a hash of doc_id among labelled texts of at most ``MAX_CHARS``
-characters. Everything is scored: all windows of all texts.
+characters; only the model comes to the driver. Training takes windows every ``STRIDE`` tokens, scoring
+those every ``SCORED_STRIDE`` of every text: neighbours share half their tokens, so any passage of up to
+17 tokens is whole in one.
 
 Defined cases: a text without a token (null and empty too) scores 0; a doc_id labelled more than
 once counts as toxic if one label says so; null labels are none; if either class has no labelled
@@ -21,6 +23,7 @@ name.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ready
+from .common import free_name, ready
 from .textarrays import chunks, mix, ragged, runs, span_hashes
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE, SCORED_STRIDE = 32, 24, 16
 MAX_TOXIC, MAX_CLEAN, MAX_CHARS = 1500, 3000, 40_000
 HIDDEN, WORD_DIM, CHAR_DIM = 8, 4, 4
 BUCKETS = 1 << 17
@@ -80,13 +83,13 @@ class Tokens:
                     h = h * _ODD + marked[at + j]
                 yield (mix(h) >> np.uint64(47)).astype(np.int64), owner[at]
 
-    def windows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows(self, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each window's row, first token place and length."""
         n = np.diff(self.first)
-        count = np.where(n == 0, 0, 1 + np.maximum(0, -(-(n - WINDOW) // STRIDE)))
+        count = np.where(n == 0, 0, 1 + np.maximum(0, -(-(n - WINDOW) // stride)))
         row = np.repeat(np.arange(len(n)), count)
         k = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-        return row, self.first[row] + k * STRIDE, np.minimum(WINDOW, n[row] - k * STRIDE)
+        return row, self.first[row] + k * stride, np.minimum(WINDOW, n[row] - k * stride)
 
 
 def _log_odds(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
@@ -262,7 +265,7 @@ class Model:
     def logits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The highest window logit of each row; -inf without a token."""
         t = Tokens(data, offsets)
-        row, start, length = t.windows()
+        row, start, length = t.windows(SCORED_STRIDE)
         out = np.full(len(offsets) - 1, -np.inf)
         np.maximum.at(out, row, self.window_logits(t, start, length))
         return out
@@ -279,7 +282,7 @@ class Model:
         own = self.rng.permutation(len(some)) % 4 == 0 if len(some) >= 1000 else np.zeros(len(some), bool)
         z = self._fit([docs[i] for i in some[~own]], labels[some[~own]])
         if own.any():
-            z = np.array([self.window_logits(docs[i], *docs[i].windows()[1:]).max() for i in some[own]])
+            z = np.array([self.window_logits(docs[i], *docs[i].windows(SCORED_STRIDE)[1:]).max() for i in some[own]])
         known = some[own] if own.any() else some
         self._calibrate(z.astype(float), labels[known], weights[known])
 
@@ -299,7 +302,7 @@ class Model:
         shift = np.cumsum([0] + [len(d.known) for d in docs])
         token = np.concatenate([d.token + shift[i] for i, d in enumerate(docs)] + [np.full(WINDOW, len(rows) - 1)])
         before = np.cumsum([0] + [len(d.token) for d in docs])
-        spans = [d.windows()[1:] for d in docs]
+        spans = [d.windows(STRIDE)[1:] for d in docs]
         start = np.concatenate([w[0] + before[i] for i, w in enumerate(spans)])
         length = np.concatenate([w[1] for w in spans])
         first = np.cumsum([0] + [len(w[0]) for w in spans])
@@ -384,12 +387,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | Constant:
     id_type = docs.schema["doc_id"].dataType
     named = docs.sparkSession.createDataFrame(picked, T.StructType([T.StructField("picked", id_type), T.StructField("toxic", T.IntegerType())]))
     # Texts of the picked rows only: the label table meets ids alone.
-    rows = fit.select("doc_id", "text").join(F.broadcast(named), F.col("doc_id") == F.col("picked")).orderBy("doc_id", "text").limit(MAX_TOXIC + MAX_CLEAN).collect()
-    y = np.array([r["toxic"] for r in rows], float)
-    weight = np.array([total[r["toxic"]] for r in rows]) / np.where(y == 1, max(y.sum(), 1), max((1 - y).sum(), 1))
-    model = Model()
-    model.fit([r["text"] for r in rows], y, weight * len(y) / weight.sum())
-    return model
+    rows = fit.select("doc_id", "text").join(F.broadcast(named), F.col("doc_id") == F.col("picked")).orderBy("doc_id", "text").limit(MAX_TOXIC + MAX_CLEAN)
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))  # MAX_TOXIC + MAX_CLEAN texts of MAX_CHARS at most
+        y = table.column("toxic").to_numpy().astype(float)
+        weight = np.array([total[int(t)] for t in y]) / np.where(y == 1, max(y.sum(), 1), max((1 - y).sum(), 1))
+        model = Model()
+        model.fit(table.column("text").to_pylist(), y, weight * len(y) / weight.sum())
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    return pickle.loads(rows.select("toxic", "text").coalesce(1).mapInArrow(fitted, "model binary").first()["model"])
 
 
 def score(docs: DataFrame, model: Model | Constant, name: str = "score") -> DataFrame:
@@ -408,5 +416,5 @@ def score(docs: DataFrame, model: Model | Constant, name: str = "score") -> Data
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs that score below the threshold."""
-    name = "__toxicity"
+    name = free_name(docs.columns, "toxicity")
     return score(docs, train(docs, labels), name).where(F.col(name) < threshold).drop(name)
