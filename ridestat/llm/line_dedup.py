@@ -1,7 +1,7 @@
 """Line dedup with an edit bound, by a deletion-neighbourhood join (DataFrame operations only).
 
-A line is a text's part between ``\\n``; it is read as its words. Lines of at least ``MIN_WORDS``
-words that equal an earlier line (earlier: by doc_id, then place) are removed. Lines of at least
+A line is a text's part between ``\\n``; it is read as its words. Lines with a word (``MIN_WORDS``)
+that equal an earlier line (earlier: by doc_id, then place) are removed. Lines of at least
 ``NEAR_WORDS`` words are also removed if an earlier such line lies within one word edit (a word
 replaced, added or left out), whether or not that earlier line stays itself.
 
@@ -12,7 +12,7 @@ leaves equal variants at the same place; an added one makes a variant equal to a
 variants meet their group's earliest line only, so a group costs its size; each pair is then
 verified on the words themselves.
 
-Defined cases: null text has no lines and stays null; shorter and blank lines always stay; rows
+Defined cases: null text has no lines and stays null; blank lines always stay; rows
 with the same doc_id and text are one document (all of them get the same result), null doc_ids come
 first; a text may be one line of any length; an empty table gives an empty result. Only doc_id and
 text are read, so other columns may have any name not starting with ``__``; columns of the two counts'
@@ -27,17 +27,19 @@ from pyspark.sql import functions as F
 from .common import ready, stored
 from .mixing import WORD, let
 
-MIN_WORDS, NEAR_WORDS = 3, 8
+MIN_WORDS, NEAR_WORDS = 1, 4
 #: Words of 64 bits in the filters that keep lines and documents out of a shuffle; their bound.
 FILTER_WORDS = 1 << 17
 LINE = ["h1", "h2"]
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, tk (hash of the text), pos, words, n, h1, h2 for each line of at least MIN_WORDS words."""
+    """doc_id, tk (hash of the text), pos, words, n, h1, h2 for each line with a word."""
     each = docs.select("doc_id", F.xxhash64("text").alias("tk"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    worded = each.select("doc_id", "tk", "pos", F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("words")).withColumn("n", F.size("words"))
-    return worded.where(F.col("n") >= MIN_WORDS).withColumn("h1", F.xxhash64("words")).withColumn("h2", F.hash("words"))
+    # a filter on the number of words would be pushed below the split and so split every line twice
+    each = each.where(F.col("line").rlike(WORD))
+    worded = each.select("doc_id", "tk", "pos", F.regexp_extract_all("line", F.lit(WORD), F.lit(0)).alias("words"))
+    return worded.withColumn("n", F.size("words")).withColumn("h1", F.xxhash64("words")).withColumn("h2", F.hash("words"))
 
 
 def _halves() -> Column:
@@ -81,7 +83,7 @@ def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     holder = F.struct(F.col("doc_id"), F.xxhash64("text"))
     near, hit = _maybe(docs, holder, _bits(firsts, F.struct("first.doc_id", "first.tk")))
     at = F.struct("doc_id", "tk", "pos").alias("at")
-    lines = _lines(near.where(hit)).where(F.col("n") >= NEAR_WORDS).select(*LINE, "words", "n", at)
+    lines = _lines(near.where(hit)).select(*LINE, "words", "n", at)
     texts = lines.join(firsts, LINE).where(F.col("at").eqNullSafe(F.col("first"))).select(*LINE, "n", "words", "first")
     texts = stored(texts.dropDuplicates(LINE))
     zero = F.lit(0).cast("long")
