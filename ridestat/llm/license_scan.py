@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ready
+from .common import ready, stored
 
 K, SHIFT = 3, 3
 #: A notice is found where a span covers this part of its words.
@@ -132,14 +132,15 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     text, key = _texts(docs)
     all_spans = spans(docs, known)
     base = F.col("is_phrase") & F.col("found")
-    by_text = all_spans.groupBy("text_key").agg(
+    # written first: a text that very many rows hold can then be split in the join
+    by_text = stored(all_spans.groupBy("text_key").agg(
         F.count_if(base).alias("n_base"),
         F.min(F.when(base, F.col("first_word"))).alias("first_word"),
         F.max(F.when(base, F.col("first_word"))).alias("last_word"),
         F.array_join(F.sort_array(F.collect_set(F.when(base, F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("found"), F.col("label")))), ",").alias("labels"),
         F.max("score").alias("score"),
-    )
+    ))
     rows = docs.select("doc_id", key.alias("text_key"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("n_words"))
     none = F.lit("")
     return rows.join(by_text, "text_key", "left").select(
