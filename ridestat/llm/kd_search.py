@@ -8,13 +8,14 @@ is the highest inner product that any point of it could have, and the walk ends
 left is below the k-th score found. Each query first searches its own cell; the k-th score found
 there goes with it to those other cells whose box bound reaches it, so cells that cannot hold a
 better vector are not visited, and the others start with a high bar. All vectors are indexed and
-the result is exact. Queries go in blocks of ``QUERY_BLOCK``, so no task holds more of them.
+the result is exact. The queries that visit a cell go in blocks of about ``QUERY_BLOCK``, and a shard is
+copied once for each block of its own cell, so what is shuffled grows with the visits.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite component, and rows without an
-id, take no part; shorter vectors are filled with zeros; of rows with the same id the least vector
-counts; an empty vector scores 0; ties go to the smaller id; a query with fewer than k others gets
-them all; an empty table gives an empty result. Only the id and vector columns are read, so other
-columns may have any name.
+id, take no part; shorter vectors are filled with zeros; rows that share an id each take part as
+candidates and each as a query of their own, leaving out that one row alone; an empty vector scores 0;
+ties go to the smaller id; a query with fewer than k others gets them all; an empty table gives an
+empty result. Only the id and vector columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -34,19 +35,21 @@ K, SCALE = 5, 256.0
 SHARD_ROWS, LEAF_ROWS, QUERY_BLOCK = 8192, 32, 2048
 #: Vectors that the cells' splits are fitted on, and the most levels of splits.
 SAMPLE, MAX_LEVELS = 16_384, 16
+#: Bytes of all cells' boxes, which go to the driver and to every task.
+BOX_BYTES = 1 << 25
 #: Scores below this are exact in double precision.
 _EXACT = 2.0**53
 
 
-def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """id, v: one integer vector per id, all of one length."""
+def quantised(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int]:
+    """(row, id, v) with a number for each row and integer vectors of one length, and that length."""
     v = F.col(vector_col)
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     rows = vectors.where(F.col(id_col).isNotNull() & F.coalesce(fine, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), F.transform(v, lambda x: F.floor(x.cast("double") * SCALE).cast("long")).alias("v"))
-    rows = stored(rows.groupBy("id").agg(F.min("v").alias("v")))
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "id", "v"))  # the numbers hold once they are written
     width = rows.agg(F.max(F.size("v"))).first()[0] or 0
     zeros = F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))
-    return rows.select("id", F.concat("v", zeros).alias("v"))
+    return rows.select("row", "id", F.concat("v", zeros).alias("v")), width
 
 
 def matrix(column: pa.Array | pd.Series) -> np.ndarray:
@@ -98,7 +101,7 @@ def products(points: np.ndarray, query: np.ndarray) -> np.ndarray:
 class Tree:
     """A KD-tree over a shard's vectors; node i's children are left[i] and right[i] (0: a leaf)."""
 
-    def __init__(self, ids: np.ndarray, points: np.ndarray) -> None:
+    def __init__(self, rows: np.ndarray, ids: np.ndarray, points: np.ndarray) -> None:
         self.order = np.arange(len(ids))
         self.span, self.left, self.right, low, high = [], [], [], [], []
         todo = [(0, len(ids), -1, False)]
@@ -119,16 +122,16 @@ class Tree:
                 self.order[lo:hi] = self.order[lo:hi][np.argpartition(part[:, int(np.argmax(wide))], mid)]
                 todo += [(lo + mid, hi, node, True), (lo, lo + mid, node, False)]
         self.low, self.high = np.array(low), np.array(high)
-        self.ids, self.points = ids[self.order], points[self.order]
+        self.rows, self.ids, self.points = rows[self.order], ids[self.order], points[self.order]
 
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, bars: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-        """(query, id, score) of each query's best k here that reach its bar."""
+    def search(self, query_rows: np.ndarray, queries: np.ndarray, bars: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+        """(query's row, id, score) of each query's best k here that reach its bar."""
         bounds = upper_bounds(queries, self.low, self.high)
         # Beyond exact doubles a bound gets room for its rounding.
         slack = np.abs(bounds) * 2.0**-45 if len(bounds) and np.abs(bounds).max() >= _EXACT else np.zeros((1, 1))
         bounds = (bounds + slack).tolist()
         out = []
-        for i, (query_id, bar) in enumerate(zip(query_ids.tolist(), bars.tolist(), strict=True)):
+        for i, (query_row, bar) in enumerate(zip(query_rows.tolist(), bars.tolist(), strict=True)):
             bound, best = bounds[i], []  # best: a heap of (score, -id)
             heap = [(-bound[0], 0)]
             while heap:
@@ -143,56 +146,60 @@ class Tree:
                 lo, hi = self.span[node]
                 score = products(self.points[lo:hi], queries[i])
                 for j in np.flatnonzero(score >= bar).tolist() if np.isfinite(bar) else range(hi - lo):
-                    item = (int(score[j]), -int(self.ids[lo + j]))
-                    if -item[1] == query_id:
+                    if self.rows[lo + j] == query_row:
                         continue
+                    item = (int(score[j]), -int(self.ids[lo + j]))
                     if len(best) < k:
                         heapq.heappush(best, item)
                     elif item > best[0]:
                         heapq.heapreplace(best, item)
                 if len(best) == k:
                     bar = max(bar, best[0][0])
-            out += [(query_id, -n, s) for s, n in best]
+            out += [(query_row, -n, s) for s, n in best]
         return out
 
 
-def _searched(shards: DataFrame, visits: DataFrame, blocks: int, k: int) -> DataFrame:
-    """query_id, vec_id, score: visits (shard, block, query_id, q, bar) searched in their shards' trees."""
+def _searched(shards: DataFrame, visits: DataFrame, salted: DataFrame, k: int) -> DataFrame:
+    """query, vec_id, score: visits (cell, query, q, bar) searched in the trees of their cell's shards."""
 
     def search(points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(points) and len(queries):
-            tree = Tree(points["id"].to_numpy(np.int64), matrix(points["v"]))
+            tree = Tree(points["row"].to_numpy(np.int64), points["id"].to_numpy(np.int64), matrix(points["v"]))
             bars = queries["bar"].astype(float).fillna(-np.inf).to_numpy()
-            found = tree.search(queries["query_id"].to_numpy(np.int64), matrix(queries["q"]), bars, k)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"], dtype=np.int64)
+            found = tree.search(queries["query"].to_numpy(np.int64), matrix(queries["q"]), bars, k)
+        return pd.DataFrame(found, columns=["query", "vec_id", "score"], dtype=np.int64)
 
     keys = ["cell", "salt", "block"]
-    every = shards.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    return every.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInPandas(search, "query_id long, vec_id long, score long")
+    blocks = F.broadcast(visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("blocks")))  # 2**MAX_LEVELS rows at most
+    every = shards.join(blocks, "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    asked = visits.join(blocks, "cell").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks"))).join(salted, "cell")
+    asked = asked.select("cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), "block", "query", "q", "bar")
+    return every.select(*keys, "row", "id", "v").groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(search, "query long, vec_id long, score long")
 
 
 def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the highest inner product for each query row."""
     spark = ready(vectors.sparkSession)
-    rows = quantised(vectors, id_col, vector_col)
+    rows, width = quantised(vectors, id_col, vector_col)
     total = rows.count()
-    levels = min(MAX_LEVELS, max(0, int(np.ceil(np.log2(max(total, 1) / SHARD_ROWS)))))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow().column("v")  # SAMPLE rows at most
+    room = max(0, int(np.log2(BOX_BYTES / (16 * max(width, 1)))))  # a box is two vectors of 8-byte numbers
+    levels = min(MAX_LEVELS, room, max(0, int(np.ceil(np.log2(max(total, 1) / SHARD_ROWS)))))
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).select("v").toArrow().column("v")  # SAMPLE rows at most
     splits = median_splits(matrix(sample.combine_chunks()), levels) if total else []
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                cells = cells_of(matrix(b.column(1)), splits)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells)], names=["id", "v", "cell"])
+                cells = cells_of(matrix(b.column(2)), splits)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells)], names=["row", "id", "v", "cell"])
 
-    celled = stored(rows.mapInArrow(placed, "id long, v array<long>, cell long"))
+    celled = stored(rows.mapInArrow(placed, "row long, id long, v array<long>, cell long"))
 
     def boxed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, high, count = {}, {}, {}
         for b in batches:
-            points, cell = matrix(b.column(1)), b.column(2).to_numpy()
+            points, cell = matrix(b.column(2)), b.column(3).to_numpy()
             for c in np.unique(cell).tolist():
                 p = points[cell == c]
                 low[c] = np.minimum(low[c], p.min(0)) if c in low else p.min(0)
@@ -206,29 +213,21 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
         return pd.DataFrame({"cell": parts["cell"][:1].tolist(), "low": [matrix(parts["low"]).min(0)], "high": [matrix(parts["high"]).max(0)], "n": [int(parts["n"].sum())]})
 
     shape = "cell long, low array<long>, high array<long>, n long"
-    boxes = celled.mapInArrow(boxed, shape).groupBy("cell").applyInPandas(merged, shape).orderBy("cell").collect()  # 2**MAX_LEVELS rows at most
-    if not boxes:
+    boxes = celled.mapInArrow(boxed, shape).groupBy("cell").applyInPandas(merged, shape).orderBy("cell").toArrow().combine_chunks()  # BOX_BYTES at most
+    if not boxes.num_rows:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    salts = {b["cell"]: -(-b["n"] // SHARD_ROWS) for b in boxes}
-    salt_table = spark.createDataFrame(list(salts.items()), "cell long, salts long")
-    salted = F.broadcast(salt_table)  # 2**MAX_LEVELS rows at most
-    shards = celled.join(salted, "cell").withColumn("salt", F.pmod(F.xxhash64("id"), F.col("salts"))).select("cell", "salt", "id", "v")
-    queries = celled.withColumnRenamed("id", id_col).where(is_query).select(F.col(id_col).alias("query_id"), F.col("v").alias("q"), "cell")
+    sizes = zip(boxes["cell"].to_pylist(), boxes["n"].to_pylist(), strict=True)
+    salted = F.broadcast(spark.createDataFrame([(c, -(-n // SHARD_ROWS)) for c, n in sizes], "cell long, salts long"))  # 2**MAX_LEVELS rows at most
+    shards = celled.join(salted, "cell").select("cell", F.pmod(F.xxhash64("row"), F.col("salts")).alias("salt"), "row", "id", "v")
+    queries = celled.withColumnRenamed("id", id_col).where(is_query).select(F.col("row").alias("query"), F.col(id_col).alias("query_id"), F.col("v").alias("q"), "cell")
     queries = stored(queries)
-    n_queries = queries.count()
-    blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    all_salts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))
-
-    def visits(rows: DataFrame) -> DataFrame:
-        return rows.join(salted, "cell").select("cell", all_salts.alias("salt"), block.alias("block"), "query_id", "q", "bar")
-
     none = F.lit(None).cast("long")
-    home = stored(_searched(shards, visits(queries.withColumn("bar", none)), blocks, k))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    bars = home.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).groupBy("query_id").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("bar"))
-    asked = queries.join(bars, "query_id", "left")
-    given = spark.sparkContext.broadcast((np.array([b["cell"] for b in boxes]), np.array([b["low"] for b in boxes], np.int64).reshape(len(boxes), -1), np.array([b["high"] for b in boxes], np.int64).reshape(len(boxes), -1)))
+    home = stored(_searched(shards, queries.select("cell", "query", "q", none.alias("bar")), salted, k))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    bars = home.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).groupBy("query").agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("bar"))
+    asked = queries.join(bars, "query", "left")
+    edges = [matrix(boxes[side].combine_chunks()) for side in ("low", "high")]
+    given = spark.sparkContext.broadcast((boxes["cell"].to_numpy(), *edges))
 
     def away(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, low, high = given.value
@@ -240,9 +239,9 @@ def search(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_
                 go = ~(bounds + np.abs(bounds) * 2.0**-45 < bars[:, None]) & (part.column(2).to_numpy()[:, None] != cells)
                 who, where = np.nonzero(go)
                 if len(who):
-                    yield pa.RecordBatch.from_arrays([pa.array(cells[where]), *part.take(pa.array(who)).select([0, 1, 3]).columns], names=["cell", "query_id", "q", "bar"])
+                    yield pa.RecordBatch.from_arrays([pa.array(cells[where]), *part.take(pa.array(who)).select([0, 1, 3]).columns], names=["cell", "query", "q", "bar"])
 
-    sent = asked.select("query_id", "q", "cell", "bar").mapInArrow(away, "cell long, query_id long, q array<long>, bar long")
-    found = home.union(_searched(shards, visits(sent), blocks, k))
+    sent = stored(asked.select("query", "q", "cell", "bar").mapInArrow(away, "cell long, query long, q array<long>, bar long"))
+    found = home.union(_searched(shards, sent, salted, k))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return ranked.join(queries.select("query", "query_id"), "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -222,17 +222,17 @@ from word left join total using (id)
         "op13_merkle": _merkle_sql(),
         "op2_top_k": f"""
 with fine as (
-  select vec_id, list_transform(embedding, lambda x: cast(floor({kd_search.SCALE:.0f} * cast(x as double)) as bigint)) as v
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor({kd_search.SCALE:.0f} * cast(x as double)) as bigint)) as v
   from embeddings
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), parts as materialized (
-  select vec_id, unnest(range(len(v))) as place, unnest(v) as part from fine
+  select row, vec_id, unnest(range(len(v))) as place, unnest(v) as part from fine
 ), scores as (
-  select q.vec_id as query_id, c.vec_id, cast(sum(q.part * c.part) as bigint) as score
-  from parts q join parts c on q.place = c.place and q.vec_id <> c.vec_id
+  select q.row as query, q.vec_id as query_id, c.row, c.vec_id, cast(sum(q.part * c.part) as bigint) as score
+  from parts q join parts c on q.place = c.place and q.row <> c.row
   where q.vec_id % 50 = 0 group by all
 ), ranked as (
-  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank, vec_id, score from scores
+  select query_id, cast(row_number() over (partition by query order by score desc, vec_id) as int) as rank, vec_id, score from scores
 )
 select * from ranked where rank <= {kd_search.K}
 """,

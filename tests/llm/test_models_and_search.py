@@ -82,22 +82,25 @@ def test_network_gradient_is_the_numeric_one():
 
 
 def brute_top_k(rows, k=5):
-    fine = {i: np.floor(256 * np.array(v, float)).astype(int) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    fine = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q in sorted(fine):
+    for at, (q, vector) in enumerate(fine):
         if q % 50 == 0:
-            best = sorted((-int(fine[q] @ v), i) for i, v in fine.items() if i != q)[:k]
+            best = sorted((-int(vector @ v), i) for j, (i, v) in enumerate(fine) if j != at)[:k]
             out += [(q, n, i, -s) for n, (s, i) in enumerate(best, 1)]
-    return out
+    return sorted(out)
 
 
 @pytest.mark.parametrize("n", [0, 3, 900])
 def test_top_k_against_brute_force(spark, monkeypatch, n):
     monkeypatch.setattr(kd_search, "SHARD_ROWS", 64)
+    monkeypatch.setattr(kd_search, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(kd_search, "BOX_BYTES", 4 * 6 * 16)  # four cells of several shards each
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.standard_normal(6) * 0.1]) for i in range(n)]
     if n > 100:
         rows = [(i, rows[7][1] if i % 3 == 1 else v) for i, v in rows]  # a third are copies: ties and a hot cell
+        rows += [(50, rows[3][1]), (50, rows[3][1]), (7, [0.9] * 6), (100, [0.9] * 6)]  # rows that share an id, with equal and other vectors
         rows += [(2000, None), (2050, [0.1, None, 0.1, 0.1, 0.1, 0.1]), (2100, [float("nan")] * 6), (2150, [float("inf")] + [0.0] * 5), (None, [0.1] * 6)]
     df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, rank string")
     floats = [(r["vec_id"], r["embedding"]) for r in df.collect()]
