@@ -10,6 +10,8 @@ map-side-combined aggregate, so a file holding a third of all rows costs no more
 other; distinct station counts, missing-station lists, usage and totals are computed from that
 small aggregate (after one broadcast existence mark against the catalog keys) with a second
 aggregate -- never by splitting it into filtered branches, which would re-scan the raw rows.
+The ``*_of`` functions take those counts themselves, so that a job writes them once and finishes
+all its reports from the written table.
 """
 
 from __future__ import annotations
@@ -144,9 +146,12 @@ def _with_empty_files(report: DataFrame, files: DataFrame | None) -> DataFrame:
 
 def historical_files_summary(raw: DataFrame, dim: StationDim, files: DataFrame | None = None) -> DataFrame:
     """One row per file: rows, distinct / missing station counts, invalid date/time, genders."""
-    c = file_and_station_counts(raw, dim)
+    return files_summary_of(file_and_station_counts(raw, dim), files)
+
+
+def files_summary_of(counts: DataFrame, files: DataFrame | None = None) -> DataFrame:
     stat = lambda col: F.sum(F.when(_is(None), F.col(col))).cast("bigint")
-    out = c.groupBy(F.col("source_file").alias("file")).agg(
+    out = counts.groupBy(F.col("source_file").alias("file")).agg(
         stat("n").alias("rows"),
         F.count_if(_is("start")).alias("unique_start_stations"),
         F.count_if(_is("end")).alias("unique_end_stations"),
@@ -164,7 +169,11 @@ def historical_files_summary(raw: DataFrame, dim: StationDim, files: DataFrame |
 
 def missing_stations_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
     """Distinct unknown station keys per file: start-column ones first, then end, each by key."""
-    roles = station_role_counts(raw, dim).where(~F.col("found"))
+    return missing_stations_of(station_role_counts(raw, dim))
+
+
+def missing_stations_of(counts: DataFrame) -> DataFrame:
+    roles = counts.where(F.col("role").isNotNull() & ~F.col("found"))
     return roles.select(
         F.col("source_file").alias("file"),
         "station_key",
@@ -179,9 +188,13 @@ def missing_stations_summary(raw: DataFrame, dim: StationDim) -> DataFrame:
 
 def missing_station_usage(raw: DataFrame, dim: StationDim) -> DataFrame:
     """Trips per (file, role, unknown station key), most affected first."""
-    roles = station_role_counts(raw, dim).where(~F.col("found"))
+    return usage_of(station_role_counts(raw, dim).withColumnRenamed("trips", "n"))
+
+
+def usage_of(counts: DataFrame) -> DataFrame:
+    roles = counts.where(F.col("role").isNotNull() & ~F.col("found"))
     return roles.select(
-        F.col("source_file").alias("file"), "role", "station_key", F.col("trips").alias("affected_trips")
+        F.col("source_file").alias("file"), "role", "station_key", F.col("n").alias("affected_trips")
     ).orderBy(
         F.col("affected_trips").desc(),
         F.col("file").asc_nulls_last(),
@@ -196,9 +209,12 @@ def top_missing_stations(usage: DataFrame, n: int = TOP_MISSING_STATIONS) -> Dat
 
 def missing_station_usage_by_file(raw: DataFrame, dim: StationDim, files: DataFrame | None = None) -> DataFrame:
     """Per file: rows, trips with an unknown start / end station, and their percentages."""
-    c = file_and_station_counts(raw, dim, ())
+    return usage_by_file_of(file_and_station_counts(raw, dim, ()), files)
+
+
+def usage_by_file_of(counts: DataFrame, files: DataFrame | None = None) -> DataFrame:
     trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
-    out = c.groupBy(F.col("source_file").alias("file")).agg(
+    out = counts.groupBy(F.col("source_file").alias("file")).agg(
         trips_if(_is(None)).alias("rows"),
         trips_if(_missing("start")).alias("missing_start_rows"),
         trips_if(_missing("end")).alias("missing_end_rows"),
@@ -213,9 +229,12 @@ def missing_station_usage_by_file(raw: DataFrame, dim: StationDim, files: DataFr
 
 def missing_station_totals(raw: DataFrame, dim: StationDim) -> DataFrame:
     """All files together: rows, unknown-station trips, percentages, distinct unknown keys."""
-    c = file_and_station_counts(raw, dim, ())
+    return missing_totals_of(file_and_station_counts(raw, dim, ()))
+
+
+def missing_totals_of(counts: DataFrame) -> DataFrame:
     trips_if = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0)).cast("bigint")
-    sums = c.agg(
+    sums = counts.agg(
         trips_if(_is(None)).alias("rows"),
         trips_if(_missing("start")).alias("missing_start_rows"),
         trips_if(_missing("end")).alias("missing_end_rows"),

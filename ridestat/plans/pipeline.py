@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import TRIPS_CLEAN_COLUMNS
-from ..operators import quality, reports, stations, triage, validation
+from ..operators import demand, quality, stations, triage, validation
 from ..operators.clean import clean_trips
 from ..operators.stations import StationDim, as_stations_table, clean_station_information
 from ..sinks.csv import write_csv
@@ -128,8 +128,10 @@ def validate_trip_files(
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
     audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
     raw = _raw_for_validation(spark, trips_source, with_row_index=True, audit=audit)
-    summary = validation.historical_files_summary(raw, dim, audit.select("file"))
-    missing = validation.missing_stations_summary(raw, dim)
+    write_table(validation.file_and_station_counts(raw, dim), f"{out_dir}/file_and_station_counts")  # the one pass over the rows
+    counts = read_table(spark, f"{out_dir}/file_and_station_counts")
+    summary = validation.files_summary_of(counts, audit.select("file"))
+    missing = validation.missing_stations_of(counts)
     write_csv(summary, f"{out_dir}/historical_files_summary", bom=True)
     write_csv(missing, f"{out_dir}/missing_stations_summary", bom=True)
     return {
@@ -147,14 +149,16 @@ def missing_station_report(
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
     audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
     raw = _raw_for_validation(spark, trips_source, audit=audit)
-    usage = validation.missing_station_usage(raw, dim)
-    by_file = validation.missing_station_usage_by_file(raw, dim, audit.select("file"))
+    write_table(validation.file_and_station_counts(raw, dim, ()), f"{out_dir}/station_counts")  # the one pass over the rows
+    counts = read_table(spark, f"{out_dir}/station_counts")
+    usage = validation.usage_of(counts)
+    by_file = validation.usage_by_file_of(counts, audit.select("file"))
     write_csv(usage, f"{out_dir}/missing_station_usage", bom=True)
     write_csv(by_file, f"{out_dir}/missing_station_usage_by_file", bom=True)
     return {
         "usage": usage,
         "by_file": by_file,
-        "totals": validation.missing_station_totals(raw, dim),
+        "totals": validation.missing_totals_of(counts),
         "top": validation.top_missing_stations(usage),
     }
 
@@ -178,22 +182,27 @@ def triage_datetimes(spark: SparkSession, trips_file: str | list[str], out_dir:
 # ---- dashboard exports ----------------------------------------------------------------------
 
 EXPORTS = {
-    "monthly_trips": lambda db: reports.monthly_trips(db.analysis()),
-    "weekday_trips": lambda db: reports.weekday_trips(db.analysis()),
-    "hourly_trips": lambda db: reports.hourly_trips(db.analysis()),
-    "hourly_weekday_trips": lambda db: reports.hourly_weekday_trips(db.analysis()),
-    "top_start_stations": lambda db: reports.top_start_stations(db.analysis(), db.dim()),
-    "top_end_stations": lambda db: reports.top_end_stations(db.analysis(), db.dim()),
-    "station_flow_balance": lambda db: reports.station_flow_balance(db.analysis(), db.dim()),
-    "top_routes": lambda db: reports.top_routes(db.analysis(), db.dim()),
-    "user_profile_summary": lambda db: reports.user_profile_summary(db.analysis()),
+    "monthly_trips": lambda counts, dim: demand.monthly_trips(counts),
+    "weekday_trips": lambda counts, dim: demand.weekday_trips(counts),
+    "hourly_trips": lambda counts, dim: demand.hourly_trips(counts),
+    "hourly_weekday_trips": lambda counts, dim: demand.hourly_weekday_trips(counts),
+    "top_start_stations": demand.top_start_stations,
+    "top_end_stations": demand.top_end_stations,
+    "station_flow_balance": demand.station_flow_balance,
+    "top_routes": demand.top_routes,
+    "user_profile_summary": lambda counts, dim: demand.user_profile_summary(counts),
 }
 
 
 def export_dashboards(spark: SparkSession, db_root: str, out_dir: str) -> dict[str, str]:
-    """The nine dashboard datasets as CSV folders (each one sorted part file)."""
+    """The nine dashboard datasets as CSV folders (each one sorted part file), from one pass over the trips.
+
+    The pass leaves its counts as the table ``demand_counts`` beside the trips.
+    """
     db = Database(spark, db_root)
-    return {name: write_csv(fn(db), f"{out_dir}/{name}") for name, fn in EXPORTS.items()}
+    write_table(demand.demand_counts(db.analysis()), db.path("demand_counts"))
+    counts = read_table(spark, db.path("demand_counts"))
+    return {name: write_csv(fn(counts, db.dim()), f"{out_dir}/{name}") for name, fn in EXPORTS.items()}
 
 
 __all__ = [
