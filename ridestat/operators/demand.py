@@ -120,4 +120,5 @@ def top_routes(counts: DataFrame, dim: StationDim, n: int = TOP_ROUTES) -> DataF
     columns = ["start_station_number", "start_station_name", "end_station_number", "end_station_name"]
     routes = _named_routes(counts, dim).where("start_station_found AND end_station_found AND start_station_number <> end_station_number")
     out = routes.groupBy(*columns).agg(_trips(), _avg())
-    return out.orderBy(F.col("total_trips").desc(), *_last("start_station_number", "end_station_number")).limit(n)
+    names = "start_station_number", "end_station_number", "start_station_name", "end_station_name"
+    return out.orderBy(F.col("total_trips").desc(), *_last(*names)).limit(n)

@@ -167,7 +167,7 @@ def station_flow_balance(analysis: DataFrame, dim: StationDim) -> DataFrame:
 def top_routes(analysis: DataFrame, dim: StationDim, n: int = TOP_ROUTES) -> DataFrame:
     """Most frequent origin -> destination pairs between known, different stations (top ``n``).
 
-    Ties at the cut are broken by origin then destination number.
+    Ties at the cut are broken by origin then destination number, then by their names (a catalog may list a number twice).
     """
     cond = (
         F.col("start_station_found")
@@ -176,6 +176,7 @@ def top_routes(analysis: DataFrame, dim: StationDim, n: int = TOP_ROUTES) -> Dat
     )
     keys = ["start_station_number", "end_station_number"]
     order = [F.col("total_trips").desc(), F.col(keys[0]).asc_nulls_last(), F.col(keys[1]).asc_nulls_last()]
+    by_name = [F.col(f"{role}_station_name").asc_nulls_last() for role in ("start", "end")]
     if dim.unique:
         top = analysis.where(cond).groupBy(*keys).agg(_n().alias("total_trips"), _avg()).orderBy(*order).limit(n)
         a = dim.attrs()
@@ -192,7 +193,7 @@ def top_routes(analysis: DataFrame, dim: StationDim, n: int = TOP_ROUTES) -> Dat
             .where(cond)
             .groupBy("start_station_number", "start_station_name", "end_station_number", "end_station_name")
             .agg(_n().alias("total_trips"), _avg())
-            .orderBy(*order)
+            .orderBy(*order, *by_name)
             .limit(n)
         )
     return top.select(
@@ -202,7 +203,7 @@ def top_routes(analysis: DataFrame, dim: StationDim, n: int = TOP_ROUTES) -> Dat
         "end_station_name",
         "total_trips",
         "avg_duration_minutes",
-    ).orderBy(*order)
+    ).orderBy(*order, *by_name)
 
 
 def user_profile_summary(analysis: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from ..operators.stations import StationDim, as_stations_table, clean_station_in
 from ..sinks.csv import write_csv
 from ..sinks.tables import read_table, write_table
 from ..sources import gbfs, trip_csv
+from ..sources.presence import require_inputs
 from ..sources.stations_csv import read_station_catalog, write_station_catalog
 from .views import register_views, trips_analysis
 
@@ -80,9 +81,10 @@ class Database:
 def build_database(spark: SparkSession, trips_source: str | list[str], catalog_csv: str, db_root: str) -> DataFrame:
     """Raw monthly CSVs + catalog CSV -> ``stations`` and ``trips_clean`` tables.
 
-    Returns the post-load validation row. Files missing a canonical column stop the load, as does a
+    Returns the post-load validation row. An input that is not there raises an error naming it. Files missing a canonical column stop the load, as does a
     row with more fields than its header.
     """
+    require_inputs(spark, trips_source, catalog_csv)
     db = Database(spark, db_root)
     catalog = read_station_catalog(spark, catalog_csv)
     write_table(as_stations_table(catalog), db.path("stations"))
@@ -113,6 +115,7 @@ def quality_report(spark: SparkSession, db_root: str, out_dir: str) -> dict[str,
 
 
 def audit_trip_files(spark: SparkSession, trips_source: str | list[str], out_dir: str) -> DataFrame:
+    require_inputs(spark, trips_source)
     report = trip_csv.audit_report(trip_csv.audit_headers(spark, trips_source))
     write_csv(report, f"{out_dir}/csv_columns_audit", bom=True)
     return report
@@ -125,6 +128,7 @@ def _raw_for_validation(spark: SparkSession, trips_source, with_row_index: bool
 def validate_trip_files(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
+    require_inputs(spark, trips_source, catalog_csv)
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
     audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
     raw = _raw_for_validation(spark, trips_source, with_row_index=True, audit=audit)
@@ -146,6 +150,7 @@ def validate_trip_files(
 def missing_station_report(
     spark: SparkSession, trips_source: str | list[str], catalog_csv: str, out_dir: str
 ) -> dict[str, DataFrame]:
+    require_inputs(spark, trips_source, catalog_csv)
     dim = StationDim.of(as_stations_table(read_station_catalog(spark, catalog_csv)))
     audit = trip_csv.audit_headers(spark, trips_source).checkpoint()  # one row per file, read several times
     raw = _raw_for_validation(spark, trips_source, audit=audit)
@@ -165,6 +170,7 @@ def missing_station_report(
 
 def triage_datetimes(spark: SparkSession, trips_file: str | list[str], out_dir: str, tag: str) -> dict[str, DataFrame]:
     """Datetime triage of one month (or any files): summary, samples, value counts, describe."""
+    require_inputs(spark, trips_file)
     raw = _raw_for_validation(spark, trips_file, with_row_index=True)
     sample = triage.invalid_datetime_sample(raw)
     longest = triage.longest_trips(raw)

@@ -15,7 +15,9 @@ from ..functions.fixed import CANONICAL_COLUMNS
 from ..functions.rules import age, gender, station_key
 from ..operators import quality, reports, stations, triage, validation
 from ..plans.views import trips_with_station_info
+from ..sinks.csv import read_report_csv
 from ..sources import gbfs, trip_csv
+from ..sources.presence import input_presence
 from .store import TripStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +77,22 @@ def _csv_files_summary(s: TripStore) -> DataFrame:
     return validation.historical_files_summary(raw, s.dim(), files)
 
 
+def _input_presence(s: TripStore) -> DataFrame:
+    """The months of the trips and one more against the files of the dirty folder, which holds a file of no month."""
+    expected = s.raw().select(F.col("source_file").alias("file")).unionByName(s.spark.createDataFrame([("2099-02.csv",)], "file string"))
+    return input_presence(s.spark, s.dirty_csv(), expected)
+
+
+def _exported(name: str, like: Callable[[TripStore], DataFrame]) -> Query:
+    """The CSV file of a report as its job wrote it, with the column types of the report."""
+
+    def fn(s: TripStore) -> DataFrame:
+        text = read_report_csv(s.spark, s.report_file(name))
+        return text.select(*[F.col(f.name).cast(f.dataType) for f in like(s).schema])
+
+    return _on_store(fn)
+
+
 QUERIES: dict[str, Query] = {
     # ---- load: trips_clean and the station tables ----------------------------------------
     "trips_clean": _on_store(lambda s: s.trips(), "20-column fact table built from raw trips"),
@@ -153,5 +171,21 @@ QUERIES: dict[str, Query] = {
 }
 
 
+# ---- presence of files ----------------------------------------------------------------------
+QUERIES["input_presence"] = _on_store(_input_presence)
+
+# ---- a catalog that lists numbers twice: the joined view repeats a trip for each row of its stations ----
+QUERIES["repeated_trips_with_station_info"] = _on_store(lambda s: trips_with_station_info(s.analysis(), s.repeated_dim()))
+for _name in ("top_start_stations", "top_end_stations", "station_flow_balance", "top_routes"):
+    QUERIES[f"repeated_{_name}"] = _on_store(lambda s, report=getattr(reports, _name): report(s.analysis(), s.repeated_dim()))
+
+# ---- report files of the export and validation jobs, which finish them from counts of one pass ----
+for _name in (
+    "monthly_trips weekday_trips hourly_trips hourly_weekday_trips top_start_stations top_end_stations station_flow_balance "
+    "top_routes user_profile_summary historical_files_summary missing_stations_summary missing_station_usage missing_station_usage_by_file"
+).split():
+    QUERIES[f"exported_{_name}"] = _exported(_name, lambda s, name=_name: QUERIES[name](s.spark, s.sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

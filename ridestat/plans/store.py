@@ -152,6 +152,26 @@ class TripStore:
         self._csv_db = db
         return db
 
+    def repeated_dim(self) -> StationDim:
+        """The stations, every fifth number listed a second time with another name, and two rows without a number."""
+        number = F.col("station_number").cast("int")
+        again = self.stations().where(number % 5 == 0).withColumns({"station_name": F.concat("station_name", F.lit(" bis")), "capacity": (F.col("capacity") + 1).cast("int")})
+        blank = self.stations().where(number < 2).withColumn("station_number", F.lit(""))
+        return StationDim.of(self.stations().unionByName(again).unionByName(blank))
+
+    def report_file(self, name: str) -> str:
+        """A CSV report that the export and validation jobs wrote from the landed trip files and their database."""
+        from .pipeline import export_dashboards, missing_station_report, validate_trip_files
+
+        root, db = self.path("csv"), self.csv_database()
+        with _LOCK:
+            if not table_exists(self.spark, f"{root}/reports_done"):
+                export_dashboards(self.spark, db.root, f"{root}/reports")
+                for job in (validate_trip_files, missing_station_report):
+                    job(self.spark, f"{root}/trips", f"{root}/station_catalog", f"{root}/reports")
+                write_table(self.spark.range(1), f"{root}/reports_done")
+        return f"{root}/reports/{name}"
+
     def csv_files(self) -> list[str]:
         """The landed files: those of :meth:`csv_database` and the dirty ones of :meth:`dirty_csv`."""
         self.csv_database()
