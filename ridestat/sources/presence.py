@@ -15,13 +15,14 @@ class MissingInput(FileNotFoundError):
 def input_presence(spark: SparkSession, folder: str, expected: DataFrame) -> DataFrame:
     """(file, status, has_bytes): the files named by ``expected`` (column file) and the CSV files of the folder.
 
-    status: found, missing (expected alone) or unexpected (found alone). Files are listed by Spark; none is read.
-    A folder that is not there raises :class:`MissingInput`.
+    status: found, missing (expected alone) or unexpected (found alone). No file is read: the driver lists the folder, one
+    name and length a file. A folder that is not there raises :class:`MissingInput`.
     """
-    if not exists(spark, folder):
+    fs, path, make = _fs(spark, folder)
+    if not fs.exists(path):
         raise MissingInput(f"trip folder {folder} does not exist")
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    found = listed.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("length").alias("__length"))
+    listed = fs.globStatus(make(folder.rstrip("/") + "/*.csv"))
+    found = spark.createDataFrame([(f.getPath().getName(), f.getLen()) for f in listed], "file string, __length bigint")
     marked = expected.select("file").where("file IS NOT NULL").distinct().withColumn("__expected", F.lit(True))
     status = F.when(F.col("__length").isNull(), "missing").when(F.col("__expected"), "found").otherwise("unexpected")
     out = marked.join(found, "file", "full")
