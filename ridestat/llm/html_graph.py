@@ -2,13 +2,15 @@
 
 A page is read into a tree of block elements whose leaves are runs of text. Each node is content or
 not: an element if it holds content text, a leaf if it is such text. A node's potential is a linear
-function of its features (class and id words; for elements that make a zone also the tag, the length
-of their text, the share of links, and whether they lie in an article), and each
+function of its features (class and id words, rare ones as one unknown word; for elements that make a zone also the tag, the length
+of their text, the share of links, of the page's text and of sentences, and whether they lie in an article), and each
 kind of parent-child edge has a table of potentials. Sum-product messages go up and down the tree
 (all pages of a batch at once, level by level) and give every leaf's exact marginal; leaves at a
 half or more are the text. Weights are fitted on labelled pages by the exact gradient of the
 likelihood, which takes the same messages. ``labelled_pages`` composes these pages from layouts in
-which every part is marked as content or not.
+which every part is marked as content or not. Two models are fitted: one on common names and tags, and one on
+layouts whose names and tags do not tell the article, which looks at the shape of the text instead; a page in
+which no zone's names or tag speak for content goes to the second. They are kept for the driver's next calls.
 
 Defined cases: a null or empty page has no text; whitespace in a block becomes one blank; ``<br>``
 is whitespace; tags that are never closed, closed twice or cut off are read as browsers do; what
@@ -21,8 +23,10 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from html import unescape
 
 import numpy as np
@@ -47,18 +51,82 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An opening tag ends an open element of these names on top of the stack.
 ENDS = {"li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
+MARKUP = re.compile(r"<(?:!--|[!?/]|[a-zA-Z])")
+QUOTES_OR_END = re.compile(r"""[>"']""")
+NAME_END = re.compile(r"[\s/>]")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 KEPT = re.compile(r"""\bdata-kept\s*=""", re.I)
 WORD = re.compile(r"[a-z]+")
 #: Elements that carry a zone's text rather than make a zone, unless a class or id names them.
 TEXT_LEVEL = frozenset("address blockquote caption dd dl dt figcaption figure h1 h2 h3 h4 h5 h6 hgroup li ol p pre table tbody td tfoot th thead tr ul".split())
+CELLS = frozenset("td th".split())
+SENTENCE_ENDS = frozenset(". ! ? … 。 ！ ？ ؟ ।".split())
+#: A class or id word that fewer training pages hold counts as unknown.
+KNOWN_PAGES = 4
+UNKNOWN = "unknown names"
+#: Tags that say what a zone is for. Zones that neither such a tag nor a known word tells are judged by the shape of their text too.
+TOLD = frozenset("tag=" + t for t in "article main nav aside header footer dialog form".split())
 #: Kinds of edges, by the child: an element that makes a zone, one that carries text, a leaf.
 ZONE, CARRIER, LEAF = 0, 1, 2
 #: Depth of a page's tree below which one numpy step handles a level of all pages.
 PAGES_AT_ONCE = 256
 
 
+class Markup:
+    """The tags of a text, each found in time that sums to the text's length (and its logarithm) over all of them."""
+
+    def __init__(self, html: str) -> None:
+        self.html, self.marks = html, [m.start() for m in QUOTES_OR_END.finditer(html)]
+        self.after: dict[int, int] = {}  # of a quote: the > that ends a tag around it, the text's length, or -1 if it never closes
+        self.stop = -1  # the last name's end
+
+    def close(self, at: int) -> int:
+        """The first > from ``at`` on outside quotes; the text's length if nothing follows; -1 if a quote stays open."""
+        html, passed = self.html, []
+        while True:
+            i = bisect_left(self.marks, at)
+            if i == len(self.marks):
+                found = len(html)
+                break
+            mark = self.marks[i]
+            if html[mark] == ">":
+                found = mark
+                break
+            if mark in self.after:
+                found = self.after[mark]
+                break
+            passed.append(mark)
+            other = html.find(html[mark], mark + 1)
+            if other < 0:
+                found = -1
+                break
+            at = other + 1
+        self.after.update((mark, found) for mark in passed)
+        return found
+
+    def next(self, at: int) -> tuple[int, int, bool, str | None, str] | None:
+        """(start, end, whether it closes, name, attributes) of the first tag or comment (no name) from ``at`` on."""
+        html, n = self.html, len(self.html)
+        while m := MARKUP.search(html, at):
+            start, at = m.start(), m.start() + 1
+            if m.group() == "<!--":
+                end = html.find("-->", start + 4)
+                return start, n if end < 0 else end + 3, False, None, ""
+            closing = html.startswith("/", at)
+            name_at = at + closing
+            if html[name_at : name_at + 1].isascii() and html[name_at : name_at + 1].isalpha():
+                if self.stop < name_at:
+                    m = NAME_END.search(html, name_at)
+                    self.stop = m.start() if m else n
+                end = self.close(self.stop)
+                if end >= 0:
+                    return start, min(end + 1, n), closing, html[name_at : self.stop], html[self.stop : end]
+            if html[start + 1] in "!?/":
+                end = html.find(">", start + 2)
+                return start, n if end < 0 else end + 1, False, None, ""
+        return None
+
+
 class Page:
     """A page's nodes in page order: parent, kind, features; texts and marks of the leaves."""
 
@@ -72,18 +140,29 @@ class Page:
     def describe(self) -> None:
         """Features that need the finished tree: what a zone holds and what it lies in."""
         n = len(self.parent)
-        size, links = [0] * n, [0] * n
+        size, links, prose, blocks = [0] * n, [0] * n, [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
+            up = self.parent[i]
             if self.kind[i] == LEAF and not self.hidden[i]:
                 size[i], links[i] = len(self.texts[i]), self.linked.get(i, 0)
-            size[self.parent[i]] += size[i]
-            links[self.parent[i]] += links[i]
+                prose[i] = size[i] if ends_sentence(self.texts[i]) and 2 * links[i] < size[i] else 0
+            elif self.kind[i] != LEAF:
+                blocks[up] += 1
+            size[up] += size[i]
+            links[up] += links[i]
+            prose[up] += prose[i]
+        for i in range(1, n):
+            if self.kind[i] == CARRIER and self.names[i] in CELLS and blocks[i]:  # a cell that holds blocks lays a page out
+                self.kind[i] = ZONE
+                self.features[i] += [f"tag={self.names[i]}", "bare"]
         inside = ["no"] * n
         for i in range(1, n):
             up = self.parent[i]
             inside[i] = self.names[up] if self.names[up] in ("article", "main") else inside[up]
             if self.kind[i] == ZONE:
                 self.features[i] += [f"size={size_class(size[i])}", f"links={link_class(size[i], links[i])}", f"{self.names[i]} within={inside[i]}"]
+                of_page, of_zone = share_class(size[i], size[0]), share_class(prose[i], size[i])
+                self.features[i] += [f"shape: page share={of_page}", f"shape: prose={of_zone}", f"shape: page share={of_page} prose={of_zone}"]
             elif self.kind[i] == LEAF:
                 self.features[i] += ["leaf in links"] if link_class(size[i], links[i]) == "all" else []
 
@@ -127,18 +206,16 @@ class Page:
             if links:
                 link_chars += len(raw)
 
-        for m in TAG.finditer(html):
-            s = m.start()
-            if s < at:
-                continue  # inside raw text
+        markup = Markup(html)
+        while tag := markup.next(at):
+            s, after, closing, name, attributes = tag
             if s > at:
                 put(html[at:s])
-            at = m.end()
-            name = m.group(2)
+            at = after
             if name is None:
                 continue
             name = name.lower()
-            if m.group(1):
+            if closing:
                 if name == "a":
                     if links:
                         links.pop()
@@ -176,7 +253,6 @@ class Page:
                 pop()
             if name in VOID or (name in ("html", "body") and open_[name]):
                 continue
-            attributes = m.group(3)
             top = nodes[-1]
             words = {w for v in NAMES.findall(attributes) for w in WORD.findall(v.lower())} if attributes else ()
             features = [f"name={w}" for w in sorted(words)] + ([] if name in TEXT_LEVEL else [f"tag={name}"] + ([] if words else ["bare"]))
@@ -205,6 +281,15 @@ def size_class(n: int) -> str:
     return "none" if n == 0 else "line" if n < 80 else "some" if n < 400 else "long"
 
 
+def share_class(part: int, whole: int) -> str:
+    share = part / whole if whole else 0.0
+    return "none" if share == 0 else "little" if share < 0.1 else "some" if share < 0.35 else "half" if share < 0.7 else "most"
+
+
+def ends_sentence(text: str) -> bool:
+    return text.rstrip("\"'»”’)]")[-1:] in SENTENCE_ENDS
+
+
 def link_class(n: int, in_links: int) -> str:
     share = in_links / n if n else 0.0
     return "all" if share > 0.8 else "half" if share > 0.4 else "few" if share > 0 else "no"
@@ -225,11 +310,14 @@ class Forest:
         node = 0
         for p in pages:
             for f in p.features:
-                for x in f:
-                    c = columns.get(x)
-                    if c is not None:
-                        owner.append(node)
-                        column.append(c)
+                known = [x for x in f if x in columns]
+                if any(x.startswith("name=") or x in TOLD for x in known):  # names or tag say what the zone is
+                    known = [x for x in known if not x.startswith("shape:")]
+                elif UNKNOWN in columns and any(x.startswith("name=") for x in f):
+                    known.append(UNKNOWN)
+                for x in known:
+                    owner.append(node)
+                    column.append(columns[x])
                 node += 1
         self.owner, self.column = np.array(owner, np.int64), np.array(column, np.int64)
 
@@ -271,9 +359,15 @@ class Model:
         self.columns, self.weights, self.edges = columns, weights, edges
 
     @staticmethod
-    def fit(htmls: list[str], steps: int = 450, decay: float = 0.0001) -> Model:
+    def fit(htmls: list[str], steps: int = 450, decay: float = 0.0001, shapes: bool = False) -> Model:
+        """With ``shapes`` zones that neither names nor tags tell have features of their text's shape."""
         pages = [Page(h) for h in htmls]
-        columns = {f: i for i, f in enumerate(sorted({x for p in pages for f in p.features for x in f}))}
+        held = Counter(x for p in pages for x in {x for f in p.features for x in f})
+        if shapes:
+            kept = {x for x, n in held.items() if n >= KNOWN_PAGES or not x.startswith("name=")} | {UNKNOWN}
+        else:
+            kept = {x for x in held if not x.startswith("shape:")}
+        columns = {f: i for i, f in enumerate(sorted(kept))}
         forest = Forest(pages, columns)
         y = np.concatenate([p.labels() for p in pages])
         weights, edges = np.zeros(len(columns)), np.zeros((3, 2, 2))
@@ -300,7 +394,19 @@ class Model:
 
     def texts(self, htmls: list[str]) -> list[str]:
         """The main text of each page."""
-        pages = [Page(h) for h in htmls]
+        return self.texts_of([Page(h) for h in htmls])
+
+    def named(self, page: Page) -> bool:
+        """Whether the names or tag of some zone speak for content."""
+        for kind, f in zip(page.kind, page.features, strict=True):
+            known = [x for x in f if x in self.columns] if kind == ZONE else []
+            if any(x.startswith("name=") or x in TOLD for x in known) and sum(self.weights[self.columns[x]] for x in known) > 0:
+                return True
+        return False
+
+    def texts_of(self, pages: list[Page]) -> list[str]:
+        if not pages:
+            return []
         forest = Forest(pages, self.columns)
         p, _, _ = forest.marginals(self.weights, self.edges)
         out = []
@@ -310,6 +416,24 @@ class Model:
         return out
 
 
+class Layouts:
+    """Two models: ``named`` for pages in which names or tags speak for content, ``shaped`` for all others."""
+
+    def __init__(self, named: Model, shaped: Model) -> None:
+        self.named, self.shaped = named, shaped
+
+    @staticmethod
+    def fit(named: int = 600, shaped: int = 500, steps: tuple[int, int] = (450, 300)) -> Layouts:
+        return Layouts(Model.fit(labelled_pages(named), steps[0]), Model.fit(labelled_pages(shaped, styles="opaque plain table half"), steps[1], shapes=True))
+
+    def texts(self, htmls: list[str]) -> list[str]:
+        """The main text of each page."""
+        pages = [Page(h) for h in htmls]
+        told = [self.named.named(p) for p in pages]
+        found = {t: iter(m.texts_of([p for p, x in zip(pages, told, strict=True) if x is t])) for t, m in ((True, self.named), (False, self.shaped))}
+        return [next(found[t]) for t in told]
+
+
 # Words that class names use for parts of pages.
 PARTS = {
     "content": "content article post entry story main body text page prose markdown",
@@ -326,9 +450,30 @@ PARTS = {
 _SYLLABLES = "ka lo mi ter on su ve ra del ni pa cho ing est or".split()
 
 
-def labelled_pages(n: int = 600, seed: int = 5) -> list[str]:
-    """Pages of varied layouts; ``data-kept="1"`` marks content, ``data-kept="0"`` the rest."""
-    rng = random.Random(seed)
+#: Elements whose tag tells what they are for; plain layouts have others in their places.
+TELLING = re.compile(r"(</?)(?:article|main|section|nav|aside|header|footer|dialog)\b")
+GIVEN_NAMES = re.compile(r"""\s(?:class|id)="([^"]*)\"""")
+
+
+def disguised(html: str, rng: random.Random, how: str) -> str:
+    """The page without telling tags, its class and id words replaced by made-up ones (opaque) or left out (plain)."""
+    made: dict[str, str] = {}
+
+    def renamed(m: re.Match) -> str:
+        if how == "plain":
+            return ""
+        return ' class="' + " ".join(made.setdefault(w, "x" + "".join(rng.choices("bcdfghjkmpqrtvwz", k=5))) for w in WORD.findall(m.group(1))) + '"'
+
+    return GIVEN_NAMES.sub(renamed, TELLING.sub(r"\1div", html))
+
+
+def labelled_pages(n: int = 600, seed: int = 5, styles: str = "named") -> list[str]:
+    """Pages of varied layouts; ``data-kept="1"`` marks content, ``data-kept="0"`` the rest.
+
+    Each page has one of ``styles``: named (common class names and tags), opaque and plain (see :func:`disguised`), table
+    (plain, its parts in the cells of a layout table) or half (the article alone is opaque).
+    """
+    rng, style_rng = random.Random(seed), random.Random(seed + 1)
 
     def words(lo: int, hi: int) -> str:
         return " ".join("".join(rng.choices(_SYLLABLES, k=rng.randint(1, 4))) for _ in range(rng.randint(lo, hi)))
@@ -394,15 +539,32 @@ def labelled_pages(n: int = 600, seed: int = 5) -> list[str]:
         after = "".join(other(p) for p in ("side", "comments", "share", "ad", "form", "notice", "footer") if rng.random() < (0.85 if p == "footer" else 0.25))
         if rng.random() < 0.15:
             before += other("side")
-        return f"<html><head><title>{words(1, 5)}</title><script>var a='<p>';</script></head><body>{before}{article}{after}</body></html>"
+        style = style_rng.choice(styles.split())
+        if style == "half":
+            article = disguised(article, style_rng, "opaque")
+        if style == "table":
+            cells = [c for c in (before, article, after) if c]
+            between = rng.choice(("</td><td>", "</td></tr><tr><td>"))
+            whole = f"<table><tr><td>{between.join(cells)}</td></tr></table>"
+        else:
+            whole = before + article + after
+        if style in ("opaque", "plain", "table"):
+            whole = disguised(whole, style_rng, "opaque" if style == "opaque" else "plain")
+        return f"<html><head><title>{words(1, 5)}</title><script>var a='<p>';</script></head><body>{whole}</body></html>"
 
     return [page() for _ in range(n)]
 
 
-def extract(pages: DataFrame, model: Model | None = None) -> DataFrame:
+@cache
+def fitted() -> Layouts:
+    """The models that :func:`extract` uses unless it is given one."""
+    return Layouts.fit()
+
+
+def extract(pages: DataFrame, model: Model | Layouts | None = None) -> DataFrame:
     """page_id, url, text (empty if none)."""
     spark = ready(pages.sparkSession)
-    given = spark.sparkContext.broadcast(model or Model.fit(labelled_pages()))
+    given = spark.sparkContext.broadcast(model or fitted())
     shape = T.StructType([pages.schema["page_id"], pages.schema["url"], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 """Toxicity, top-k search, page text, url rules, near duplicates, the pipeline."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -121,6 +122,35 @@ def test_page_text_on_held_out_layouts():
     assert texts[2] == "a & b c &am" and texts[3] == "" and texts[5] == "A\nb cd\n1\n2" and texts[6] == "T\none\ntwo three"
 
 
+def test_page_text_where_no_name_tells_the_article():
+    models = html_graph.Layouts.fit(250, 250, (250, 200))
+    told = html_graph.labelled_pages(60, seed=11)
+    assert models.texts(told) == models.named.texts(told)  # names and tags that speak for content decide alone
+    para = "Dies ist ein langer Absatz mit vielen Worten, der den Inhalt der Seite ausmacht. " * 4
+    for html in (
+        f'<body><div class="xq zz"><a href=/>Start</a> <a href=/b>Info</a></div><div class="qqv"><h1>Titel</h1><p>{para}</p><p>{para}</p></div><div class="hhj">2024</div></body>',
+        f'<body><div class="kopf"><a href=/>Start</a></div><div class="inhalt"><p>{para}</p></div><div class="fusszeile"><a href=/i>Impressum</a></div></body>',
+        f"<table><tr><td><a href=/>Start</a><br><a href=/b>B</a></td><td><h1>T</h1><p>{para}</p></td></tr></table>",
+        f"<body><div><div><p>{para}</p></div></div></body>",
+    ):
+        assert para.strip() in models.texts([html])[0].split("\n")
+
+
+@pytest.mark.parametrize("bad", ['<a x" ' * 6000, '<a x" ' * 6000 + '"', "<a x\"'" * 5001, "</a<" * 9000, "<!--" * 9000, "<a/" * 9000 + "'", "<script>" * 4000, "<" * 32_000])
+def test_hard_markup_is_read_in_linear_time(bad):
+    start = time.perf_counter()
+    html_graph.Page(bad)
+    assert time.perf_counter() - start < 1.0
+
+
+def test_tags_with_quotes():
+    text = lambda html: [t for t in html_graph.Page(html).texts if t]
+    assert text("<p title='a>b'>x</p>") == ["x"]
+    assert text('<p title="never closed>x') == ['<p title="never closed>x']
+    assert text("<script>if (a<b && c=\"</script><p>y</p>") == ["y"]
+    assert text("<!-- <p>no</p> --><p>z<!-- open") == ["z"]
+
+
 def test_marginals_are_exact(monkeypatch):
     pages = [html_graph.Page("<article class=a><p>x y.</p><div id=b><p>z</p>w</div></article><nav>q</nav>"), html_graph.Page("")]
     columns = {f: i for i, f in enumerate(sorted({x for p in pages for f in p.features for x in f}))}
