@@ -3,9 +3,9 @@
 The model predicts the bytes of texts (one blank between words) from up to four bytes before, also
 across words and from the text's start on; it has one part per language. Tasks count the n-grams of whole texts; Spark sums them and
 derives continuation counts, discounts and probabilities by grouping and joins. Texts are scored in
-groups of about ``GROUP`` bytes: a group's distinct n-grams are joined with their probabilities, and
-those rows meet the group's texts again, so no task or driver holds the model. All scored texts are
-counted, so every n-gram has a probability of its own.
+packed blocks of about ``GROUP`` bytes: a block's distinct n-grams are joined with their probabilities,
+and those rows meet the block's texts again as sorted arrays, so no task or driver holds the model. All
+scored texts are counted, so every n-gram has a probability of its own.
 
 A document's cross entropy (bits a symbol) is compared with the band of its language: quartiles over
 all documents that pass the base rules, widened by ``BAND`` times their distance on either side, and
@@ -14,17 +14,19 @@ document outside the band is rejected, as is one that fails the base rules.
 
 Defined cases: null and empty texts have no words and fail the base rules; a null language is a
 language of its own; a language whose quartiles coincide still gets a band ``LEAST_SPREAD`` wide;
-repeated rows are judged alike; texts of any length are used whole; an empty table gives an empty
-result. Only doc_id, text and lang are read, so other columns may have any name.
+more than ``LANGUAGES`` distinct languages are an error (map them to fewer before); repeated rows are
+judged alike and may lie in several blocks; texts of any length are used whole; an empty table gives an
+empty result. Only doc_id, text and lang are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +40,8 @@ BAND, LEAST_SPREAD = 3.0, 0.02
 SHORT_MARGIN = 2.0
 MIN_WORDS, REPEAT_PERCENT, REPEAT_WINDOW = 10, 20, 5
 SALTS = 32
+#: Languages with a model of their own; their hashes go to every task.
+LANGUAGES = 1 << 15
 #: Bytes of text handled at once and scored with one n-gram table, n-gram counts kept by a task.
 CHUNK, GROUP, KEPT_GRAMS = 1 << 20, 1 << 24, 1 << 20
 #: Symbols: bytes, of which a blank stands for a word's end and a line break for a text's start.
@@ -47,13 +51,20 @@ IS_SYMBOL = np.zeros(256, bool)
 IS_SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 
 
-def language_codes(langs: pa.Array) -> np.ndarray:
-    """15 bits of a hash of each language (null: 0)."""
-    seen: dict[str | None, int] = {None: 0}
-    for name in langs.unique().to_pylist():
-        if name is not None:
-            seen[name] = 1 + zlib.crc32(name.encode()) % ((1 << 15) - 1)
-    return np.array([seen[x] for x in langs.to_pylist()], np.int64)
+def language() -> Column:
+    return F.xxhash64("lang").alias("language")
+
+
+def known_languages(docs: DataFrame) -> np.ndarray:
+    """The sorted hashes of all languages; a language's place among them is its code."""
+    rows = docs.select(language()).distinct().limit(LANGUAGES + 1).collect()
+    if len(rows) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages in column lang")
+    return np.sort(np.array([r[0] for r in rows], np.int64))
+
+
+def language_codes(hashes: pa.Array | pa.ChunkedArray, known: np.ndarray) -> np.ndarray:
+    return np.searchsorted(known, np.asarray(hashes))
 
 
 def symbol_keys(data: np.ndarray, w: Words, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,14 +94,14 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return known, np.bincount(back, counts, len(known)).astype(np.int64)
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
+def gram_counts(docs: DataFrame, known: np.ndarray) -> DataFrame:
     """key, n: full n-grams of all texts, and the shorter ones at a start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
         for batch in batches:
-            langs = language_codes(batch.column(1))
+            langs = language_codes(batch.column(1), known)
             for lo, hi, data, offsets in chunks(batch.column(0), CHUNK):
                 w = words(data, offsets)
                 if not len(w.hash):
@@ -107,11 +118,11 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             keys, counts = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
 
-    return docs.select("text", "lang").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return docs.select("text", language()).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
-    """For each order: (lang, symbols, n, logp) of its n-grams, and (lang, symbols, bow) of contexts of that length + 1."""
+    """For each order: (lang, symbols, n, p) of its n-grams, and (lang, symbols, gamma, n) of their contexts, gamma the share left to lower orders."""
     lang, order = F.shiftright("key", _LANG), F.shiftright("key", 40).bitwiseAND(F.lit(15).cast("long"))
     raw = stored(counts.select(lang.alias("lang"), order.alias("order"), F.col("key").bitwiseAND(F.lit((1 << 40) - 1)).alias("symbols"), "n"))
     tables = {ORDER: raw.where(F.col("order") == ORDER).select("lang", "symbols", "n")}
@@ -134,7 +145,7 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
 
         kinds = kinds.select("lang", *[discount(k).alias(f"d{k}") for k in (1, 2, 3)])
         context = F.shiftright("symbols", 8)
-        given = rows.withColumn("context", context).join(F.broadcast(kinds), "lang")  # a row per language code: 2**15 at most
+        given = rows.withColumn("context", context).join(F.broadcast(kinds), "lang")  # a row per language: LANGUAGES at most
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         given = given.withColumn("off", off)
         totals = given.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("off").alias("free"))
@@ -157,13 +168,13 @@ def estimate(counts: DataFrame) -> list[tuple[DataFrame, DataFrame | None]]:
 
 
 def probabilities(orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """key, v: log2 probability of every n-gram that symbol_keys gives."""
+    """key, v: log2 probability (as a float) of every n-gram that symbol_keys gives."""
     out = None
     for n, (table, _) in list(enumerate(orders, 1))[1:]:
         if n < ORDER:
             table = table.where(F.shiftright("symbols", 8 * (n - 1)) == START)
         key = F.shiftleft("lang", _LANG).bitwiseOR(F.lit(n << 40).cast("long")).bitwiseOR(F.col("symbols"))
-        rows = table.select(key.alias("key"), F.log2("p").alias("v"))
+        rows = table.select(key.alias("key"), F.log2("p").cast("float").alias("v"))
         out = rows if out is None else out.union(rows)
     return out
 
@@ -225,47 +236,90 @@ def firsts(h: np.ndarray, row: np.ndarray) -> np.ndarray:
     return order[new]
 
 
-def group_keys(table: pa.Table) -> pa.Table:
-    """chunk, key: the distinct n-grams of one group of texts."""
-    langs, found = language_codes(table.column("lang")), []
-    for lo, hi, data, offsets in chunks(table.column("text"), CHUNK):
-        found.append(np.unique(symbol_keys(data, words(data, offsets), langs[lo:hi])[0]))
-    keys = np.unique(np.concatenate(found))
-    return pa.table({"chunk": pa.array(np.full(len(keys), table.column("chunk")[0].as_py()), pa.int64()), "key": pa.array(keys, pa.int64())})
+def packed(docs: DataFrame, partitions: int) -> DataFrame:
+    """block, texts: the rows (doc_id, lang, text, language) in compressed blocks of about GROUP bytes of text; a longer text is a block of its own.
 
+    Rows are sorted in their partition, so a task that is run again gives the same blocks.
+    """
 
-def measured(docs: DataFrame, model: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n = TaskContext.get().partitionId() << 32, 0
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def block() -> pa.RecordBatch:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(pa.Table.from_batches(held).combine_chunks())
+            return pa.RecordBatch.from_arrays([pa.array([part + n], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["block", "texts"])
+
+        for batch in batches:
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            lo, done = 0, 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(ends, done + GROUP - size, side="right")))
+                held.append(batch.slice(lo, hi - lo))
+                size += int(ends[hi - 1]) - done
+                lo, done = hi, int(ends[hi - 1])
+                if size >= GROUP or lo < batch.num_rows:
+                    yield block()
+                    held, size, n = [], 0, n + 1
+        if held:
+            yield block()
+
+    rows = docs.select("doc_id", "lang", "text", language()).coalesce(partitions)
+    return rows.sortWithinPartitions(F.xxhash64("doc_id", "lang", "text"), "doc_id").mapInArrow(run, "block long, texts binary")
+
+
+def unpacked(texts: pa.Scalar) -> pa.Table:
+    with pa.ipc.open_stream(texts.as_buffer()) as reader:
+        return reader.read_all()
+
+
+def measured(docs: DataFrame, model: DataFrame, known: np.ndarray) -> DataFrame:
     """doc_id, lang, the base counts, base_failed and bits (cross entropy a symbol; null without words); model has the n-grams of docs."""
     spark = ready(docs.sparkSession)
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     shape = T.StructType([docs.schema["doc_id"], T.StructField("lang", T.StringType()), *[T.StructField(c, T.LongType()) for c in counts], T.StructField("bits", T.DoubleType()), T.StructField("symbols", T.LongType())])
 
-    def run(texts: pa.Table, grams: pa.Table) -> pa.Table:
-        keys, values = grams.column("key").to_numpy(), grams.column("v").to_numpy()
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """block, key: the distinct n-grams of each block."""
+        for batch in batches:
+            for block, packed_texts in zip(*batch.columns, strict=True):
+                texts = unpacked(packed_texts)
+                langs, found = language_codes(texts.column("language"), known), [np.zeros(0, np.int64)]
+                for lo, hi, data, offsets in chunks(texts.column("text"), CHUNK):
+                    found.append(np.unique(symbol_keys(data, words(data, offsets), langs[lo:hi])[0]))
+                distinct = np.unique(np.concatenate(found))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), block.as_py())), pa.array(distinct)], names=["block", "key"])
+
+    def run(blocks: pa.Table, grams: pa.Table) -> pa.Table:
+        keys, values = grams.column("key").to_numpy(), grams.column("v").to_numpy().astype(float)
         by = np.argsort(keys)
         keys, values = keys[by], values[by]
-        langs, parts = language_codes(texts.column("lang")), []
-        for lo, hi, data, offsets in chunks(texts.column("text"), CHUNK):
-            w = words(data, offsets)
-            rules = rule_counts(data, offsets, w)
-            key, row = symbol_keys(data, w, langs[lo:hi])
-            distinct, back = np.unique(key, return_inverse=True)
-            at = np.searchsorted(keys, distinct)
-            if len(distinct) and (at[-1] >= len(keys) or (keys[at] != distinct).any()):
-                raise ValueError("n-grams without a probability: the texts are not those that were counted")
-            n = np.bincount(row, minlength=hi - lo)
-            bits = np.bincount(row, -values[at][back], hi - lo) / np.maximum(n, 1)
-            columns = [pa.array(rules[c].astype(np.int64)) for c in counts]
-            parts.append(pa.table([*(texts.column(c).slice(lo, hi - lo) for c in ("doc_id", "lang")), *columns, pa.array(bits, mask=n == 0), pa.array(n.astype(np.int64))], names=shape.names))
-        return pa.concat_tables(parts)
+        parts = []
+        for packed_texts in blocks.column("texts"):
+            texts = unpacked(packed_texts)
+            langs = language_codes(texts.column("language"), known)
+            for lo, hi, data, offsets in chunks(texts.column("text"), CHUNK):
+                w = words(data, offsets)
+                rules = rule_counts(data, offsets, w)
+                key, row = symbol_keys(data, w, langs[lo:hi])
+                distinct, back = np.unique(key, return_inverse=True)
+                at = np.searchsorted(keys, distinct)
+                if len(distinct) and (at[-1] >= len(keys) or (keys[at] != distinct).any()):
+                    raise ValueError("n-grams without a probability: the texts are not those that were counted")
+                n = np.bincount(row, minlength=hi - lo)
+                bits = np.bincount(row, -values[at][back], hi - lo) / np.maximum(n, 1)
+                columns = [pa.array(rules[c].astype(np.int64)) for c in counts]
+                parts.append(pa.table([*(texts.column(c).slice(lo, hi - lo) for c in ("doc_id", "lang")), *columns, pa.array(bits, mask=n == 0), pa.array(n.astype(np.int64))], names=shape.names))
+        return pa.concat_tables(parts) if parts else pa.table({f.name: [] for f in shape})
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    groups = size // GROUP + 1
-    placed = docs.select("doc_id", "lang", "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).alias("chunk"))
-    placed = placed.repartition(max(groups, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk")
-    asked = placed.groupBy("chunk").applyInArrow(group_keys, "chunk long, key long")
-    given = asked.join(model, "key").select("chunk", "key", "v")
-    out = placed.groupBy("chunk").cogroup(given.groupBy("chunk")).applyInArrow(run, shape)
+    wanted = max(size // GROUP + 1, spark.sparkContext.defaultParallelism)
+    blocks = packed(docs, wanted).repartition(max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))), "block")
+    given = blocks.mapInArrow(keys, "block long, key long").join(model, "key").select("block", "key", "v")
+    out = blocks.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(run, shape)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
@@ -286,7 +340,8 @@ def bands(scored: DataFrame, width: float = BAND) -> DataFrame:
 def judge(docs: DataFrame, width: float = BAND) -> DataFrame:
     """doc_id, the base counts, base_failed, kept, perplexity, low and high of the language's band."""
     ready(docs.sparkSession)
-    scored = stored(measured(docs, probabilities(estimate(gram_counts(docs)))))
+    known = known_languages(docs)
+    scored = stored(measured(docs, probabilities(estimate(gram_counts(docs, known))), known))
     band = bands(scored, width).withColumnRenamed("lang", "band_lang")
     # The few bands are repeated under each salt, so a language of many rows meets its band in many tasks.
     band = band.withColumn("band_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
