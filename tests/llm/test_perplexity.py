@@ -62,7 +62,7 @@ def test_rows_go_to_blocks_by_size_and_judgements_do_not_depend_on_them(spark, m
         return sorted((r.doc_id, r.n_words, r.base_failed, r.kept, None if r.perplexity is None else round(r.perplexity, 4)) for r in perplexity.judge(docs).collect())
 
     whole = judged()
-    monkeypatch.setattr(perplexity, "GROUP", 2000)
+    monkeypatch.setattr(perplexity, "BLOCK", 2000)
     sizes = [len(perplexity.unpacked(b)) for b in perplexity.packed(docs, 4).toArrow().column("texts")]
     assert sum(sizes) == len(rows) and len(sizes) > 20 and max(sizes) < len(rows) // 2
     assert judged() == whole and len(whole) == len(rows)
