@@ -26,9 +26,9 @@ from pyspark.sql import types as T
 from .common import ready
 from .textarrays import chunks, ragged, span_hashes
 
-#: Bytes of text encoded at once, and pieces kept between chunks.
-CHUNK = 1 << 22
-KEPT_PIECES = 1 << 19
+#: Bytes of text encoded at once (temporaries are some 60 times that), and pieces kept between chunks (about 10 MB).
+CHUNK = 1 << 18
+KEPT_PIECES = 1 << 18
 LETTER, NUMBER, OTHER, SPACE = 1, 2, 3, 4
 _NONE = np.iinfo(np.int32).max
 
@@ -255,6 +255,20 @@ def read_text(path: str) -> str:
         return f.read()
 
 
+def encoded(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, text_col: str, names: list[str], decode: bool) -> Iterator[pa.RecordBatch]:
+    """The batches' rows with their ids and, if asked, the ids' text, a chunk at a time."""
+    encoder = Encoder(vocabulary)
+    for batch in batches:
+        column = batch.column(batch.schema.get_field_index(text_col))
+        for lo, hi, data, offsets in chunks(column, CHUNK):
+            ids, places = encoder(data, offsets)
+            out = [*batch.slice(lo, hi - lo).columns, binary_rows(ids, places).cast(pa.binary())]
+            if decode:
+                out.append(text_rows(*vocabulary.decode(ids, places)).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(out, names=names)
+        pa.default_memory_pool().release_unused()  # else a worker keeps it
+
+
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decode: bool = False) -> DataFrame:
     """Adds token_ids (binary, little-endian uint32) for the text and, if asked, decoded: the ids' text.
 
@@ -266,15 +280,6 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", decode: bool
     shape = T.StructType([*docs.schema.fields, T.StructField("token_ids", T.BinaryType()), *([T.StructField("decoded", T.StringType())] if decode else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(spec.value)
-        encoder = Encoder(vocabulary)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
-            for lo, hi, data, offsets in chunks(column, CHUNK):
-                ids, places = encoder(data, offsets)
-                out = [*batch.slice(lo, hi - lo).columns, binary_rows(ids, places).cast(pa.binary())]
-                if decode:
-                    out.append(text_rows(*vocabulary.decode(ids, places)).cast(pa.string()))
-                yield pa.RecordBatch.from_arrays(out, names=shape.names)
+        return encoded(batches, Vocabulary(spec.value), text_col, shape.names, decode)
 
     return docs.mapInArrow(run, shape)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -79,6 +80,24 @@ def test_bpe_and_token_files_over_hard_rows(spark, make_docs, library):
         assert np.shares_memory(s.sequence(0), s.batches[0].column(0).values.to_numpy())
 
 
+def test_bpe_memory_does_not_follow_the_batch():
+    rng = np.random.default_rng(4)
+    letters = rng.integers(97, 123, (2000, 350, 6), np.uint8)
+    texts = [" ".join(bytes(w).decode() for w in row) for row in letters]  # 4.9 MB, nearly all words different
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    vocabulary = bpe.Vocabulary(bpe.read_text(tokenizer_path()))
+    span_hashes(np.zeros(1, np.uint8), np.array([0]), np.array([1]))  # its tables stay
+    tracemalloc.start()
+    rows = peak = 0
+    for out in bpe.encoded(iter([batch]), vocabulary, "text", ["text", "token_ids", "decoded"], True):
+        assert out.column(2).to_pylist() == texts[rows : rows + out.num_rows]
+        rows += out.num_rows
+        peak = max(peak, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    assert rows == len(texts)
+    assert peak < 100e6, peak
+
+
 def test_empty_tables(spark, make_docs):
     docs = make_docs([])
     assert bpe.encode(docs, tokenizer_path()).count() == 0
